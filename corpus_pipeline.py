@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plyframe.llm import bpe, exact
-
-STAGES = [("exact_dedup", exact.stage), ("byte_bpe", bpe.stage)]
+from plyframe.llm import bpe, exact, mixing, neardup, toxicity
+
+STAGES = [
+    ("toxicity", toxicity.stage),
+    ("exact_dedup", exact.stage),
+    ("near_dedup", neardup.stage),
+    ("source_mixing", mixing.stage),
+    ("byte_bpe", bpe.stage),
+]
 
 #: SQL can't express the model, the sketches or the tokenizer.
 ORACLE_SQL = None

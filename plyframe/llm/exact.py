@@ -10,6 +10,8 @@ and share the verdict; an empty table gives an empty result; extra columns are i
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,27 +25,29 @@ class DigestIndex:
         self.spark, self.table = spark, table
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.table)
+    def create(self) -> None:
+        """An empty index, unless there is one."""
+        if not self.spark.catalog.tableExists(self.table):
+            self._write(self.spark.createDataFrame([], "digest binary, keep_id long, batch long"), "error")
 
     def _write(self, df: DataFrame, mode: str) -> None:
         df.write.mode(mode).format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table)
 
+    def read(self) -> DataFrame:
+        return self.spark.table(self.table)
+
     def unseen(self, groups: DataFrame) -> DataFrame:
-        """The groups whose digest the index lacks."""
-        if not self.exists():
-            return groups
-        return groups.hint("merge").join(self.spark.table(self.table).select("digest"), "digest", "left_anti")
+        """The groups whose digest the index lacks: a sort-merge anti-join that leaves the index where it is."""
+        return groups.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
 
     def append(self, groups: DataFrame, batch: int = 0) -> None:
-        """Add digest and keep_id of groups that unseen() returned."""
-        # one file a bucket: the rows are dealt by the function that buckets use
-        rows = groups.select("digest", "keep_id", F.lit(batch).cast("long").alias("batch")).repartition(self.buckets, "digest")
-        self._write(rows, "append" if self.exists() else "error")
+        """Add digest and keep_id of groups that unseen() returned, as one sorted file a bucket."""
+        rows = groups.select("digest", "keep_id", F.lit(batch).cast("long").alias("batch"))
+        self._write(rows.repartition(self.buckets, "digest"), "append")
 
     def compact(self) -> None:
         """Rewrite the index with one sorted file a bucket, after many appends."""
-        held = materialize(self.spark.table(self.table), "digest-compact")
+        held = materialize(self.read(), "digest-compact")
         self._write(held.repartition(self.buckets, "digest"), "overwrite")
 
     def drop(self) -> None:
@@ -63,15 +67,12 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, batch: int = 0) -> DataFram
     """
     rows = digests(docs)
     groups = materialize(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "digest-groups")
-    if index.exists():
-        fresh = materialize(index.unseen(groups).withColumn("known", F.lit(False)), "digest-fresh")
-        earlier = index.spark.table(index.table).select("digest", F.col("keep_id").alias("_old"))
-        seen = groups.join(earlier.hint("merge"), "digest").select("digest", F.col("_old").alias("keep_id"), "group_size", F.lit(True).alias("known"))
-        groups = materialize(fresh.select("digest", "keep_id", "group_size", "known").unionByName(seen), "digest-verdicts")
-        index.append(fresh, batch)
-    else:
-        index.append(groups, batch)
-        groups = groups.withColumn("known", F.lit(False))
+    index.create()
+    fresh = materialize(index.unseen(groups), "digest-fresh")
+    earlier = index.read().select("digest", F.col("keep_id").alias("_old"))
+    seen = groups.join(earlier.hint("merge"), "digest").select("digest", F.col("_old").alias("keep_id"), "group_size", F.lit(True).alias("known"))
+    groups = materialize(fresh.withColumn("known", F.lit(False)).unionByName(seen), "digest-verdicts")
+    index.append(fresh, batch)
     found = attach_groups(rows, groups, "digest", "group_size", F.unhex(F.sha2(F.col("doc_id").cast("string"), 256)))
     return found.select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & ~F.col("known")).alias("kept"),
@@ -80,11 +81,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, batch: int = 0) -> DataFram
 
 
 def dedup_once(docs: DataFrame) -> DataFrame:
-    """exact_dedup against a new index of its own, dropped again once its verdicts are known."""
-    import uuid
-
+    """exact_dedup against an index of its own, which goes once the verdicts are written."""
     index = DigestIndex(docs.sparkSession, f"digest_index_{uuid.uuid4().hex}")
-    return exact_dedup(docs, index)
+    found = exact_dedup(docs, index)
+    index.drop()
+    return found
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
