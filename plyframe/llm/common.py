@@ -38,6 +38,19 @@ def only(df: DataFrame, **kinds: str) -> DataFrame:
     return df.select([df[c].cast(k).alias(c) if k else df[c] for c, k in kinds.items()])
 
 
+def small(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
+    """A few rows of whole numbers, strings and nulls as an inline table, which no Python worker has to make."""
+
+    def text(x: object) -> str:
+        return "NULL" if x is None else "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x)
+
+    kinds = ", ".join(f"CAST({c} AS {k}) AS {c}" for c, k in columns.items())
+    held = ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+    if not rows:
+        return spark.sql(f"SELECT {', '.join(f'CAST(NULL AS {k}) AS {c}' for c, k in columns.items())} WHERE false")
+    return spark.sql(f"SELECT {kinds} FROM VALUES {held} AS t({', '.join(columns)})")
+
+
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: Column) -> DataFrame:
     """rows joined to their group by key, however large one group is.
 

@@ -23,7 +23,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, only
+from .common import materialize, only, small
 
 DIMENSIONS = ("d0", "d1")
 HEAVY = 200
@@ -73,13 +73,13 @@ def _cuts(rows: DataFrame, goal: dict[int, float]) -> dict[int, int]:
     fixed = {n: 0 for n in goal}  # leading bits found so far
     below = {n: 0 for n in goal}  # bytes of keys with smaller leading bits
     for shift in (32, 16, 0):
-        state = spark.createDataFrame([(n, fixed[n], float(goal[n] - below[n])) for n in goal], "node int, fixed long, left double")
+        state = small(spark, [(n, fixed[n], float(goal[n] - below[n])) for n in goal], {"node": "int", "fixed": "long", "goal": "double"})
         lead = F.shiftright("key", shift)
         near = rows.join(F.broadcast(state), "node").where(F.shiftright(lead, 16) == F.col("fixed"))
-        counts = near.groupBy("node", "left", lead.bitwiseAND(65535).alias("bin")).agg(F.sum("size").alias("w"))
+        counts = near.groupBy("node", "goal", lead.bitwiseAND(65535).alias("bin")).agg(F.sum("size").alias("w"))
         counts = counts.withColumn("upto", F.sum("w").over(Window.partitionBy("node").orderBy("bin")))
         bins = F.struct("bin", "w", "upto")
-        found = counts.groupBy("node").agg(F.min(F.when(F.col("upto") >= F.col("left"), bins)).alias("cut"), F.max(bins).alias("last")).collect()
+        found = counts.groupBy("node").agg(F.min(F.when(F.col("upto") >= F.col("goal"), bins)).alias("cut"), F.max(bins).alias("last")).collect()
         for r in found:  # a row a node
             n, cut = r["node"], r["cut"] or r["last"]
             below[n] += cut["upto"] - cut["w"]
@@ -98,7 +98,7 @@ def kd_shards(meta: DataFrame, shards: int) -> DataFrame:
     heavy = groups.where(F.col("w") > total / (shards * HEAVY)).orderBy(F.desc("w"), "crc", "h", "size").collect()  # fewer than HEAVY * shards rows
     at, owed = _fill([r["w"] for r in heavy], shards, total)
     if heavy:
-        placed = meta.sparkSession.createDataFrame([(r["crc"], r["h"], r["size"], s) for r, s in zip(heavy, at)], "crc long, h long, size long, _given int")
+        placed = small(meta.sparkSession, [(r["crc"], r["h"], r["size"], s) for r, s in zip(heavy, at)], {"crc": "long", "h": "long", "size": "long", "_given": "int"})
         meta = meta.join(F.broadcast(placed), ["crc", "h", "size"], "left")
     else:
         meta = meta.withColumn("_given", F.lit(None).cast("int"))
@@ -118,17 +118,17 @@ def kd_shards(meta: DataFrame, shards: int) -> DataFrame:
                 widest[n] = max(DIMENSIONS, key=lambda d: (box[d]["b"] - box[d]["a"]) / full[d] if box else 0)
                 goal[n] = (box["w"] if box else 0) * (left / whole if whole else 0.5)
                 split[n] = mid
-        plan = spark.createDataFrame(list(widest.items()), "node int, along string")
+        plan = small(spark, list(widest.items()), {"node": "int", "along": "string"})
         along = F.coalesce(*[F.when(F.col("along") == d, F.col(d)) for d in DIMENSIONS])
         rows = meta.join(F.broadcast(plan), "node").select("node", "size", (along * F.lit(1 << 32) + F.col("crc")).alias("key"))
         cuts = _cuts(rows, goal)
-        step = spark.createDataFrame([(n, widest[n], cuts[n]) for n in split], "node int, along string, cut long")
+        step = small(spark, [(n, widest[n], cuts[n]) for n in split], {"node": "int", "along": "string", "cut": "long"})
         right = (along * F.lit(1 << 32) + F.col("crc") >= F.col("cut")).cast("int")
         child = F.when(F.col("cut").isNull(), F.col("node")).otherwise(2 * F.col("node") + 1 + right)
         meta = meta.join(F.broadcast(step), "node", "left").withColumn("node", child).drop("along", "cut")
         halves = {2 * n + k: r for n, mid in split.items() for k, r in ((1, (ranges[n][0], mid)), (2, (mid, ranges[n][1])))}
         ranges = {n: r for n, r in ranges.items() if n not in split} | halves
-    leaves = spark.createDataFrame([(n, a) for n, (a, _) in ranges.items()], "node int, leaf int")
+    leaves = small(spark, [(n, a) for n, (a, _) in ranges.items()], {"node": "int", "leaf": "int"})
     return meta.join(F.broadcast(leaves), "node", "left").withColumn("shard", F.coalesce("_given", "leaf"))
 
 
