@@ -24,7 +24,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: A3 to A9 in words that both engines share.
-SLOT_TEXT = f"""SELECT CAST(l_linenumber AS int) AS slot, count(*) AS total, sum(CASE WHEN v > 25 THEN 1 ELSE 0 END) AS hits,
+SLOT_TEXT = f"""SELECT CAST(l_linenumber AS int) AS slot, count(*) AS total, CAST(sum(CASE WHEN v > 25 THEN 1 ELSE 0 END) AS bigint) AS hits,
   round(100e0 * sum(CASE WHEN v > 25 THEN 1 ELSE 0 END) / count(*), 6) AS hit_rate, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS stdev,
   min(v) AS least, max(v) AS most, round(corr(v, w), 6) AS correlation, CAST(sum(v) AS bigint) AS nodes
 FROM (SELECT l_linenumber, CAST(floor(l_quantity) AS bigint) AS v, CAST(floor(l_extendedprice) AS double) AS w FROM LINES) AS s
@@ -58,27 +58,28 @@ WHERE age <= 8 * a GROUP BY a"""
 
 def root_ranking(spark: SparkSession, sf_dir: str, k: int = 3) -> DataFrame:
     """The k best moves of each request: score, then previous score, descending, then the order given."""
-    order = Window.partitionBy("l_orderkey").orderBy(F.desc("score"), F.desc("previous"), "l_linenumber")
-    rows = _lines(spark, sf_dir).selectExpr("l_orderkey", "l_linenumber", "CAST(floor(l_quantity) DIV 10 AS bigint) AS score", "l_suppkey % 3 AS previous", "l_partkey AS move")
+    order = Window.partitionBy("l_orderkey").orderBy(F.desc("score"), F.desc("previous"), "given")
+    rows = _lines(spark, sf_dir).selectExpr("l_orderkey", "l_linenumber", "CAST(floor(l_quantity) DIV 10 AS bigint) AS score", "l_suppkey % 3 AS previous", "l_partkey AS move", "struct(l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS given")
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("l_orderkey", "rank", "move", "score")
 
 
-RANK_SQL = """SELECT l_orderkey, "rank", move, score FROM (SELECT l_orderkey, l_partkey AS move, CAST(floor(l_quantity) AS BIGINT) // 10 AS score,
-  CAST(1 + (SELECT count(*) FROM lineitem b WHERE b.l_orderkey = a.l_orderkey AND (floor(b.l_quantity) // 10 > floor(a.l_quantity) // 10 OR (floor(b.l_quantity) // 10 = floor(a.l_quantity) // 10
-   AND (b.l_suppkey % 3 > a.l_suppkey % 3 OR (b.l_suppkey % 3 = a.l_suppkey % 3 AND b.l_linenumber < a.l_linenumber))))) AS INTEGER) AS "rank" FROM lineitem a) WHERE "rank" <= 3"""
+RANK_SQL = """WITH r AS (SELECT l_orderkey, l_partkey AS move, CAST(floor(l_quantity) AS BIGINT) // 10 AS score, l_suppkey % 3 AS previous, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS given FROM lineitem)
+SELECT a.l_orderkey, CAST(1 + count(b.given) AS INTEGER) AS "rank", a.move, a.score FROM r a LEFT JOIN r b ON b.l_orderkey = a.l_orderkey
+  AND (b.score > a.score OR (b.score = a.score AND (b.previous > a.previous OR (b.previous = a.previous AND b.given < a.given)))) GROUP BY a.l_orderkey, a.given, a.move, a.score HAVING count(b.given) < 3"""
 
 
 def partial_sort(spark: SparkSession, sf_dir: str, limit: int = 20) -> DataFrame:
     """Values of at least the limit descending and first, the others behind them as given; then one move to the front."""
-    rows = _lines(spark, sf_dir).selectExpr("l_orderkey", "l_linenumber", "CAST(floor(l_quantity) AS bigint) AS v", "l_linenumber = 2 AS front")
+    rows = _lines(spark, sf_dir).selectExpr("l_orderkey", "l_linenumber", "CAST(floor(l_quantity) AS bigint) AS v", "l_linenumber = 2 AS front", "struct(l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS given")
     sorted_ = F.when(F.col("v") >= limit, F.col("v")).desc_nulls_last()
     by = Window.partitionBy("l_orderkey")
-    return rows.select("l_orderkey", "l_linenumber", "v", F.row_number().over(by.orderBy(sorted_, "l_linenumber")).alias("place"), F.row_number().over(by.orderBy(F.desc("front"), sorted_, "l_linenumber")).alias("place_after_front"))
+    return rows.select("l_orderkey", "l_linenumber", "v", F.row_number().over(by.orderBy(sorted_, "given")).alias("place"), F.row_number().over(by.orderBy(F.desc("front"), sorted_, "given")).alias("place_after_front"))
 
 
-PARTIAL_SQL = """WITH r AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS BIGINT) AS v FROM lineitem)
-SELECT l_orderkey, l_linenumber, v, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN v >= 20 THEN 0 ELSE 1 END, CASE WHEN v >= 20 THEN -v ELSE 0 END, l_linenumber) AS INTEGER) AS place,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_linenumber = 2 THEN 0 ELSE 1 END, CASE WHEN v >= 20 THEN 0 ELSE 1 END, CASE WHEN v >= 20 THEN -v ELSE 0 END, l_linenumber) AS INTEGER) AS place_after_front FROM r"""
+PARTIAL_SQL = """WITH r AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS BIGINT) AS v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS given FROM lineitem),
+s AS (SELECT *, CASE WHEN v >= 20 THEN -v ELSE 1 END AS k FROM r)
+SELECT l_orderkey, l_linenumber, v, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY k, given) AS INTEGER) AS place,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_linenumber = 2 THEN 0 ELSE 1 END, k, given) AS INTEGER) AS place_after_front FROM s"""
 
 
 def thread_vote(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,7 +159,7 @@ def pins(positions: DataFrame, *keep: str) -> DataFrame:
     rows = [(s, kind, list(Kn.RAYS[s][d])) for s in range(64) for kind, ds in (("B", Kn.SLANTED), ("R", Kn.STRAIGHT)) for d in ds if Kn.RAYS[s][d]]
     rays = positions.sparkSession.createDataFrame(rows, "ksq int, kind string, ray array<int>")
     p = p.join(F.broadcast(rays), "ksq").withColumn("men", F.expr("filter(ray, t -> substr(board, t + 1, 1) <> '.')")).where("size(men) > 1")
-    p = p.withColumn("blocker", F.expr("men[0]")).withColumn("pinner", F.expr("men[1]")).withColumn("x", F.expr("substr(board, pinner + 1, 1)"))
+    p = p.withColumn("blocker", F.expr("get(men, 0)")).withColumn("pinner", F.expr("get(men, 1)")).withColumn("x", F.expr("substr(board, pinner + 1, 1)"))
     return p.where("(x = upper(x)) <> (color = 0) AND upper(x) IN (kind, 'Q')").select(*keep, "color", "blocker", "pinner")
 
 
@@ -219,7 +219,7 @@ def perft_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("id").agg(F.sum("leaves").alias("leaves"), F.count(F.lit(1)).alias("root_moves"))
+    return out.groupBy("id").agg(F.sum("leaves").alias("leaves"))
 
 
 def perft_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +296,7 @@ def _oracles() -> dict[str, str]:
         "f8_checks": _duck(""", m AS (SELECT l.pos_id, count(*) AS moves, count(h.mid) AS checks FROM legal l LEFT JOIN hit h ON h.mid = l.mid AND h.color <> l.stm GROUP BY l.pos_id),
             c AS (SELECT q.pos_id, EXISTS (SELECT 1 FROM att a JOIN pieces k ON k.pos_id = a.pos_id AND k.sq = a.too AND k.ptype = 6 AND k.color = q.stm WHERE a.pos_id = q.pos_id AND a.color <> q.stm) AS in_check FROM pos q)
             SELECT pos_id, in_check, coalesce(moves, 0) AS moves, coalesce(checks, 0) AS checks, CASE WHEN coalesce(moves, 0) > 0 THEN 'open' WHEN in_check THEN 'mate' ELSE 'stalemate' END AS state FROM c LEFT JOIN m USING (pos_id)"""),
-        "g15_perft": "SELECT * FROM " + C.values([(i, n, r) for (i, _, _, n, _), r in zip(C.PERFT, (60, 24)) if n < 100_000], "id, leaves, root_moves"),
+        "g15_perft": "SELECT id, CAST(leaves AS BIGINT) AS leaves FROM " + C.values([(i, n) for i, _, _, n, _ in C.PERFT if n < 100_000], "id, leaves"),
     }
 
 
