@@ -34,8 +34,8 @@ from .common import attach_groups, materialize, only, text_column
 
 LENGTH, GRAM = 200, 32
 #: Bytes that one pass of the anchor search or of a merge handles; spans of the largest group that is merged in a task.
-PACK, BATCH, MOST = 1 << 21, 1 << 20, 3000
-SHARDS = 2
+PACK, BATCH, MOST = 1 << 21, 56_000, 3000
+SHARDS, PAD = 2, 7
 BASE = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -98,66 +98,87 @@ class Anchors:
         return first, stop, h[at[first]], doc
 
 
-def bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(transform, string, offset) over the suffixes of all strings in their order, the ends (0 in the transform) in string order first.
+class Shard:
+    """A collection of strings with its sorted suffixes.
 
-    Characters are 1 more than bytes. Suffixes are ordered by prefix doubling.
+    Each string ends in PAD end characters. transform(step) is the Burrows-Wheeler transform read `step` characters at a time:
+    the code of the characters before each suffix, 0 where they begin in an end or before the string.
     """
-    sizes = np.array([len(s) + 1 for s in strings], dtype=np.int64)
-    total = int(sizes.sum())
-    begin = np.cumsum(sizes) - sizes
-    text = np.zeros(total, dtype=np.int64)
-    for b, s in zip(begin, strings):
-        text[b : b + len(s)] = np.frombuffer(s, dtype=np.uint8)
-    text += len(strings)
-    ends = begin + sizes - 1
-    text[ends] = np.arange(len(strings))  # each end is a character of its own
-    order = np.argsort(text, kind="stable")
-    rank = np.empty(total, dtype=np.int64)
-    step = 1
-    key = text[order]
-    rank[order] = np.cumsum(np.append(0, key[1:] != key[:-1]))
-    while step < sizes.max(initial=1) and rank.max() < total - 1:
-        second = np.zeros(total, dtype=np.int64)
-        second[:-step] = rank[step:] + 1
-        both = rank * (total + 1) + second
-        order = np.argsort(both, kind="stable")
-        key = both[order]
-        rank[order] = np.cumsum(np.append(0, key[1:] != key[:-1]))
-        step *= 2
-    before = np.zeros(total, dtype=np.uint16)
-    before[1:] = text[:-1] - len(strings) + 1
-    before[begin] = 0
-    owner = np.repeat(np.arange(len(strings)), sizes)
-    return before[order].astype(np.uint16), owner[order], order - begin[owner[order]]
-
-
-def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards' transforms in merged order to `depth` characters, and the block of each suffix.
-
-    Suffixes of one block share `depth` characters. The interleave starts as one shard after another; each pass puts each
-    suffix's predecessor into the bucket of its character, in order. Ends are unique and stand first.
+
+    def __init__(self, strings: list[bytes]):
+        sizes = np.array([len(s) for s in strings], dtype=np.int64)
+        total = int((sizes + PAD).sum())
+        begin = np.cumsum(sizes + PAD) - sizes - PAD
+        self.raw = np.zeros(total, dtype=np.int64)  # characters are 1 more than bytes, ends are 0
+        body = np.ones(total, dtype=bool)
+        for k in range(PAD):
+            body[begin + sizes + k] = False
+        self.raw[body] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + 1
+        self.ends = int((~body).sum())
+        owner = np.repeat(np.arange(len(strings)), sizes + PAD)
+        # prefix doubling from PAD characters on; each end is a character of its own
+        rank = np.empty(total, dtype=np.int64)
+        rank[body] = np.unique(self.grams(PAD)[body], return_inverse=True)[1] + self.ends
+        rank[~body] = np.arange(self.ends)
+        step, longest = PAD, int(sizes.max(initial=0)) + PAD
+        while step < longest and rank.max(initial=0) < total - 1:
+            second = np.zeros(total, dtype=np.int64)
+            second[:-step] = rank[step:] + 1
+            both = rank * (total + 1) + second
+            order = np.argsort(both, kind="stable")
+            key = both[order]
+            rank[order] = np.cumsum(np.append(0, key[1:] != key[:-1]))
+            step *= 2
+        self.order = np.argsort(rank, kind="stable")
+        self.owner, self.offset = owner[self.order], self.order - begin[owner[self.order]]
+
+    def grams(self, step: int) -> np.ndarray:
+        """The characters from each place on as one number, 0 where an end begins it."""
+        code, padded = np.zeros(len(self.raw), dtype=np.int64), np.append(self.raw, np.zeros(step, dtype=np.int64))
+        for k in range(step):
+            code = code * 257 + padded[k : k + len(self.raw)]
+        return np.where(self.raw > 0, code, 0)
+
+    def transform(self, codes: np.ndarray, step: int) -> np.ndarray:
+        before = np.zeros(len(codes), dtype=codes.dtype)
+        before[step:] = codes[:-step]
+        return np.where(self.offset >= step, before[self.order], 0).astype(np.uint16)
+
+
+def coded(shards: list[Shard], step: int) -> list[np.ndarray] | None:
+    """Transforms by dense codes of `step` characters that all shards share; None if there are too many for 16 bits."""
+    grams = [s.grams(step) for s in shards]
+    kinds = np.unique(np.concatenate([[0], *grams]))
+    if len(kinds) > 65_536:
+        return None
+    return [s.transform(np.searchsorted(kinds, g).astype(np.uint16), step) for s, g in zip(shards, grams)]
+
+
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of the shards' suffixes in merged order to `depth` characters, and the block of each suffix.
+
+    Suffixes of one block share `depth` characters. The interleave starts as one shard after another; a pass of `step`
+    characters puts the suffix that begins so much earlier into the bucket of these characters, in the order of the suffixes
+    they lead to. Only interleave and transforms are read, suffixes are not sorted again. Ends are unique and stand first.
     """
-    sizes = [len(s) for s in shards]
-    strings = [int((s == 0).sum()) for s in shards]
-    which = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
-    ends = np.repeat(np.arange(len(shards), dtype=np.uint8), strings)
-    block = np.zeros(len(which), dtype=np.int64)
-    chars = np.empty(len(which), dtype=np.uint16)
+    step, table = next((k, t) for k in (PAD, 4, 3, 2, 1) if (t := coded(shards, k)) is not None)
+    passes = [table] * (depth // step) + ([coded(shards, depth % step)] if depth % step else [])
+    which = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.order) for s in shards])
+    ends = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.ends for s in shards])
     n = len(ends)
-    for _ in range(depth):
-        for j, s in enumerate(shards):
-            chars[which == j] = s
-        order = np.argsort(chars, kind="stable")[n:]  # 0 leads to an end, whose place is fixed
-        sorted_chars, from_block = chars[order], block[order]
-        part = np.ones(len(which), dtype=bool)
-        part[n + 1 :] = (sorted_chars[1:] != sorted_chars[:-1]) | (from_block[1:] != from_block[:-1])
+    block = np.zeros(len(which), dtype=np.int64)
+    chars, part = np.empty(len(which), dtype=np.uint16), np.ones(len(which), dtype=bool)
+    for transforms in passes:
+        for j, t in enumerate(transforms):
+            chars[which == j] = t
+        order = np.argsort(chars, kind="stable")
+        order = order[len(order) - (len(which) - n) :]  # 0 leads to an end or out of a string, whose place is fixed
+        codes, below = chars[order], block[order]
+        part[n + 1 :] = (codes[1:] != codes[:-1]) | (below[1:] != below[:-1])
         which = np.concatenate([ends, which[order]])
-        new = np.cumsum(part)
-        if new[-1] == block[-1] + 1 and len(new) == new[-1]:
-            block = new - 1
+        block = np.cumsum(part) - 1
+        if len(block) and block[-1] == len(block) - 1:
             break  # every suffix stands alone
-        block = new - 1
     return which, block
 
 
@@ -165,12 +186,12 @@ def repeated(spans: list[bytes], length: int = LENGTH, shards: int = SHARDS) ->
     """For each of several strings, which window starts hold a window of `length` bytes that also starts elsewhere in them."""
     out = [np.zeros(max(0, len(s) - length + 1), dtype=bool) for s in spans]
     parts = [list(range(k, len(spans), shards)) for k in range(min(shards, len(spans)))]
-    built = [bwt([spans[i] for i in part]) for part in parts]
-    which, block = merge([b[0] for b in built], length)
+    built = [Shard([spans[i] for i in part]) for part in parts]
+    which, block = merge(built, length)
     string, offset = np.empty(len(which), dtype=np.int64), np.empty(len(which), dtype=np.int64)
-    for j, (part, (_, owner, at)) in enumerate(zip(parts, built)):
+    for j, (part, shard) in enumerate(zip(parts, built)):
         mine = which == j
-        string[mine], offset[mine] = np.array(part)[owner], at
+        string[mine], offset[mine] = np.array(part)[shard.owner], shard.offset
     many = np.bincount(block)[block] > 1
     room = offset <= np.array([len(s) - length for s in spans])[string]
     for s, o in zip(string[many & room].tolist(), offset[many & room].tolist()):
