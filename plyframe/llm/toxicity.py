@@ -3,14 +3,18 @@
 A word is the average of the embeddings of its character n-grams (with word edges) and of itself, hashed into a fixed
 number of buckets, so an unseen misspelling shares most vectors with the word it hides. A bag of words is the average of
 its words, and goes through a softmax of two classes. Embeddings and softmax are trained together: first on whole
-documents, then, as a few words among thousands can make a document toxic, on windows: the highest window of a toxic
-document, the highest and some other windows of a clean one. A text's score is that of its highest window.
+documents as bags, then on their telling words, namely the highest words of toxic documents as one bag each, and the
+highest and a random word of clean documents each by itself.
+
+The softmax is linear, so each word has a logit. Most words of any text say nothing, and their noise would hide a few telling
+ones in a long text; so what is averaged over all words of a text is how far a word's logit exceeds the level that 99 % of the
+sample's words stay under. The logarithm of that average, as a logistic, is the score.
 
 Labels come from a bounded sample: at most `rows` labelled documents, half a class, of up to `chars` characters, by the
 smallest hashes of doc_id. A fifth of them sets the cut at which the score is 0.7 and doesn't train. Every text is
 scored whole.
 
-Defined cases: null and empty texts and texts without words are scored by the softmax bias alone; labels that are null or
+Defined cases: null and empty texts and texts without words get the lowest score; labels that are null or
 neither 0 nor 1 are left out; of contradicting labels of one document the larger counts; if a class is missing, every score
 is 0 and nothing is predicted toxic; repeated rows give repeated results; an empty table gives an empty result; columns
 other than doc_id and text (and doc_id and toxic of the labels) are ignored.
@@ -32,8 +36,9 @@ from .common import materialize, only, text_column
 
 BUCKETS, DIM = 1 << 17, 8
 GRAMS = (3, 4, 5, 6)
-WINDOW, STEP = 16, 8
 ROWS, CHARS = 4000, 50_000
+#: Share of the sample's words that are below the level that counts; words added to a text's length; what stands for no such word.
+QUIET, EXTRA, FLOOR = 0.99, 5, 1e-5
 CUT = 0.7
 
 words_of = re.compile(r"[^\W_]+").findall
@@ -50,10 +55,11 @@ def subwords(word: str) -> list[int]:
 
 @dataclass
 class Toxicity:
-    """weight: the softmax's difference of logits for each bucket; z = bias + mean over a window; score = sigmoid(a * (z - t) + logit(CUT))."""
+    """weight: the softmax's difference of logits for each bucket; z(text): log of the average excess over `level`;
+    score = sigmoid(a * (z - t) + logit(CUT))."""
 
     weight: np.ndarray
-    bias: float = 0.0
+    level: float = 0.0
     a: float = 1.0
     t: float = 0.0
     constant: float | None = None
@@ -61,7 +67,7 @@ class Toxicity:
     known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def word(self, word: str) -> float:
-        value = float(self.weight[subwords(word)].mean())
+        value = max(0.0, float(self.weight[subwords(word)].mean()) - self.level)
         if len(word) <= 40:
             if len(self.known) >= self.keep:
                 self.known.clear()
@@ -70,11 +76,8 @@ class Toxicity:
 
     def z(self, text: str) -> float:
         words = words_of(text.lower())
-        if not words:
-            return self.bias
         get, miss = self.known.get, self.word
-        values = [v if (v := get(w)) is not None else miss(w) for w in words]
-        return self.bias + float(window_means(np.array(values)).max())
+        return float(np.log(sum(v if (v := get(w)) is not None else miss(w) for w in words) / (len(words) + EXTRA) + FLOOR))
 
     def score(self, text: str) -> float:
         if self.constant is not None:
@@ -82,17 +85,6 @@ class Toxicity:
         return float(1 / (1 + np.exp(-np.clip(self.a * (self.z(text) - self.t) + np.log(CUT / (1 - CUT)), -40, 40))))
 
 
-def window_starts(n: int) -> np.ndarray:
-    return np.unique(np.append(np.arange(0, max(1, n - WINDOW + 1), STEP), max(0, n - WINDOW)))
-
-
-def window_means(values: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0.0], np.cumsum(values)])
-    a = window_starts(len(values))
-    b = np.minimum(a + WINDOW, len(values))
-    return (sums[b] - sums[a]) / (b - a)
-
-
 class _Bags:
     """Documents of a training sample as word numbers; words as bucket numbers."""
 
@@ -124,12 +116,12 @@ class _Model:
         self.e, self.w, self.b = rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 0.5, (2, DIM)), 0.0
         self.ge, self.gw, self.gb = np.full((BUCKETS, DIM), 1e-8), np.full((2, DIM), 1e-8), 1e-8
 
-    def weight(self) -> np.ndarray:
-        return self.e @ (self.w[1] - self.w[0])
+    def weight(self, bags: _Bags) -> np.ndarray:
+        return np.where(bags.common, self.e @ (self.w[1] - self.w[0]), 0.0)
 
     def step(self, bags: _Bags, words: np.ndarray, bag: np.ndarray, size: np.ndarray, y: np.ndarray, share: np.ndarray, rate: float) -> None:
         """words and bag: each word of each bag; size, y, share: of each bag."""
-        weight = np.where(bags.common, self.weight(), 0.0)
+        weight = self.weight(bags)
         z = self.b + np.bincount(bag, weights=bags.words(weight)[words], minlength=len(y)) / size
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
         by_word = np.bincount(words, weights=(error / size)[bag], minlength=len(bags.each))
@@ -153,7 +145,7 @@ def _flat(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(bags), np.repeat(np.arange(len(bags)), size), size.astype(float)
 
 
-def train(texts: list[str], toxic: list[int], seed: int = 0, rounds: int = 4, steps: int = 25) -> Toxicity:
+def train(texts: list[str], toxic: list[int], seed: int = 0, steps: int = 80, turns: int = 2, turn_steps: int = 15) -> Toxicity:
     """texts in an order that doesn't depend on the labels; every fifth of a class sets the cut."""
     y = np.array(toxic, dtype=float)
     if not len(y) or y.min() == y.max():
@@ -164,26 +156,29 @@ def train(texts: list[str], toxic: list[int], seed: int = 0, rounds: int = 4, st
         rank[y == c] = np.arange(int((y == c).sum()))
     fit = [i for i in range(len(y)) if rank[i] % 5 and len(bags.docs[i])]
     model, rng = _Model(seed), np.random.default_rng(seed)
-    for turn in range(rounds + 1):
+    for turn in range(turns + 1):
         chosen, labels = [], []
-        values = bags.words(np.where(bags.common, model.weight(), 0.0))
+        values = bags.words(model.weight(bags))
         for i in fit:
-            d = bags.docs[i]
-            if not turn:
-                chosen.append(d)
-                labels.append(y[i])
-                continue
-            a, means = window_starts(len(d)), window_means(values[d])
-            best = np.argsort(-means, kind="stable")
-            take = best[:1] if y[i] else np.unique(np.concatenate([best[:3], rng.integers(0, len(a), 2)]))
-            chosen += [d[a[k] : a[k] + WINDOW] for k in take]
-            labels += [y[i]] * len(take)
+            words = bags.docs[i]
+            if turn:
+                distinct = np.unique(words)
+                best = distinct[np.argsort(-values[distinct], kind="stable")]
+                parts = [best[: 1 + len(best) // 100]] if y[i] else [*np.split(best[:4], len(best[:4])), best[rng.integers(0, len(best), 1)]]
+            else:
+                parts = [words]
+            chosen += parts
+            labels += [y[i]] * len(parts)
+        if not chosen:
+            break
         yy = np.array(labels)
         share = np.where(yy > 0, 0.5 / max(1, yy.sum()), 0.5 / max(1, (1 - yy).sum()))
-        flat = _flat(chosen) if chosen else None
-        for k in range(steps if flat else 0):
-            model.step(bags, *flat, yy, share, rate=0.3 if turn < 2 else 0.15)
-    found = Toxicity(np.where(bags.common, model.weight(), 0.0).astype(np.float32), float(model.b))
+        flat = _flat(chosen)
+        for _ in range(turn_steps if turn else steps):
+            model.step(bags, *flat, yy, share, rate=0.2 if turn else 0.3)
+    found = Toxicity(model.weight(bags).astype(np.float32))
+    if fit:
+        found.level = float(np.quantile(bags.words(found.weight.astype(float))[np.concatenate([bags.docs[i] for i in fit])], QUIET))
     z = np.array([found.z(t) for t in texts])
     held = np.array([r % 5 == 0 for r in rank])
     found.t, found.a = _cut(z, y, held)
