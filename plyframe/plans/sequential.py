@@ -73,7 +73,7 @@ def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spread(C.corpus(spark)), "pos_id int, uci string, gains boolean, gains_100 boolean, loses_100 boolean", work)
 
 
-def searches(spark: SparkSession, sf_dir: str, depth: int = 2, k: int = 3) -> DataFrame:
+def searches(spark: SparkSession, sf_dir: str, depth: int = 1, k: int = 3) -> DataFrame:
     """The best root moves of each position by iterative deepening over material."""
 
     def work(r: dict) -> list:
