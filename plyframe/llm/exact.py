@@ -90,5 +90,6 @@ def dedup_once(docs: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that stay."""
-    keep = dedup_once(docs).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
+    keep = dedup_once(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
+    same = docs["doc_id"].eqNullSafe(keep["_keep"]) & (F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256) == keep["_sha"])
+    return docs.join(keep, same, "left_semi")
