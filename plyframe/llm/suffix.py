@@ -69,7 +69,7 @@ class Anchors:
         return h ^ (h >> U(32))
 
     def spans(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For documents at raw[starts:ends], each of LENGTH bytes or more: first and last window start, anchor's hash and document of each span."""
+        """For documents at raw[starts:ends], each of LENGTH bytes or more: first and last window start, anchor, its hash and document of each span."""
         width = self.length - self.gram + 1
         h = self._hashes(raw)
         m = len(h)
@@ -95,7 +95,7 @@ class Anchors:
         first = np.flatnonzero(change)
         doc = np.searchsorted(starts, first, side="right") - 1
         stop = np.minimum(np.append(first[1:] - 1, n - 1), last[doc])
-        return first, stop, h[at[first]], doc
+        return first, stop, at[first], h[at[first]], doc
 
 
 class Shard:
@@ -222,8 +222,8 @@ def _packs(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list, list[byte
 
 
 def find_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """k, h, first, last (window starts), g (anchor), s (digest of the span) of all spans of k, h, t."""
-    names = ["k", "h", "first", "last", "g", "s"]
+    """k, h, first, last (window starts), anchor (its place), g (its hash), s (digest of the span) of all spans of k, h, t."""
+    names = ["k", "h", "first", "last", "anchor", "g", "s"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, digest = Anchors(length, gram), xxhash.xxh3_64_intdigest
@@ -232,14 +232,14 @@ def find_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 sizes = np.array([len(p) for p in pieces], dtype=np.int64)
                 starts = np.cumsum(sizes) - sizes
                 joined = b"".join(pieces)
-                first, last, g, doc = finder.spans(np.frombuffer(joined, dtype=np.uint8), starts, starts + sizes)
+                first, last, anchor, g, doc = finder.spans(np.frombuffer(joined, dtype=np.uint8), starts, starts + sizes)
                 s = np.fromiter((digest(joined[a : b + length]) for a, b in zip(first.tolist(), last.tolist())), dtype=U, count=len(first))
                 shift = (np.array(places, dtype=np.int64) - starts)[doc]
                 own = np.array(keys, dtype=np.int64)[doc]
-                columns = [own[:, 0], own[:, 1], first + shift, last + shift, g.view(np.int64), s.view(np.int64)]
+                columns = [own[:, 0], own[:, 1], *((x + shift).astype(np.int32) for x in (first, last, anchor)), g.view(np.int64), s.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    return texts.select("k", "h", "t").mapInArrow(work, "k long, h long, first long, last long, g long, s long")
+    return texts.select("k", "h", "t").mapInArrow(work, "k long, h long, first int, last int, anchor int, g long, s long")
 
 
 def _cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
@@ -247,16 +247,49 @@ def _cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
     more = [c for c in spans.columns if c not in ("k", "h")]
     by_text = spans.groupBy("k", "h").agg(F.collect_list(F.struct(*more)).alias("spans"))
     met = texts.select("k", "h", "t").join(by_text, ["k", "h"]).select("k", "h", "t", F.explode("spans").alias("x"))
-    return met.select("k", "h", "x.*", F.expr(f"substring(t, cast(x.first + 1 as int), cast(x.last - x.first + {LENGTH} as int))").alias("bytes"))
+    return met.select("k", "h", "x.*", F.expr(f"substring(t, x.first + 1, x.last - x.first + {LENGTH})").alias("bytes"))
 
 
-def edge_repeats(spans: DataFrame, length: int = LENGTH) -> DataFrame:
-    """k, h, a, z: byte runs covered by repeated windows, of spans (k, h, first, once, g, bytes) whose groups are merged in batches."""
+def _probes(low: int, high: int, length: int, gram: int) -> list[tuple[int, int, int, int]]:
+    """Classes of windows by their bytes before the anchor, that meet low..high: (from, to, bytes before, bytes after) where any
+    two equal windows of a class agree on so many bytes before and after the anchor's gram."""
+    rest = length - gram
+    step = -(-(rest + 1) // 4)
+    classes = [(a, min(a + step - 1, rest)) for a in range(0, rest + 1, step)]
+    return [(a, z, a, rest - z) for a, z in classes if a <= high and z >= low]
+
+
+def likely(group: list[tuple], length: int, gram: int) -> list[tuple]:
+    """The spans (.., first, anchor, .., bytes) of one anchor gram that may hold a repeated window, cut to where it may be.
+
+    Exact: equal windows have the anchor at one offset, and agree on the bytes that their class has around it.
+    """
+    seen: dict[tuple, int] = {}
+    found = []
+    for row in group:
+        first, anchor, raw = row[2], row[3], row[6]
+        high = anchor - first
+        low = high - (len(raw) - length)
+        keys = [(a, z, (a, raw[high - x : high + gram + y])) for a, z, x, y in _probes(low, high, length, gram)]
+        for _, _, key in keys:
+            seen[key] = seen.get(key, 0) + 1
+        found.append((row, low, high, keys))
+    out = []
+    for row, low, high, keys in found:
+        if shared := [(a, z) for a, z, key in keys if seen[key] > 1]:
+            lo, hi = max(low, shared[0][0]), min(high, shared[-1][1])
+            skip = high - hi
+            out.append((row[0], row[1], row[2] + skip, row[3], row[4], row[5], row[6][skip : skip + hi - lo + length]))
+    return out
+
+
+def edge_repeats(spans: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """k, h, a, z: byte runs covered by repeated windows, of spans (k, h, first, anchor, once, g, bytes) whose groups are merged in batches."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(rows: list) -> pa.RecordBatch:
             out = []
-            for (k, h, first, once, _, raw), flags in zip(rows, repeated([r[5] for r in rows], length)):
+            for (k, h, first, _, once, _, _), flags in zip(rows, repeated([r[6] for r in rows], length)):
                 if once:
                     out += [(k, h, first + lo, first + hi - 1 + length) for lo, hi in _runs(flags)]
             columns = list(zip(*out)) if out else [[]] * 4
@@ -264,20 +297,21 @@ def edge_repeats(spans: DataFrame, length: int = LENGTH) -> DataFrame:
 
         ready, group, size, g = [], [], 0, None  # whole groups; the group that is being read
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(6))):
-                if row[4] != g:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(7))):
+                if row[5] != g:
+                    group = likely(group, length, gram)
                     ready += group
-                    group, g = [], row[4]
+                    size += sum(len(r[6]) for r in group)
+                    group, g = [], row[5]
                     if size > BATCH:
                         yield solve(ready)
                         ready, size = [], 0
                 group.append(row)
-                size += len(row[5])
-        ready += group
+        ready += likely(group, length, gram)
         if ready:
             yield solve(ready)
 
-    dealt = spans.select("k", "h", "first", "once", "g", "bytes").repartition("g").sortWithinPartitions("g")
+    dealt = spans.select("k", "h", "first", "anchor", "once", "g", "bytes").repartition("g").sortWithinPartitions("g")
     return dealt.mapInArrow(work, "k long, h long, a long, z long")
 
 
@@ -304,12 +338,18 @@ def repeat_removal(docs: DataFrame, most: int = MOST) -> DataFrame:
     rows = only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("t"))
     rows = rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("t")).withColumn("k", F.xxhash64("doc_id", "h"))
     spans = materialize(find_spans(rows), "suffix-spans")
-    kinds = spans.groupBy("g", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "h", "first", "last")).alias("r"))
+    kinds = spans.groupBy("g", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "h", "first", "last", "anchor")).alias("r"))
     kinds = materialize(kinds.select("g", "s", "n", "r.*"), "suffix-kinds")
-    # a span that occurs twice is repeated throughout
-    twice = kinds.where("n > 1").select("s", "g", "n")
-    whole = attach_groups(spans.withColumn("sg", F.struct("s", "g")), twice.select(F.struct("s", "g").alias("sg"), "n"), "sg", "n", F.struct(F.xxhash64("k", "first").alias("s"), F.xxhash64("first", "h").alias("g")))
-    whole = whole.where("n is not null").select("k", "h", F.col("first").alias("a"), (F.col("last") + LENGTH).alias("z"))
+    # a span that occurs twice is repeated throughout; hot ones (fewer than 1000, see attach_groups) are broadcast, and their
+    # rows spread by another value in place of s, which no cold span of that anchor has
+    total = spans.count()
+    twice = kinds.where("n > 1").select("g", "s", "n")
+    hot = F.broadcast(twice.where(F.col("n") > max(1000, total / 1000)).select(F.col("g").alias("hg"), F.col("s").alias("hs"), F.lit(True).alias("hot")))
+    cold = twice.where(F.col("n") <= max(1000, total / 1000)).select(F.col("g").alias("cg"), F.col("s").alias("cs"))
+    whole = spans.drop("anchor").join(hot, (F.col("g") == F.col("hg")) & (F.col("s") == F.col("hs")), "left").drop("hg", "hs")
+    whole = whole.withColumn("s", F.when(F.col("hot"), F.xxhash64("k", "h", "first")).otherwise(F.col("s")))
+    whole = whole.join(cold.hint("shuffle_hash"), (F.col("g") == F.col("cg")) & (F.col("s") == F.col("cs")), "left").where("hot or cs is not null")
+    whole = whole.select("k", "h", F.col("first").cast("long").alias("a"), (F.col("last") + LENGTH).cast("long").alias("z"))
     # anchors with several spans; rows of one span each, whatever the number of its copies
     several = materialize(kinds.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "suffix-several")
     edges = attach_groups(kinds.withColumn("once", F.col("n") == 1).drop("n", "s"), several, "g", "m", F.xxhash64("k", "first")).where("m is not null")
