@@ -34,7 +34,7 @@ from .common import attach_groups, materialize, only, text_column
 
 K, SHARED, MARGIN = 64, 0.55, 0.2
 SHINGLE = 5
-ROUNDS, BLOCK = 3, 256
+ROUNDS, BLOCK = 3, 1024
 PRIME = 0x9E3779B97F4A7C15
 
 
@@ -214,7 +214,11 @@ def _leader_pairs(lists: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _open_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All likely pairs of different groups within a list, compared in blocks of BLOCK members against BLOCK members."""
+    """All likely pairs of different groups within a list, compared in blocks of BLOCK members against BLOCK members.
+
+    A pair comes from one list alone, that of the least key which both have.
+    """
+    keys = lists.groupBy("a").agg(F.sort_array(F.collect_list("v")).alias("keys"))  # up to K of each
     held = lists.join(labels, "a")
     ends = held.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("v", "m")
     held = attach_groups(held, materialize(ends, "near-open"), "v", "m", F.xxhash64("a", "v")).where("m is not null")
@@ -222,14 +226,16 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent
     mine = F.pmod(F.xxhash64("a"), blocks)
     held = held.withColumn("blocks", blocks).withColumn("i", mine).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     held = held.select("v", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "a", "c")
-    held = held.join(classes.select(F.col("doc_id").alias("a"), "n", "sketch"), "a")
+    held = held.join(classes.select(F.col("doc_id").alias("a"), "n", "sketch"), "a").join(keys, "a")
     dealt = held.repartition("v", "p", "q").sortWithinPartitions("v", "p", "q", "a")
     least = percent / 100 - MARGIN
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def compare(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(parts).combine_chunks()
-            p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+            v, p, q = (t.column(x)[0].as_py() for x in ("v", "p", "q"))
+            own: dict[int, set] = {}
+            keys_of = lambda x: own[x] if x in own else own.setdefault(x, set(t.column("keys")[x].as_py()))
             a, c, n, i = (t.column(x).to_numpy() for x in ("a", "c", "n", "i"))
             sk = _padded(t.column("sketch").chunk(0) if t.column("sketch").num_chunks else pa.array([], pa.list_(pa.int64())))
             left = np.flatnonzero(i == p)
@@ -240,6 +246,7 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent
                 y = y[(c[y] != c[x]) & (np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent)]
                 if len(y):
                     y = y[_sketch_pairs(np.repeat(sk[x][None], len(y), 0), sk[y]) >= least]
+                    y = y[[min(keys_of(int(x)) & keys_of(int(z))) == v for z in y.tolist()]] if len(y) else y
                     out.append(np.stack([np.minimum(a[x], a[y]), np.maximum(a[x], a[y])], 1))
             got = np.concatenate(out)
             return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
