@@ -2,6 +2,7 @@
 
 import os
 
+import pandas as pd
 import pytest
 
 from plyframe import registry
@@ -23,7 +24,7 @@ def duck():
 
 def plain(rows, columns):
     def cell(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return "-"
         if isinstance(v, bool) or type(v).__name__ == "bool_":
             return str(bool(v))
