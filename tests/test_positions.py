@@ -197,3 +197,37 @@ def test_features_are_mirrored_by_colour():
 def test_truncating_division_differs_from_flooring():
     assert S.engine("trunc_div(a + 1, trunc_div(b, 2))", True) == "((a + 1) // (((b) // (2))))"
     assert int(N.trunc(-7, 2)) == -3
+
+
+def test_reversible_moves():
+    from plyframe.plans.tables import reversible_rows
+
+    assert len(reversible_rows()) == len(set(reversible_rows())) == 3668
+
+
+def test_repetitions_by_windows_equal_the_kernel(spark):
+    from plyframe.plans.tables import game_repetitions
+
+    rows = game_repetitions(spark, "").collect()
+    assert all(r["repetition"] == r["kernel"] for r in rows) and any(r["kernel"] for r in rows)
+
+
+def test_table_files(spark, tmp_path):
+    from plyframe.sources.files import MAGIC, network_file, table_files
+
+    (tmp_path / "KQvK.rtbw").write_bytes(MAGIC["rtbw"] + bytes(76))
+    (tmp_path / "KRvK.rtbz").write_bytes(MAGIC["rtbw"] + bytes(76))
+    (tmp_path / "other.txt").write_bytes(b"x")
+    got = {r["material"]: r["sound"] for r in table_files(spark, f"{tmp_path}").collect()}
+    assert got == {"KQvK": True, "KRvK": False} and table_files(spark, "").count() == 0
+    assert network_file(spark, "other.txt", [str(tmp_path)]) == b"x"
+    with pytest.raises(FileNotFoundError):
+        network_file(spark, "none.bin", [str(tmp_path)])
+
+
+def test_position_files(spark, tmp_path):
+    path = tmp_path / "bench.epd"
+    path.write_text("\n" + "\n".join(p[0] for p in C.POSITIONS[:3]) + "\n\n")
+    assert [r["fen"] for r in C.read_positions(spark, str(path)).collect()] == [p[0] for p in C.POSITIONS[:3]]
+    with pytest.raises(Exception):
+        C.read_positions(spark, str(tmp_path / "missing.epd")).collect()
