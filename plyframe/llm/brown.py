@@ -214,7 +214,7 @@ def brown_scores(docs: DataFrame, training: Column, head: int = HEAD, clustered:
     train = rows.where(F.coalesce(training, F.lit(False)))
     vocabulary = materialize(count_words(train), "lm-words")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = [(bytes(r["word"]), r["c"]) for r in vocabulary.where(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(head).collect()]
+    top = most_frequent(vocabulary.where(F.length("word") > 0), head)
     ends = sum(r["c"] for r in vocabulary.where(F.length("word") == 0).collect())
     chosen = {w: i for i, (w, _) in enumerate(top[:clustered])}
     pairs = count_bigrams(train, chosen)
@@ -260,6 +260,23 @@ def brown_scores(docs: DataFrame, training: Column, head: int = HEAD, clustered:
     return sums.select("doc_id", *each[:2], F.lit(total).cast("long").alias("train_tokens"), *each[2:])
 
 
+def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """Up to `most` (word, c), most frequent first: whole bands of counts, from the top as far as they go in.
+
+    Each task sends only rows that belong to the result; the bands, 16 an octave, are at most a thousand rows.
+    """
+    banded = vocabulary.withColumn("band", F.floor(F.log2("c") * 16))
+    low, held = None, 0
+    for r in sorted(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["band"]):
+        held += r["n"]
+        if held > most:
+            break
+        low = r["band"]
+    if low is None:
+        return []
+    return sorted(((bytes(r["word"]), r["c"]) for r in banded.where(F.col("band") >= low).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
+
+
 def _rule_words(vocabulary: DataFrame, chosen: dict[bytes, int]) -> np.ndarray:
     """How many words each rule class has."""
     names = frozenset(chosen)
