@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -86,26 +87,47 @@ class Toxicity:
 
 
 class _Bags:
-    """Documents of a training sample as word numbers; words as bucket numbers."""
+    """Documents of a training sample as word numbers; words as bucket numbers, worked on PART words at a time: little memory."""
+
+    PART = 1 << 16
 
     def __init__(self, texts: list[str]):
         number: dict[str, int] = {}
-        self.docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t.lower())], dtype=np.int64) for t in texts]
-        grams = [subwords(w) for w in number]
-        sizes = np.array([len(g) for g in grams], dtype=np.int64)
-        self.ids = np.fromiter((b for g in grams for b in g), dtype=np.int64, count=int(sizes.sum()))
-        self.starts = np.cumsum(sizes) - sizes
-        self.of = np.repeat(np.arange(len(sizes)), sizes)
-        self.each = 1.0 / np.maximum(sizes, 1)
-        held = np.bincount(np.concatenate([np.unique(d) for d in self.docs if len(d)] or [np.array([], dtype=np.int64)]), minlength=len(sizes))
+        self.docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t.lower())], dtype=np.int32) for t in texts]
+        ids, sizes = array("i"), array("i")
+        for word in number:
+            grams = subwords(word)
+            ids.extend(grams)
+            sizes.append(len(grams))
+        self.ids, self.sizes = np.array(ids, dtype=np.int32), np.array(sizes, dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.each = 1.0 / np.maximum(self.sizes, 1)
+        held = np.zeros(len(self.sizes))
+        for d in self.docs:
+            held[np.unique(d)] += 1
         #: buckets seen in few documents say nothing about others
-        self.common = np.bincount(self.ids, weights=held[self.of], minlength=BUCKETS) >= 3
+        self.common = self.sums(held) >= 3
+
+    def parts(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for a in range(0, len(self.sizes), self.PART):
+            z = min(a + self.PART, len(self.sizes))
+            yield slice(a, z), self.ids[self.starts[a] : self.starts[z]]
+
+    def sums(self, by_word: np.ndarray) -> np.ndarray:
+        """For each bucket the sum over the words that hold it."""
+        out = np.zeros(BUCKETS)
+        for part, ids in self.parts():
+            out += np.bincount(ids, weights=np.repeat(by_word[part], self.sizes[part]), minlength=BUCKETS)
+        return out
 
     def words(self, weight: np.ndarray) -> np.ndarray:
-        return np.bincount(self.of, weights=weight[self.ids], minlength=len(self.each)) * self.each
+        out = np.empty(len(self.sizes))
+        for part, ids in self.parts():
+            out[part] = np.add.reduceat(weight[ids], self.starts[part] - self.starts[part.start])
+        return out * self.each
 
     def buckets(self, by_word: np.ndarray) -> np.ndarray:
-        return np.bincount(self.ids, weights=(by_word * self.each)[self.of], minlength=BUCKETS)
+        return self.sums(by_word * self.each)
 
 
 class _Model:
@@ -179,10 +201,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 0, steps: int = 80, tu
     found = Toxicity(model.weight(bags).astype(np.float32))
     if fit:
         found.level = float(np.quantile(bags.words(found.weight.astype(float))[np.concatenate([bags.docs[i] for i in fit])], QUIET))
-    z = np.array([found.z(t) for t in texts])
-    held = np.array([r % 5 == 0 for r in rank])
-    found.t, found.a = _cut(z, y, held)
-    found.known.clear()
+    values = np.maximum(0.0, bags.words(found.weight.astype(float)) - found.level)
+    z = np.array([np.log(values[d].sum() / (len(d) + EXTRA) + FLOOR) for d in bags.docs])
+    found.t, found.a = _cut(z, y, np.array([r % 5 == 0 for r in rank]))
     return found
 
 
