@@ -2,12 +2,14 @@
 
 The score of a token is log10 P(class | class before) + log10 P(word | class). The most frequent words are put into classes
 by exchange clustering: each word in turn moves to the class that raises the mutual information of adjacent classes most.
-All other words, seen or not, are in classes by a hash of their last two bytes, and the end of a text is a class of its own.
+Then every other word seen LEAST times goes to the class that raises it most against the class matrix of the first ones, in a
+distributed pass over (word, class beside it). Words seen once stand for the unseen ones: both are in classes by a hash of their
+last two bytes. The end of a text is a class of its own. Transitions are then counted anew over the classes of all words.
 Transitions are smoothed towards the class frequencies, emissions by ADD for each known word and one unknown word a class.
 
 All counts are over all training texts. What the tasks get with them is bounded: the HEAD most frequent words with their
-classes and log-probabilities. Tokens beyond the head are rare, so they meet their counts in a shuffled join without hot
-keys, already summed up by document and word.
+classes and log-probabilities. Tokens beyond the head are rare, so they meet their counts and classes in a shuffled join
+without hot keys, with the classes beside them; where two of them are adjacent, the second one is joined as well.
 
 Defined cases: null text counts as empty; an empty text is its end token; a null doc_id is neither trained on nor held out;
 without training texts all counts are 0; repeated rows give repeated results; an empty table gives an empty result; columns
@@ -30,6 +32,8 @@ from .common import materialize, only, text_column
 
 ADD = 0.1
 HEAD, CLUSTERED, CLASSES, RULES = 100_000, 1000, 64, 32
+#: Words seen fewer times stand for the unseen ones.
+LEAST = 2
 #: Weight of the class frequencies in a transition.
 BACK = 5.0
 #: Distinct words that a task counts before it passes them on.
@@ -148,57 +152,160 @@ def exchange(pairs: np.ndarray, n: int, classes: int = CLASSES, passes: int = 6)
     return of[:n]
 
 
+def neighbours(texts: DataFrame, chosen: list[bytes], clusters: np.ndarray, k: int) -> DataFrame:
+    """word, codes, counts: how often each class follows a word (code), or comes before it (groups + code), over all texts.
+
+    Every word but the chosen ones has rows, one or more; words beyond the chosen are in their rule classes here.
+    """
+    groups = k + RULES + 1
+    width = 2 * groups
+    first = [END, *chosen]
+    shared = texts.sparkSession.sparkContext.broadcast((first, [groups - 1, *map(int, clusters)]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, held, size = _Numbers(*shared.value, k), [], 0
+        for batch in batches:
+            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+                ids = [0]
+                for text in part.column("text").to_pylist():
+                    ids.extend(map(numbers.__getitem__, tokens(text)))
+                    ids.append(0)
+                a = np.array(ids, dtype=np.int64)
+                of = np.array(numbers.codes, dtype=np.int64)[a]
+                after, before = a[:-1] * width + of[1:], a[1:] * width + groups + of[:-1]
+                held.append(np.unique(np.concatenate([after[a[:-1] >= len(first)], before[a[1:] >= len(first)]]), return_counts=True))
+                size += len(held[-1][0])
+                if size > 3_000_000 or len(numbers) > HELD:
+                    yield flush(numbers, held)
+                    numbers, held, size = _Numbers(*shared.value, k), [], 0
+        yield flush(numbers, held)
+
+    def flush(numbers: _Numbers, held: list) -> pa.RecordBatch:
+        keys = np.concatenate([np.empty(0, np.int64), *(x for x, _ in held)])
+        at, where = np.unique(keys, return_inverse=True)
+        n = np.bincount(where, weights=np.concatenate([np.empty(0), *(x for _, x in held)]), minlength=len(at))
+        word = at // width
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        offsets = pa.array(np.append(starts, len(at)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x, t)) for x, t in ((at % width, pa.int16()), (n.astype(np.int64), pa.int32()))]
+        return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.binary()).take(pa.array(word[starts])), *lists], ["word", "codes", "counts"])
+
+    return texts.select("text").mapInArrow(work, "word binary, codes array<short>, counts array<int>")
+
+
+class _Numbers(dict):
+    """Numbers of words as they come, with their classes; the first ones are given."""
+
+    def __init__(self, first: list[bytes], codes: list[int], k: int):
+        super().__init__(zip(first, range(len(first))))
+        self.codes, self.k = list(codes), k
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        self.codes.append(self.k + rule(word))
+        return i
+
+
+def assign(found: DataFrame, moves: np.ndarray, k: int) -> DataFrame:
+    """word, c, class of the words of neighbours(): of those seen LEAST times the class that raises the mutual information most.
+
+    Each word is exchanged against the class matrix of the chosen words, so words don't depend on one another.
+    """
+    groups = len(moves)
+    width = 2 * groups
+    to = np.concatenate([moves[:k].T, moves[:, :k]])  # of each code: tokens of each class beside it
+    logs, one, two = _f(to), moves[:k].sum(1), moves[:, :k].sum(0)
+
+    def choose(part: pa.Table) -> pa.RecordBatch:
+        part = part.combine_chunks()
+        words = part.column("word").to_pylist()
+        fresh = np.array([True, *(x != y for x, y in zip(words, words[1:]))])
+        codes, counts = (pa.concat_arrays(part.column(c).chunks) for c in ("codes", "counts"))
+        key = np.repeat(np.cumsum(fresh) - 1, codes.value_lengths().to_numpy()) * width + codes.flatten().to_numpy()
+        at, where = np.unique(key, return_inverse=True)
+        n = np.bincount(where, weights=counts.flatten().to_numpy())
+        word, code = at // width, at % width
+        words = [words[i] for i in np.flatnonzero(fresh)]
+        c = np.bincount(word, weights=n * (code < groups), minlength=len(words))  # something follows each token
+        best = np.array([k + rule(w) for w in words])
+        if k:
+            gain = _f(one) + _f(two) - _f(one + c[:, None]) - _f(two + c[:, None])
+            for i in range(0, len(at), 1 << 14):
+                x, w = code[i : i + (1 << 14)], word[i : i + (1 << 14)]
+                starts = np.flatnonzero(np.diff(w, prepend=-1))
+                gain[w[starts]] += np.add.reduceat(_f(to[x] + n[i : i + (1 << 14), None]) - logs[x], starts)
+            best = np.where(c >= LEAST, gain.argmax(1), best)
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(best.astype(np.int32))], ["word", "c", "class"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of the last word, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            last, cut = t.column("word")[-1], t.num_rows - 1
+            while cut and t.column("word")[cut - 1] == last:
+                cut -= 1
+            if cut:
+                yield choose(t.slice(0, cut))
+            rest = t.slice(cut)
+        if rest is not None:
+            yield choose(rest)
+
+    return found.repartition("word").sortWithinPartitions("word").mapInArrow(work, "word binary, c long, class int")
+
+
 class Brown:
-    """What a task needs: the head words with class, emission and unigram log10, transitions, and the rest's denominators."""
+    """What a task needs: the head words with class, emission and unigram log10, transitions, and the rest's denominators.
 
-    def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int, pairs: np.ndarray, clusters: np.ndarray, rule_words: np.ndarray):
+    pairs is over the clustered words, or over their classes if `of` has the class of each head word and `words` the size of each class.
+    """
+
+    def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int, pairs: np.ndarray, clusters: np.ndarray, rule_words: np.ndarray, of: np.ndarray | None = None, words: np.ndarray | None = None):
         n = len(clusters)
         k = int(max(clusters, default=-1)) + 1
         groups = k + RULES + 1
         self.end = groups - 1
-        of = np.concatenate([clusters, np.arange(k, groups)]).astype(int)
-        one = np.zeros((len(of), groups))
-        one[np.arange(len(of)), of] = 1
-        moves = one.T @ pairs @ one
+        if of is None:
+            to = np.concatenate([clusters, np.arange(k, groups)]).astype(int)
+            one = np.zeros((len(to), groups))
+            one[np.arange(len(to)), to] = 1
+            moves = one.T @ pairs @ one
+        else:
+            moves = pairs
         uses = moves.sum(0)
         share = (uses + 1) / (uses.sum() + groups)
         self.move = np.log10((moves + BACK * share) / (moves.sum(1, keepdims=True) + BACK))
-        words = np.zeros(groups)
-        words[:k] = np.bincount(clusters, minlength=k) if n else 0
-        words[k : k + RULES] = rule_words
+        if words is None:
+            words = np.zeros(groups)
+            words[:k] = np.bincount(clusters, minlength=k) if n else 0
+            words[k : k + RULES] = rule_words
         self.den = np.log10(uses + ADD * (words + 1))  # of emissions, by class
         self.base_den = math.log10(total + ADD * (distinct + 1))
         self.classes = k
         self.number = {w: i for i, (w, _) in enumerate(head)}
         counts = np.array([c for _, c in head], dtype=float)
-        self.of = np.array([clusters[i] if i < n else k + rule(w) for i, (w, _) in enumerate(head)], dtype=int)
+        self.of = np.array([clusters[i] if i < n else k + rule(w) for i, (w, _) in enumerate(head)], dtype=int) if of is None else of
         self.emit = np.log10(counts + ADD) - self.den[self.of] if len(head) else np.zeros(0)
         self.base = np.log10(counts + ADD) - self.base_den
-        self.rules: dict[bytes, int] = {}
 
-    def text(self, text: bytes, ends: int) -> tuple[int, int, float, float, Counter]:
-        """Tokens, known ones, base score and score as far as the head tells, and the other words. ends: end tokens trained on."""
+    def text(self, text: bytes, ends: int) -> tuple[int, int, float, float]:
+        """Tokens, known ones, base score and score as far as the head tells. ends: end tokens trained on."""
         words = tokens(text)
-        ids = np.fromiter(map(self.number.get, words, _minus()), dtype=np.int64, count=len(words))
-        known = ids >= 0
-        of = np.empty(len(words) + 2, dtype=int)
-        of[0] = of[-1] = self.end
-        inner = of[1:-1]
-        if len(self.of):
-            inner[:] = self.of[ids]
-        rest: Counter = Counter()
-        if not known.all():
-            rules = self.rules
-            for i in np.flatnonzero(~known).tolist():
-                word = words[i]
-                if (r := rules.get(tail := word[-2:])) is None:
-                    r = rules[tail] = self.classes + rule(word)
-                inner[i] = r
-                rest[word] += 1
-        head = ids[known]
-        score = float(self.move[of[:-1], of[1:]].sum() + self.emit[head].sum())
-        base = float(self.base[head].sum()) + math.log10(ends + ADD) - self.base_den
-        return len(words) + 1, len(head) + (ends > 0), base, score, rest
+        ids, of = codes(words, self.number, self.of, self.end)
+        head = ids[ids >= 0]
+        inside = (of[:-1] >= 0) & (of[1:] >= 0)
+        score = float(self.move[of[:-1][inside], of[1:][inside]].sum() + self.emit[head].sum())
+        base = float(self.base[head].sum()) + math.log10(ends + ADD) - self.base_den * (1 + len(words) - len(head))
+        return len(words) + 1, len(head) + (ends > 0), base, score
+
+
+def codes(words: list[bytes], number: dict[bytes, int], of: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Head numbers of a text's words, and their classes between two ends; -1 beyond the head."""
+    ids = np.fromiter(map(number.get, words, _minus()), dtype=np.int64, count=len(words))
+    out = np.full(len(words) + 2, end)
+    out[1:-1] = np.where(ids >= 0, of[ids], -1) if len(of) else -1
+    return ids, out
 
 
 def _minus():
@@ -206,55 +313,101 @@ def _minus():
         yield -1
 
 
+def _tails(rows: DataFrame, number: dict[bytes, int], of: np.ndarray, k: int) -> DataFrame:
+    """A row for each word of a text beyond the head and what stands beside it: n, l, r: classes; next: the word after it if that is beyond the head too, then l of that one is -1 and r its rule class. rule: the word's own.
+
+    Transitions within the head are summed up over training texts: rows whose doc_id and next are null, with the pair as l and a word that holds a space.
+    """
+    groups = k + RULES + 1
+    shared = rows.sparkSession.sparkContext.broadcast((number, of))
+    names = ["doc_id", "h", "train", "word", "n", "l", "r", "next", "rule"]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (number, of), sums = shared.value, np.zeros(groups * groups, dtype=np.int64)
+        for batch in batches:
+            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                out: list[list] = [[] for _ in names]
+                for doc, h, train, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "h", "train", "text"))):
+                    words = tokens(text)
+                    ids, at = codes(words, number, of, groups - 1)
+                    if train:
+                        pair = at[:-1] * groups + at[1:]
+                        sums += np.bincount(pair[(at[:-1] >= 0) & (at[1:] >= 0)], minlength=groups * groups)
+                    beyond, at = np.flatnonzero(ids < 0).tolist(), at.tolist()
+                    seen = Counter((words[i], at[i], at[i + 2], words[i + 1] if at[i + 2] < 0 else None) for i in beyond)
+                    for x, y in zip(out, ([doc] * len(seen), [h] * len(seen), [train] * len(seen), [x[0] for x in seen], seen.values(), [x[1] for x in seen])):
+                        x.extend(y)
+                    out[6] += [x[2] if x[3] is None else k + rule(x[3]) for x in seen]
+                    out[7] += [x[3] for x in seen]
+                    out[8] += [k + rule(x[0]) for x in seen]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+        at = np.flatnonzero(sums)
+        blank = [None] * len(at)
+        out = [blank, blank, [True] * len(at), [b" %d" % x for x in at], sums[at], at, blank, blank, blank]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+
+    return rows.mapInArrow(work, "doc_id long, h long, train boolean, word binary, n long, l int, r int, next binary, rule int")
+
+
 def brown_scores(docs: DataFrame, training: Column, head: int = HEAD, clustered: int = CLUSTERED, classes: int = CLASSES) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score. training: a condition on doc_id."""
     spark = docs.sparkSession
     rows = only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("t"))
-    rows = rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("text"))
-    train = rows.where(F.coalesce(training, F.lit(False)))
+    rows = rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
+    train = rows.where("train")
     vocabulary = materialize(count_words(train), "lm-words")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = most_frequent(vocabulary.where(F.length("word") > 0), head)
     ends = sum(r["c"] for r in vocabulary.where(F.length("word") == 0).collect())
-    chosen = {w: i for i, (w, _) in enumerate(top[:clustered])}
-    pairs = count_bigrams(train, chosen)
+    chosen = [w for w, _ in top[:clustered]]
+    pairs = count_bigrams(train, {w: i for i, w in enumerate(chosen)})
     clusters = exchange(pairs, len(chosen), classes)
-    model = Brown(top, total, distinct, pairs, clusters, _rule_words(vocabulary, chosen))
+    k = int(max(clusters, default=-1)) + 1
+    groups = k + RULES + 1
+    one = np.zeros((len(pairs), groups))
+    one[np.arange(len(pairs)), [*clusters, *range(k, groups)]] = 1
+    # word, c and class of all words but the chosen
+    named = materialize(assign(neighbours(train, chosen, clusters, k), one.T @ pairs @ one, k), "lm-classes")
+    words = np.bincount(clusters, minlength=groups).astype(float) if len(clusters) else np.zeros(groups)
+    for r in named.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect():
+        words[r["class"]] += r["n"]
+    of = dict(zip(chosen, clusters))
+    if len(top) > len(chosen):
+        of |= {bytes(r["word"]): r["class"] for r in named.where(F.col("c") >= top[-1][1]).select("word", "class").collect()}  # the rest of the head
+    of = np.array([of[w] for w, _ in top], dtype=int)
+    # the words beyond the head meet their classes, and so do their transitions
+    known = lambda word: named.select(F.col("word").alias(word), "c", F.col("class").alias("_class")).hint("merge")
+    met = _tails(rows, {w: i for i, (w, _) in enumerate(top)}, of, k).join(known("word"), "word", "left").withColumn("class", F.coalesce("_class", "rule"))
+    met = materialize(met.select("doc_id", "h", "train", "n", "l", "r", "next", "c", "class"), "lm-tails")
+    two = met.where("next is not null").select("doc_id", "h", "train", "n", F.col("class").alias("l"), "r", "next").join(known("next"), "next", "left")
+    two = materialize(two.select("doc_id", "h", "train", "n", (F.col("l") * groups + F.coalesce("_class", "r")).alias("pair")), "lm-tail-pairs")
+    before, after = F.expr(f"CASE WHEN l >= 0 THEN l * {groups} + class END"), F.expr(f"CASE WHEN next IS NULL THEN class * {groups} + r END")
+    sums = met.where("train and class is not null").select("n", F.explode(F.array(before, after)).alias("pair")).where("pair is not null")
+    sums = sums.unionByName(met.where("class is null").select("n", F.col("l").alias("pair"))).unionByName(two.where("train").select("n", "pair"))
+    moves = np.zeros(groups * groups)
+    got = sums.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most groups * groups rows
+    moves[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    model = Brown(top, total, distinct, moves.reshape(groups, groups), np.arange(k), np.zeros(RULES), of, words)
     shared = spark.sparkContext.broadcast(model)  # at most `head` words
-    names = ["doc_id", "h", "word", "n", "n_tokens", "known", "base", "score"]
-    kinds = "doc_id long, h long, word binary, n long, n_tokens long, known long, base double, score double"
-    types = [pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3, pa.float64(), pa.float64()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text, and one for each of its words beyond the head."""
         m = shared.value
         for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                out: list[list] = [[] for _ in names]
-                for doc, h, text in zip(*(part.column(c).to_pylist() for c in range(3))):
-                    n, known, base, score, rest = m.text(text, ends)
-                    size = 1 + len(rest)
-                    out[0] += [doc] * size
-                    out[1] += [h] * size
-                    out[2] += [b" %s %d" % (str(doc).encode(), h), *rest]  # no word holds a space; null keys would meet in one task
-                    out[3] += [1, *rest.values()]
-                    out[4] += [n] + [0] * len(rest)
-                    out[5] += [known] + [0] * len(rest)
-                    out[6] += [base, *(-x * m.base_den for x in rest.values())]
-                    out[7] += [score, *(-x * float(m.den[m.rules[w[-2:]]]) for w, x in rest.items())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
-
-    parts = rows.mapInArrow(work, kinds)
-    found = parts.join(vocabulary.where(F.length("word") > 0).hint("merge"), "word", "left")
-    of_text = F.col("n_tokens") > 0
-    more = F.when(of_text, F.lit(0.0)).otherwise(F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(ADD)))
-    sums = found.groupBy("doc_id", "h").agg(
-        F.sum(of_text.cast("long")).alias("times"),  # rows repeated with the same text
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).alias("n_known"),
-        F.sum(F.col("base") + more).alias("base_score"),
-        F.sum(F.col("score") + more).alias("score"),
-    )
+            found = list(zip(*(m.text(t, ends) for t in batch.column("text").to_pylist()))) or [()] * 4
+            columns = [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array([1] * batch.num_rows, pa.int64()), *columns], ["doc_id", "h", "times", "n_tokens", "n_known", "base_score", "score"])
+
+    parts = rows.select("doc_id", "h", "text").mapInArrow(work, "doc_id long, h long, times long, n_tokens long, n_known long, base_score double, score double")
+    table = lambda x, at: F.coalesce(F.get(F.expr(f"cast(split('{','.join(map(repr, x.ravel().tolist()))}', ',') as array<double>)"), at), F.lit(0.0))
+    none = F.lit(0).cast("long")
+    emit = F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(ADD))
+    tails = met.where("class is not null").select(
+        "doc_id", "h", none.alias("times"), none.alias("n_tokens"), F.when(F.col("c") > 0, F.col("n")).otherwise(none).alias("n_known"), (F.col("n") * emit).alias("base_score"),
+        (F.col("n") * (emit - table(model.den, F.col("class")) + table(model.move, before) + table(model.move, after))).alias("score"),
+    )
+    linked = two.select("doc_id", "h", none.alias("times"), none.alias("n_tokens"), none.alias("n_known"), F.lit(0.0).alias("base_score"), (F.col("n") * table(model.move, F.col("pair"))).alias("score"))
+    sums = parts.unionByName(tails).unionByName(linked).groupBy("doc_id", "h").agg(*[F.sum(c).alias(c) for c in parts.columns[2:]])  # times: rows repeated with the same text
     each = [(F.col(c) / F.col("times")).cast(k).alias(c) for c, k in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double"))]
     sums = sums.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return sums.select("doc_id", *each[:2], F.lit(total).cast("long").alias("train_tokens"), *each[2:])

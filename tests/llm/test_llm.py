@@ -287,6 +287,24 @@ def test_exchange_raises_mutual_information():
     assert len(set(of[:10])) == len(set(of[10:])) == 1 and of[0] != of[10]
 
 
+def test_brown_classes_of_words_beyond_the_clustered(spark):
+    """Two kinds of words alternate; all share their last two bytes, and only four are clustered by exchange."""
+    from pyspark.sql import functions as F
+
+    from plyframe.llm.brown import brown_scores
+
+    rng = random.Random(8)
+    kinds = [[f"{k}{i}xx" for i in range(40)] for k in "ab"]
+    weight = [60, 50] + [1] * 38
+    texts = [" ".join(rng.choices(kinds[j % 2], weight)[0] for j in range(60)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000, "a20xx b21xx a22xx b23xx"), (1001, "a20xx a22xx b21xx b23xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for head in (10, 100_000):  # beyond the head too
+        got = by_id(brown_scores(docs, F.col("doc_id") < 1000, head=head, clustered=4, classes=2))
+        assert got[1000]["base_score"] == pytest.approx(got[1001]["base_score"])
+        assert got[1000]["score"] > got[1001]["score"] + 1
+
+
 # --- 6 -----------------------------------------------------------------------------------------------------------------
 
 
