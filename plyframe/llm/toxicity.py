@@ -16,7 +16,8 @@ scored whole.
 
 Defined cases: null and empty texts and texts without words get the lowest score; labels that are null or
 neither 0 nor 1 are left out; of contradicting labels of one document the larger counts; if a class is missing, every score
-is 0 and nothing is predicted toxic; repeated rows give repeated results; an empty table gives an empty result; columns
+is 0 and nothing is predicted toxic; the stage rejects rows by their own text, so rows that share a doc_id, or have none,
+don't share a verdict; repeated rows give repeated results; an empty table gives an empty result; columns
 other than doc_id and text (and doc_id and toxic of the labels) are ignored.
 """
 
@@ -256,7 +257,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int =
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that aren't rejected."""
-    found = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold() != 1)
-    bad = materialize(found.where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct(), "toxic-rejected")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """Pipeline stage: the rows that aren't rejected, each by its own text, whatever its doc_id."""
+    model = train(*sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold() != 1))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(t or "") < CUT for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
