@@ -3,7 +3,7 @@
 1. One hash function maps a document's shingles to 64-bit values; its sketch is the K smallest. Documents with equal sets are
    one class, stood for by the smallest doc_id, so copies never meet in pairs.
 2. Inverted lists of retained values generate overlaps. Two sets as similar as asked share well over SHARED of the
-   retained values (with K = 64 and a similarity of 0.8, less than that is over five standard deviations off), so they share
+   retained values (with K = 64 and a similarity of 0.8, less than that is six standard deviations off), so they share
    one of the rarest (1 - SHARED) * K + 1: only these, ranked by how many classes retain them, are a document's list keys.
    A passage that many documents share fills its own values only and is no key unless it is most of a sketch.
 3. Union-sketch estimation filters pairs, with a margin, and the ratio of set sizes filters exactly.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import attach_groups, materialize, only, text_column
 
-K, SHARED, MARGIN = 64, 0.55, 0.2
+K, SHARED, MARGIN = 64, 0.5, 0.3
 SHINGLE = 5
 ROUNDS, BLOCK = 3, 1024
 PRIME = 0x9E3779B97F4A7C15
