@@ -73,12 +73,12 @@ def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spread(C.corpus(spark)), "pos_id int, uci string, gains boolean, gains_100 boolean, loses_100 boolean", work)
 
 
-def searches(spark: SparkSession, sf_dir: str, depth: int = 1, k: int = 3) -> DataFrame:
-    """The best root moves of each position by iterative deepening over material."""
+def searches(spark: SparkSession, sf_dir: str, depth: int = 2, k: int = 3) -> DataFrame:
+    """The best root moves of each position by iterative deepening to two plies over material, captures to the end."""
 
     def work(r: dict) -> list:
         b, s = K.Board.parse(r["fen"]), K.Search()
-        ranked = s.run(b, depth, chess960=r["chess960"])
+        ranked = s.run(b, depth, chess960=r["chess960"], k=k)
         return [(r["pos_id"], i + 1, score, " ".join(line), d) for i, (score, line, d) in enumerate(ranked[:k])]
 
     return rows_of(spread(C.corpus(spark)), "pos_id int, rank int, score int, line string, depth int", work)

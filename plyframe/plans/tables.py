@@ -107,7 +107,7 @@ def info_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def work(r: dict) -> list:
         b, s = K.Board.parse(r["fen"]), K.Search()
-        ranked = s.run(b, 1, chess960=r["chess960"])
+        ranked = s.run(b, 2, chess960=r["chess960"], k=2)
         if not ranked:
             return [(r["pos_id"], 0, f"info depth 0 score {'mate 0' if b.in_check() else 'cp 0'}"), (r["pos_id"], 99, "bestmove (none)")]
         text = lambda v: f"mate {(K.MATE - v + 1) // 2}" if v > 31000 else f"mate {-((K.MATE + v) // 2)}" if v < -31000 else f"cp {v}"
