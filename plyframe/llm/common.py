@@ -25,7 +25,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written = path
+    return back
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of materialize() that nothing reads any more."""
+    for df in written:
+        if path := getattr(df, "_written", None):
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+#: Bytes of an Arrow batch, so that what a worker holds doesn't depend on how long texts are.
+BATCH_BYTES = "4m"
+
+
+def in_batches(rows: DataFrame, work, schema: str | T.StructType) -> DataFrame:
+    """rows.mapInArrow in batches of bounded bytes, unless the application was started with a bound of its own."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not rows.sparkSession.sparkContext.getConf().contains(setting):
+        rows.sparkSession.conf.set(setting, BATCH_BYTES)
+    return rows.mapInArrow(work, schema)
 
 
 def text_column(name: str = "text") -> Column:
@@ -68,5 +91,26 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, sprea
     return found.select(*[F.col(c) for c in rows.columns], *[F.coalesce(f"_h_{c}", f"_c_{c}").alias(c) for c in values])
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but the rows with a doc_id and text hash (h) of `gone`."""
+    return _by_row(docs, gone, "left_anti").select("_row.*")
+
+
+def one_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs with one of each lot of rows that share doc_id and text. rows: doc_id, h of all of them that may."""
+    often = materialize(rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "h"), "repeated-rows")
+    if often.isEmpty():
+        return docs
+    once = _by_row(docs, often, "left_semi").dropDuplicates(["_doc_id", "_h"]).select("_row.*")
+    return without(docs, often).unionByName(once)
+
+
+def _by_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """_row (all columns, whose names can't clash), _doc_id and _h of docs, joined to rows (doc_id, h)."""
+    held = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64(text_column()).alias("_h"))
+    rows = rows.select("doc_id", "h")
+    return held.join(rows, held["_doc_id"].eqNullSafe(rows["doc_id"]) & (held["_h"] == rows["h"]), how)
+
+
 def schema(text: str) -> T.StructType:
     return T._parse_datatype_string(text)

@@ -1,28 +1,31 @@
 """Near-duplicate groups by bottom-k sketches of word shingles.
 
 1. One hash function maps a document's shingles to 64-bit values; its sketch is the K smallest. Documents with equal sets are
-   one class, stood for by the smallest doc_id, so copies never meet in pairs.
+   one class, so copies never meet in pairs.
 2. Inverted lists of retained values generate overlaps. Two sets as similar as asked share well over SHARED of the
    retained values (with K = 64 and a similarity of 0.8, less than that is six standard deviations off), so they share
-   one of the rarest (1 - SHARED) * K + 1: only these, ranked by how many classes retain them, are a document's list keys.
+   one of the rarest (1 - SHARED) * K + 1: only these, ranked by how many classes retain them, are a class's list keys.
    A passage that many documents share fills its own values only and is no key unless it is most of a sketch.
 3. Union-sketch estimation filters pairs, with a margin, and the ratio of set sizes filters exactly.
-4. Exact Jaccard on the full sets, recomputed from the whole texts, verifies what is left.
+4. Exact Jaccard on the full sets, computed from the whole texts, verifies what is left.
 
-Links are sought until connected groups can't change. Rounds first pair each list's members with one leader, which joins
-most of a large group of near copies by links in proportion to its size. What then still lies in different groups
-within one list is compared in full, in blocks of bounded size. A pair within one group needs no link. Components are
-found by joins; neither links nor labels come to the driver.
+Links are sought until connected groups can't change. Rounds first pair each list's members with one leader (at first the
+member with the fewest values of its own, which is the centre of a group of near copies), so links grow with the group, not
+with its square. Then only lists with members of different groups are open, and among their members exact bounds on the
+full sets decide who can still be linked: of x's shingles, `alone` are in no other open set, so no link of x has more than
+n - alone shingles in common, and a pair's union holds the lone shingles of both. Members that can't reach the similarity
+with any partner go, which makes further shingles lone; what then remains is compared in blocks of bounded size, under the
+same bounds. A pair within one group needs no link. Components are found by joins; neither links nor labels come to the driver.
 
 Defined cases: null and empty texts and texts without words have an empty set, are groups of their own and kept; fewer words
-than a shingle are one shingle; rows with a null doc_id take no part and get a null component; rows repeated with the
-same doc_id and text are one document with equal rows; an empty table gives an empty result; extra columns are ignored.
+than a shingle are one shingle; rows with a null doc_id take no part and get a null component; each row is a document: a
+doc_id that comes with several texts is several documents, linked by their texts alone; rows repeated with the same doc_id
+and text have equal results; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +33,18 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach_groups, materialize, only, text_column
+from .common import attach_groups, discard, in_batches, materialize, one_each, only, text_column, without
 
 K, SHARED, MARGIN = 64, 0.5, 0.3
 SHINGLE = 5
-ROUNDS, BLOCK = 3, 1024
+ROUNDS, PRUNES, BLOCK, STAR = 2, 3, 1024, 256
 PRIME = 0x9E3779B97F4A7C15
 
 
 class Shingler:
     """Sets of shingle hashes. Words: runs of characters other than ASCII white space, A-Z in lower case."""
 
-    def __init__(self, size: int = SHINGLE, keep: int = 500_000):
+    def __init__(self, size: int = SHINGLE, keep: int = 150_000):
         self.size, self.keep, self.known = size, keep, {}
         self.powers = [np.uint64(pow(PRIME, i, 1 << 64)) for i in range(size)]
 
@@ -75,37 +78,54 @@ class Shingler:
         return np.unique(h)
 
 
-def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, h (hash of the text), n (set size), key (of the set; null if empty), sketch (the K smallest values, as signed)."""
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    flat = pa.array(np.concatenate([np.empty(0, dtype=np.int64), *values]), pa.int64())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), flat)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, h (hash of the text), t (its bytes)."""
     rows = only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("t"))
-    rows = rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("t"))
-    names = ["doc_id", "h", "n", "key", "sketch"]
+    return rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("t"))
+
+
+def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id, h, n (set size), key (of the set; null if empty), sketch (the K smallest values, as signed)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Shingler(size)
+        for batch in batches:
+            sizes, keys, least = [], [], []
+            for t in batch.column("t"):
+                x = s.set(t.as_py())
+                sizes.append(len(x))
+                keys.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
+                least.append(x[:K].view(np.int64).copy())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(least)], ["doc_id", "h", "n", "key", "sketch"])
+
+    return in_batches(_texts(docs), work, "doc_id long, h long, n long, key binary, sketch array<long>")
+
+
+def full_sets(docs: DataFrame, chosen: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """a, set (its values as bytes, in order) of the chosen classes (a, doc_id, h). A class may have equal rows, which do no harm."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingler(size)
         for batch in batches:
-            sets = [s.set(t) for t in batch.column("t").to_pylist()]
-            keys = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
-            least = [x[:K].view(np.int64) for x in sets]
-            flat = pa.array(np.concatenate(least) if least else np.empty(0, dtype=np.int64), pa.int64())
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in least])]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("h"), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("a"), pa.array([s.set(t.as_py()).tobytes() for t in batch.column("t")], pa.binary())], ["a", "set"])
 
-    return rows.mapInArrow(work, "doc_id long, h long, n long, key binary, sketch array<long>")
+    return in_batches(_texts(docs).join(chosen, ["doc_id", "h"]).select("a", "t"), work, "a long, set binary")
 
 
 def list_keys(classes: DataFrame) -> DataFrame:
-    """v, a: the rarest retained values of each class that another class retains too."""
-    kept = classes.select(F.col("doc_id").alias("a"), F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
+    """v, a, n, own: the rarest retained values of each class that another class retains too. own: how many no other class retains."""
+    kept = classes.select("a", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
     often = materialize(kept.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-df")
     kept = attach_groups(kept, often, "v", "df", F.xxhash64("a", "v")).where("df is not null")
-    own = Window.partitionBy("a")
-    kept = kept.withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("rank", F.row_number().over(own.orderBy("df", "v")))
+    one = Window.partitionBy("a")
+    kept = kept.withColumn("own", F.col("s") - F.count(F.lit(1)).over(one)).withColumn("rank", F.row_number().over(one.orderBy("df", "v")))
     # values that nobody else retains are rarer still and take the first places
-    places = F.col("s") - F.ceil(F.col("s") * SHARED) + 1 - (F.col("s") - F.col("shared"))
-    return kept.where(F.col("rank") <= places).select("v", "a")
+    return kept.where(F.col("rank") <= F.col("s") - F.ceil(F.col("s") * SHARED) + 1 - F.col("own")).select("v", "a", "n", "own")
 
 
 def _sketch_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -129,50 +149,65 @@ def _padded(sketches: pa.Array) -> np.ndarray:
     return out
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose sizes and sketches allow the similarity."""
-    least = percent / 100 - MARGIN
-    one = classes.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = classes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    sized = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+def _stars(pairs: DataFrame, held: DataFrame, test: Callable[[list, pa.Array, np.ndarray], np.ndarray]) -> DataFrame:
+    """The pairs (hub, b, m) whose values pass the test. held: a and a value; m: a bound of the hub's partners.
+
+    A hub's partners are dealt to blocks of about STAR; the hub's value goes to each block once, a partner's once a pair.
+    test(hub values, partner values, hub of each partner) is asked for a batch of partners.
+    """
+    dealt = pairs.withColumn("blocks", F.ceil(F.col("m") / STAR)).withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")))
+    key, value = ["hub", "blocks", "block"], held.columns[1]
+    hubs = dealt.select(*key).distinct().join(held.withColumnRenamed("a", "hub"), "hub").select(*key, F.lit(None).cast("long").alias("b"), value)
+    members = dealt.select(*key, "b").join(held.withColumnRenamed("a", "b"), "b").select(*key, "b", value)
+    met = hubs.unionByName(members).repartition(*key).sortWithinPartitions(*key, F.col("b").asc_nulls_first())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the hub of the block that is being read
         for batch in batches:
-            for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                keep = _sketch_pairs(_padded(part.column("sa")), _padded(part.column("sb"))) >= least
-                yield part.select(["a", "b"]).filter(pa.array(keep))
+            first = batch.column("b").is_null().to_numpy(zero_copy_only=False)
+            values = batch.column(value)
+            hubs = [last, *(values[i] for i in np.flatnonzero(first).tolist())]
+            last = hubs[-1]
+            mine = np.flatnonzero(~first)
+            if len(mine):
+                keep = test(hubs, values.take(pa.array(mine)), np.cumsum(first)[mine])
+                yield batch.select(["hub", "b", "blocks"]).take(pa.array(mine)).filter(pa.array(keep, pa.bool_()))
 
-    return sized.select("a", "b", "sa", "sb").mapInArrow(work, "a long, b long")
+    return in_batches(met, work, "hub long, b long, blocks long").select("hub", "b", (F.col("blocks") * STAR).alias("m"))
 
 
-def _verified(pairs: DataFrame, held: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs whose full sets are as similar as asked: 100 * intersection >= percent * union. held: id and text t."""
-    met = pairs.join(held.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+def _likely(percent: int) -> Callable:
+    least = percent / 100 - MARGIN
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, sets, held = Shingler(size), {}, 0
-        for batch in batches:
-            keep = []
-            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                if held > 2_000_000:  # values, so 16 MB
-                    sets.clear()
-                    held = 0
-                for i, t in ((a, ta), (b, tb)):
-                    if i not in sets:
-                        sets[i] = s.set(t)
-                        held += len(sets[i])
-                x, y = sets[a], sets[b]
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return met.select("a", "b", "ta", "tb").mapInArrow(work, "a long, b long")
+    def test(hubs: list, partners: pa.Array, of: np.ndarray) -> np.ndarray:
+        flat = [np.array([], dtype=np.int64) if h is None else h.values.to_numpy() for h in hubs]
+        x, y, keep = _padded(_lists(flat)), _padded(partners), np.zeros(len(of), bool)
+        for i in range(0, len(of), 2000):
+            keep[i : i + 2000] = _sketch_pairs(x[of[i : i + 2000]], y[i : i + 2000]) >= least
+        return keep
+
+    return test
+
+
+def _exact(percent: int) -> Callable:
+    def test(hubs: list, partners: pa.Array, of: np.ndarray) -> np.ndarray:
+        keep, known, x = np.zeros(len(of), bool), None, None
+        for i, (k, raw) in enumerate(zip(of.tolist(), partners)):
+            if k != known:
+                known, x = k, np.frombuffer(hubs[k].as_buffer(), dtype=np.uint64)
+            y = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+            common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+            keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
+        return keep
+
+    return test
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (a, c: the smallest member of a's group so far) after the links (a, b). Groups by smallest labels and pointer jumping."""
-    group = lambda side: labels.select(F.col("a").alias(side), F.col("c").alias(f"c{side}"))
-    edges = links.join(group("a"), "a").join(group("b"), "b").where("ca != cb").select(F.greatest("ca", "cb").alias("x"), F.least("ca", "cb").alias("y")).distinct()
+    """labels (a, c: the smallest member of a's group so far) after the links (hub, b). Groups by smallest labels and pointer jumping."""
+    group = labels.select(F.col("a").alias("b"), F.col("c").alias("cb"))
+    hubs = materialize(links.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).join(labels.select(F.col("a").alias("hub"), F.col("c").alias("ca")), "hub"), "near-hubs")
+    edges = attach_groups(links.select("hub", "b"), hubs, "hub", "m", F.xxhash64("hub", "b")).join(group, "b").where("ca != cb").select(F.greatest("ca", "cb").alias("x"), F.least("ca", "cb").alias("y")).distinct()
     edges = materialize(edges, "near-edges")
     parents = None  # x -> c, of groups that a smaller one takes
     while True:
@@ -203,30 +238,68 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(labels.join(roots, "c", "left").select("a", F.coalesce("root", "c").alias("c")), "near-labels")
 
 
-def _leader_pairs(lists: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Each member of a list with the list's leader, if they are in different groups. Leaders come from a hash that all lists share."""
+def _leader_pairs(lists: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
+    """hub, b, m: each member of a list with the list's leader, if they are in different groups and their sizes allow a link.
+
+    Leaders come from an order that all lists share: first the fewest values of one's own, later a hash.
+    """
     held = lists.join(labels, "a")
-    order = F.struct(F.xxhash64(F.lit(turn), "a").alias("k"), F.col("a").alias("a"), F.col("c").alias("c"))
+    order = F.struct(F.when(F.lit(turn == 0), F.col("own")).otherwise(F.lit(0)).alias("own"), F.xxhash64(F.lit(turn), "a").alias("k"), "a", "n", "c")
     leaders = held.groupBy("v").agg(F.min(order).alias("l"), F.count(F.lit(1)).alias("m"))
-    leaders = materialize(leaders.select("v", "m", F.col("l.a").alias("la"), F.col("l.c").alias("lc")), "near-leaders")
-    met = attach_groups(held, leaders, "v", "m", F.xxhash64("a", "v")).where("c != lc")
-    return met.select(F.least("a", "la").alias("a"), F.greatest("a", "la").alias("b")).distinct()
+    leaders = materialize(leaders.select("v", "m", F.col("l.a").alias("hub"), F.col("l.n").alias("ln"), F.col("l.c").alias("lc")), "near-leaders")
+    met = attach_groups(held, leaders, "v", "m", F.xxhash64("a", "v")).where("c != lc").where(F.least("n", "ln") * 100 >= F.greatest("n", "ln") * percent)
+    return met.groupBy("hub", F.col("a").alias("b")).agg(F.max("m").alias("m"))
+
+
+def _open_lists(held: DataFrame) -> DataFrame:
+    """The rows of the lists whose members are in different groups, with m, the list's length."""
+    ends = held.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("v", "m")
+    return attach_groups(held, materialize(ends, "near-open"), "v", "m", F.xxhash64("a", "v")).where("m is not null")
 
 
-def _open_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All likely pairs of different groups within a list, compared in blocks of BLOCK members against BLOCK members.
+def _alone(sets: DataFrame) -> DataFrame:
+    """a, alone: how many values of a set no other of these sets holds."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column("set")]
+            if values:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), pa.array(np.repeat(batch.column("a").to_numpy(), [len(x) for x in values]))], ["x", "a"])
+
+    flat = in_batches(sets, work, "x long, a long")
+    return flat.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("a")).where("n = 1").groupBy("a").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def _open_members(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows of open lists (v, a, n, c, m, alone) whose members may still have a link to another group."""
+    held = lists.select("v", "a", "n").join(labels, "a")
+    for _ in range(PRUNES):
+        held = materialize(_open_lists(held), "near-open-lists")
+        members = held.select("a", "n").distinct()
+        before = members.count()
+        lone = _alone(sets.join(members.select("a"), "a", "left_semi"))
+        able = members.join(lone, "a", "left").select("a", F.coalesce("alone", F.lit(0)).alias("alone"), "n").where(F.expr(f"100 * (n - alone) >= {percent} * n"))
+        able = materialize(able.select("a", "alone"), "near-able")
+        held = held.drop("m").join(able, "a")
+        if not before or able.count() > 0.9 * before:
+            break
+        held = held.drop("alone")
+    else:
+        held = held.join(able, "a")
+    return _open_lists(held)
+
 
-    A pair comes from one list alone, that of the least key which both have.
+def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """hub, b, m: all likely pairs of different groups within a list, compared in blocks of BLOCK members against BLOCK members.
+
+    held: of _open_members. A pair comes from one list alone, that of the least key which both have.
     """
-    keys = lists.groupBy("a").agg(F.sort_array(F.collect_list("v")).alias("keys"))  # up to K of each
-    held = lists.join(labels, "a")
-    ends = held.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("v", "m")
-    held = attach_groups(held, materialize(ends, "near-open"), "v", "m", F.xxhash64("a", "v")).where("m is not null")
+    keys = lists.join(held.select("a").distinct(), "a", "left_semi").groupBy("a").agg(F.sort_array(F.collect_list("v")).alias("keys"))  # up to K of each
     blocks = F.ceil(F.col("m") / BLOCK).cast("long")
     mine = F.pmod(F.xxhash64("a"), blocks)
     held = held.withColumn("blocks", blocks).withColumn("i", mine).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    held = held.select("v", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "a", "c")
-    held = held.join(classes.select(F.col("doc_id").alias("a"), "n", "sketch"), "a").join(keys, "a")
+    held = held.select("v", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "a", "c", "n", "alone")
+    held = held.join(classes.select("a", "sketch"), "a").join(keys, "a")
     dealt = held.repartition("v", "p", "q").sortWithinPartitions("v", "p", "q", "a")
     least = percent / 100 - MARGIN
 
@@ -236,20 +309,22 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent
             v, p, q = (t.column(x)[0].as_py() for x in ("v", "p", "q"))
             own: dict[int, set] = {}
             keys_of = lambda x: own[x] if x in own else own.setdefault(x, set(t.column("keys")[x].as_py()))
-            a, c, n, i = (t.column(x).to_numpy() for x in ("a", "c", "n", "i"))
+            a, c, n, i, alone = (t.column(x).to_numpy() for x in ("a", "c", "n", "i", "alone"))
             sk = _padded(t.column("sketch").chunk(0) if t.column("sketch").num_chunks else pa.array([], pa.list_(pa.int64())))
             left = np.flatnonzero(i == p)
             right = np.flatnonzero(i == q)
             out = [np.empty((0, 2), dtype=np.int64)]
             for x in left:
                 y = right[(a[right] > a[x]) if p == q else np.ones(len(right), bool)]
-                y = y[(c[y] != c[x]) & (np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent)]
+                common = np.minimum(n[y] - alone[y], n[x] - alone[x])
+                union = np.maximum(n[y] + n[x] - common, common + alone[y] + alone[x])
+                y = y[(c[y] != c[x]) & (100 * common >= percent * union)]
                 if len(y):
                     y = y[_sketch_pairs(np.repeat(sk[x][None], len(y), 0), sk[y]) >= least]
                     y = y[[min(keys_of(int(x)) & keys_of(int(z))) == v for z in y.tolist()]] if len(y) else y
-                    out.append(np.stack([np.minimum(a[x], a[y]), np.maximum(a[x], a[y])], 1))
+                    out.append(np.stack([np.full(len(y), a[x]), a[y]], 1))
             got = np.concatenate(out)
-            return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["hub", "b"])
 
         key, held_ = None, []
         for batch in batches:
@@ -266,41 +341,54 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent
         if held_:
             yield compare(held_)
 
-    return dealt.mapInArrow(work, "a long, b long").distinct()
+    return in_batches(dealt, work, "hub long, b long").distinct().withColumn("m", F.lit(1).cast("long"))
 
 
-def near_groups(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= percent * union."""
+def grouped(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
+    """near_groups() with h, the hash of the row's text."""
     held = materialize(sketches(docs, size), "near-sketches")
-    sets = held.where("n > 0 and doc_id is not null")
-    classes = sets.groupBy("key").agg(F.min(F.struct("doc_id", "h", "n", "sketch")).alias("r"), F.count(F.lit(1)).alias("copies"))
-    classes = materialize(classes.select("key", "copies", "r.*"), "near-classes")
-    # one doc_id with two texts stands for two classes: the texts are linked through it
-    lists = materialize(list_keys(classes).distinct(), "near-lists")
-    labels = materialize(classes.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("c")).distinct(), "near-labels")
-    texts = only(docs, doc_id="long", text="string").select(F.col("doc_id").alias("id"), text_column().alias("t"))
-    texts = texts.select("id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("t"))
-    listed = lists.select(F.col("a").alias("id")).distinct().join(classes.select(F.col("doc_id").alias("id"), "h"), "id")
-    texts = materialize(texts.join(listed, ["id", "h"], "left_semi").select("id", "t"), "near-texts")
-    tested = None
+    filled = held.where("n > 0 and doc_id is not null")
+    classes = filled.groupBy("key").agg(F.min(F.struct("doc_id", "h", "n", "sketch")).alias("r"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("a"), "key", "copies", "r.*"), "near-classes")
+    lists = materialize(list_keys(classes), "near-lists")
+    labels = classes.select("a", F.col("a").alias("c"))
+    sets = materialize(full_sets(docs, classes.join(lists.select("a").distinct(), "a", "left_semi").select("a", "doc_id", "h"), size), "near-sets")
     for turn in range(ROUNDS + 1):
-        pairs = _likely(_leader_pairs(lists, labels, turn), classes, percent) if turn < ROUNDS else _open_pairs(lists, labels, classes, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if turn < ROUNDS:
+            used = materialize(_leader_pairs(lists, labels, turn, percent), "near-leads")
+            pairs = _stars(used, classes.select("a", "sketch"), _likely(percent))
+        else:
+            used = materialize(_open_members(lists, labels, sets, percent), "near-open-members")
+            pairs = _open_pairs(lists, used, classes, percent)
         pairs = materialize(pairs, "near-pairs")
-        if pairs.isEmpty():
-            continue
-        links = materialize(_verified(pairs, texts, percent, size), "near-links")
-        labels = components(labels, links)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-    named = classes.join(labels, classes["doc_id"] == labels["a"]).select("key", "copies", F.col("c").alias("component_id"))
-    known = F.when(F.col("doc_id").isNotNull(), F.col("key"))
-    found = attach_groups(held.withColumn("key", F.coalesce(known, F.unhex(F.sha2(F.concat_ws(" ", "doc_id", "h"), 256)))), materialize(named, "near-named"), "key", "copies", F.unhex(F.sha2(F.concat_ws(" ", "doc_id", "h"), 256)))
+        if not pairs.isEmpty():
+            links, before = materialize(_stars(pairs, sets, _exact(percent)), "near-links"), labels
+            labels = components(labels, links)
+            discard(links, *([before] if before is not labels else []))
+        discard(used, pairs)
+    named = classes.select("a", "key", "copies", "doc_id").join(labels, "a")
+    groups = materialize(named.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("m")), "near-groups")
+    named = attach_groups(named, groups, "c", "m", F.xxhash64("a")).select("key", "copies", "component_id")
+    named = materialize(named, "near-named")
+    discard(classes, lists, sets, labels, groups)
+    alone = F.unhex(F.sha2(F.concat_ws(" ", "doc_id", "h"), 256))
+    held = held.withColumn("key", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("key")), alone))
+    found = attach_groups(held, named, "key", "copies", alone)
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("doc_id", "h", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def near_groups(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= percent * union."""
+    return grouped(docs, percent, size).drop("h")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group stays."""
-    gone = materialize(near_groups(docs, percent=80).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """Pipeline stage, at a similarity of 80 %: of each group one row stays, one with the smallest doc_id; of several texts under
+    that id the one with the smallest hash. Rows with a null doc_id all stay."""
+    rows = materialize(grouped(docs, percent=80), "near-verdicts").where("doc_id is not null")
+    best = rows.where("kept").groupBy("component_id").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("m"))
+    gone = rows.where("not kept").select("doc_id", "h").unionByName(
+        rows.where("kept").join(best.where("m > 1").select("component_id", F.col("h").alias("_h")), "component_id").where("h <> _h").select("doc_id", "h")
+    )
+    return one_each(without(docs, gone.distinct()), rows.where("kept"))
