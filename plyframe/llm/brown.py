@@ -2,14 +2,15 @@
 
 The score of a token is log10 P(class | class before) + log10 P(word | class). The most frequent words are put into classes
 by exchange clustering: each word in turn moves to the class that raises the mutual information of adjacent classes most.
-Then every other word seen LEAST times goes to the class that raises it most against the class matrix of the first ones, in a
-distributed pass over (word, class beside it). Words seen once stand for the unseen ones: both are in classes by a hash of their
+Then every other word seen LEAST times goes to the class that raises it most against the class matrix of the first ones, by
+its own counts of the classes beside it. Words seen once stand for the unseen ones: both are in classes by a hash of their
 last two bytes. The end of a text is a class of its own. Transitions are then counted anew over the classes of all words.
 Transitions are smoothed towards the class frequencies, emissions by ADD for each known word and one unknown word a class.
 
-All counts are over all training texts. What the tasks get with them is bounded: the HEAD most frequent words with their
-classes and log-probabilities. Tokens beyond the head are rare, so they meet their counts and classes in a shuffled join
-without hot keys, with the classes beside them; where two of them are adjacent, the second one is joined as well.
+All counts are over all training texts. Texts are read twice: to count words, and to write them as numbers of the HEAD most
+frequent words, with the other words beside them. The numbers then serve every pass. What the tasks get is bounded: the
+head's words, classes and counts. Words beyond the head are rare, so their tokens meet by word without hot keys, where they are
+counted and put into classes, and go back to their texts with both; each text is then a sequence of classes.
 
 Defined cases: null text counts as empty; an empty text is its end token; a null doc_id is neither trained on nor held out;
 without training texts all counts are 0; repeated rows give repeated results; an empty table gives an empty result; columns
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only, text_column
+from .common import discard, in_batches, materialize, only, text_column
 
 ADD = 0.1
 HEAD, CLUSTERED, CLASSES, RULES = 100_000, 1000, 64, 32
@@ -37,7 +38,7 @@ LEAST = 2
 #: Weight of the class frequencies in a transition.
 BACK = 5.0
 #: Distinct words that a task counts before it passes them on.
-HELD = 400_000
+HELD = 300_000
 END = b""
 
 
@@ -56,45 +57,112 @@ def count_words(texts: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen.update(tokens(text))
+            for text in batch.column("text"):
+                seen.update(tokens(text.as_py()))
                 seen[END] += 1
-                if len(seen) > HELD:
-                    yield flush(seen)
-                    seen.clear()
+            if len(seen) > HELD:
+                yield flush(seen)
+                seen.clear()
         yield flush(seen)
 
     def flush(seen: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
-    return texts.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return in_batches(texts.select("text"), work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def count_bigrams(texts: DataFrame, number: dict[bytes, int]) -> np.ndarray:
-    """Adjacent pairs among the clustered words, the rule classes and the end, over all texts: a matrix of fixed size."""
-    n = len(number)
-    width, end = n + RULES + 1, n + RULES
-    shared = texts.sparkSession.sparkContext.broadcast(number)
+def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """About `most` (word, c), most frequent first: whole bands of counts from the top, and of the band that doesn't go in the words with the smallest hashes.
+
+    Each task sends only rows that belong to the result; the bands, 16 an octave, are at most a thousand rows, and so are a band's
+    4096 lots of hashes.
+    """
+    banded = vocabulary.withColumn("band", F.floor(F.log2("c") * 16)).withColumn("lot", F.pmod(F.xxhash64("word"), F.lit(4096)))
+    room, last, lots = most, None, 0
+    for r in sorted(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["band"]):
+        last = r["band"]
+        if r["n"] > room:
+            for x in banded.where(F.col("band") == last).groupBy("lot").agg(F.count(F.lit(1)).alias("n")).orderBy("lot").collect():
+                if x["n"] > room:
+                    break
+                room, lots = room - x["n"], x["lot"] + 1
+            break
+        room, lots = room - r["n"], 4096
+    if last is None:
+        return []
+    found = banded.where((F.col("band") > last) | (F.col("band") == last) & (F.col("lot") < lots)).select("word", "c").collect()
+    return sorted(((bytes(r["word"]), r["c"]) for r in found), key=lambda x: (-x[1], x[0]))
+
+
+def encode(rows: DataFrame, number: dict[bytes, int]) -> DataFrame:
+    """rid (unique), doc_id, train, ids (a 32-bit number a word: the head's, or -1 - rule beyond it), rest (the words beyond it).
+
+    rows: rid, doc_id, train, text.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(number)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, sums, rules = shared.value.get, np.zeros(width * width, dtype=np.int64), {}
+        get, rules = shared.value.get, {}
         for batch in batches:
-            codes = []
-            for text in batch.column("text").to_pylist():
-                codes.append(end)
-                for word in tokens(text):
-                    if (i := get(word)) is None:
-                        if (i := rules.get(tail := word[-2:])) is None:
-                            i = rules[tail] = n + rule(word)
-                    codes.append(i)
-            codes.append(end)  # the end of one text is the start of the next
-            ids = np.array(codes, dtype=np.int64)
-            if len(ids) > 1:
-                sums += np.bincount(ids[:-1] * width + ids[1:], minlength=width * width)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
+            ids, rest = [], []
+            for text in batch.column("text"):
+                words = tokens(text.as_py())
+                found = list(map(get, words))
+                beyond = []
+                if None in found:
+                    for i, x in enumerate(found):
+                        if x is None:
+                            word = words[i]
+                            beyond.append(word)
+                            if (r := rules.get(tail := word[-2:])) is None:
+                                r = rules[tail] = -1 - rule(word)
+                            found[i] = r
+                ids.append(np.array(found, dtype=np.int32).tobytes())
+                rest.append(beyond)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rid", "doc_id", "train")), pa.array(ids, pa.binary()), pa.array(rest, pa.list_(pa.binary()))], ["rid", "doc_id", "train", "ids", "rest"])
+
+    return in_batches(rows.select("rid", "doc_id", "train", "text"), work, "rid long, doc_id long, train boolean, ids binary, rest array<binary>")
+
+
+def _laid(ids: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers of several texts end to end, each text's length, and the places of the numbers where an end stands before each text and after the last."""
+    values = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in ids]
+    sizes = np.array([len(v) for v in values], dtype=np.int64)
+    flat = np.concatenate([np.empty(0, dtype=np.int32), *values]).astype(np.int64)
+    return flat, sizes, np.arange(len(flat)) + np.repeat(np.arange(1, len(sizes) + 1), sizes)
+
+
+def _codes(ids: pa.Array, head: np.ndarray, beyond: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """_laid(), and the texts' codes with ends: head has the code of each head word, rule classes begin at `beyond`."""
+    flat, sizes, at = _laid(ids)
+    out = np.full(len(flat) + len(sizes) + 1, end, dtype=np.int64)
+    out[at] = np.where(flat >= 0, head[np.maximum(flat, 0)] if len(head) else 0, beyond - 1 - flat)
+    return flat, sizes, at, out
+
+
+def count_pairs(coded: DataFrame, head: np.ndarray, beyond: int) -> np.ndarray:
+    """Adjacent codes over all texts, as a matrix of fixed size; the end is the last code."""
+    width = beyond + RULES + 1
+    shared = coded.sparkSession.sparkContext.broadcast(head)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(width * width, dtype=np.int64)
+        for batch in batches:
+            *_, codes = _codes(batch.column("ids"), shared.value, beyond, width - 1)
+            np.add.at(sums, codes[:-1] * width + codes[1:], 1 if len(codes) > 1 else 0)
+        yield _sparse(sums)
+
+    return _square(in_batches(coded.select("ids"), work, "pair long, n long"), width)
+
 
-    rows = texts.select("text").mapInArrow(work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+def _sparse(sums: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(sums)
+    return pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
+
+
+def _square(pairs: DataFrame, width: int) -> np.ndarray:
+    """pair, n summed up as a matrix: at most width * width rows."""
+    rows = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(width * width)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(width, width)
@@ -152,296 +220,256 @@ def exchange(pairs: np.ndarray, n: int, classes: int = CLASSES, passes: int = 6)
     return of[:n]
 
 
-def neighbours(texts: DataFrame, chosen: list[bytes], clusters: np.ndarray, k: int) -> DataFrame:
-    """word, codes, counts: how often each class follows a word (code), or comes before it (groups + code), over all texts.
+class Chooser:
+    """Classes of words by the classes beside them, against the matrix of the clustered words' classes: those that raise the mutual information most."""
 
-    Every word but the chosen ones has rows, one or more; words beyond the chosen are in their rule classes here.
-    """
-    groups = k + RULES + 1
+    def __init__(self, moves: np.ndarray, k: int):
+        self.k, self.groups = k, len(moves)
+        self.to = np.concatenate([moves[:k].T, moves[:, :k]])  # of each code: tokens of each class beside it
+        self.logs, self.one, self.two = _f(self.to), moves[:k].sum(1), moves[:, :k].sum(0)
+
+    def choose(self, c: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Class of each word. c: its count; word, code, n: sorted by word; a class that follows a word is its code, one before it comes after all of these."""
+        gain = _f(self.one) + _f(self.two) - _f(self.one + c[:, None]) - _f(self.two + c[:, None])
+        for i in range(0, len(word), 1 << 14):
+            x, w = code[i : i + (1 << 14)], word[i : i + (1 << 14)]
+            starts = np.flatnonzero(np.diff(w, prepend=-1))
+            gain[w[starts]] += np.add.reduceat(_f(self.to[x] + n[i : i + (1 << 14), None]) - self.logs[x], starts)
+        return gain.argmax(1)
+
+
+def head_classes(coded: DataFrame, of: np.ndarray, first: int, chooser: Chooser, counts: np.ndarray) -> np.ndarray:
+    """Classes of the head words from number `first` on. of: classes of the first ones, and rule classes of the others."""
+    k, groups, n = chooser.k, chooser.groups, len(of) - first
+    out = of.copy()
+    if n <= 0 or not k:
+        return out
     width = 2 * groups
-    first = [END, *chosen]
-    shared = texts.sparkSession.sparkContext.broadcast((first, [groups - 1, *map(int, clusters)]))
+    shared = coded.sparkSession.sparkContext.broadcast(of)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, held, size = _Numbers(*shared.value, k), [], 0
+        sums = np.zeros(n * width, dtype=np.int32)  # of bounded size
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                ids = [0]
-                for text in part.column("text").to_pylist():
-                    ids.extend(map(numbers.__getitem__, tokens(text)))
-                    ids.append(0)
-                a = np.array(ids, dtype=np.int64)
-                of = np.array(numbers.codes, dtype=np.int64)[a]
-                after, before = a[:-1] * width + of[1:], a[1:] * width + groups + of[:-1]
-                held.append(np.unique(np.concatenate([after[a[:-1] >= len(first)], before[a[1:] >= len(first)]]), return_counts=True))
-                size += len(held[-1][0])
-                if size > 3_000_000 or len(numbers) > HELD:
-                    yield flush(numbers, held)
-                    numbers, held, size = _Numbers(*shared.value, k), [], 0
-        yield flush(numbers, held)
-
-    def flush(numbers: _Numbers, held: list) -> pa.RecordBatch:
-        keys = np.concatenate([np.empty(0, np.int64), *(x for x, _ in held)])
-        at, where = np.unique(keys, return_inverse=True)
-        n = np.bincount(where, weights=np.concatenate([np.empty(0), *(x for _, x in held)]), minlength=len(at))
-        word = at // width
+            flat, _, at, codes = _codes(batch.column("ids"), shared.value, k, groups - 1)
+            mine = flat >= first
+            base, at = (flat[mine] - first) * width, at[mine]
+            np.add.at(sums, base + codes[at + 1], 1)
+            np.add.at(sums, base + groups + codes[at - 1], 1)
+        at = np.flatnonzero(sums)
+        word, values = at // width, sums[at]
         starts = np.flatnonzero(np.diff(word, prepend=-1))
         offsets = pa.array(np.append(starts, len(at)), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x, t)) for x, t in ((at % width, pa.int16()), (n.astype(np.int64), pa.int32()))]
-        return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.binary()).take(pa.array(word[starts])), *lists], ["word", "codes", "counts"])
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(t))) for x, t in ((at % width, np.int16), (values, np.int32))]
+        yield pa.RecordBatch.from_arrays([pa.array(word[starts]), *lists], ["word", "codes", "n"])
 
-    return texts.select("text").mapInArrow(work, "word binary, codes array<short>, counts array<int>")
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells: dict[str, list] = {"key": [np.empty(0, np.int64)], "n": [np.empty(0, np.int64)]}
+        size = 0
+        for batch in batches:
+            codes = batch.column("codes")
+            cells["key"].append(np.repeat(batch.column("word").to_numpy(), codes.value_lengths().to_numpy()) * width + codes.flatten().to_numpy())
+            cells["n"].append(batch.column("n").flatten().to_numpy().astype(np.int64))
+            size += len(cells["n"][-1])
+            if size > 4_000_000:
+                key, m = summed(cells)
+                cells, size = {"key": [key], "n": [m]}, 0
+        key, m = summed(cells)
+        words, word = np.unique(key // width, return_inverse=True)
+        if len(words):
+            got = chooser.choose(counts[words + first], word, key % width, m.astype(float))
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(got.astype(np.int32))], ["word", "class"])
+
+    def summed(cells: dict[str, list]) -> tuple[np.ndarray, np.ndarray]:
+        key, where = np.unique(np.concatenate(cells["key"]), return_inverse=True)
+        return key, np.bincount(where, weights=np.concatenate(cells["n"]), minlength=len(key)).astype(np.int64)
+
+    found = in_batches(coded.select("ids"), work, "word long, codes array<short>, n array<int>").repartition("word")
+    rows = in_batches(found, pick, "word long, class int").toArrow()  # at most a row a head word
+    word, got = (rows.column(c).to_numpy() for c in ("word", "class"))
+    out[word + first] = np.where(counts[word + first] >= LEAST, got, out[word + first])
+    return out
 
 
-class _Numbers(dict):
-    """Numbers of words as they come, with their classes; the first ones are given."""
+def tails(coded: DataFrame, of: np.ndarray, k: int) -> DataFrame:
+    """rid, x, word of each token beyond the head. x: its place, the classes after and before it (rule classes beyond the head) and train as one number."""
+    groups = k + RULES + 1
+    shared = coded.sparkSession.sparkContext.broadcast(of)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, sizes, at, codes = _codes(batch.column("ids"), shared.value, k, groups - 1)
+            mine = np.flatnonzero(flat < 0)
+            text = np.repeat(np.arange(len(sizes)), sizes)[mine]
+            place = mine - (np.cumsum(sizes) - sizes)[text]
+            train = batch.column("train").to_numpy(zero_copy_only=False)[text]
+            x = ((place * groups + codes[at[mine] + 1]) * groups + codes[at[mine] - 1]) * 2 + train
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("rid").to_numpy()[text]), pa.array(x), batch.column("rest").flatten()], ["rid", "x", "word"])
+
+    return in_batches(coded.select("rid", "train", "ids", "rest"), work, "rid long, x long, word binary")
+
+
+def tail_classes(found: DataFrame, chooser: Chooser) -> DataFrame:
+    """rid, place, class, c of the tokens of tails(): their words' classes and counts. Rows with a null rid count the distinct
+    words of a class that occur in training texts (c)."""
+    k, groups = chooser.k, chooser.groups
+
+    def judge(t: pa.Table) -> pa.RecordBatch:
+        words = t.column("word").combine_chunks()
+        x, rid = (t.column(c).to_numpy() for c in ("x", "rid"))
+        named = words.dictionary_encode()
+        word, names = named.indices.to_numpy().astype(np.int64), named.dictionary.to_pylist()  # numbered as they come, so sorted
+        train, before, after, place = (x & 1) > 0, x // 2 % groups, x // (2 * groups) % groups, x // (2 * groups * groups)
+        c = np.bincount(word, weights=train, minlength=len(names)).astype(np.int64)
+        best = np.array([k + rule(w) for w in names], dtype=np.int64)
+        if k:
+            w = word[train]
+            key, n = np.unique(np.concatenate([w * 2 * groups + after[train], w * 2 * groups + groups + before[train]]), return_counts=True)
+            best = np.where(c >= LEAST, chooser.choose(c, key // (2 * groups), key % (2 * groups), n.astype(float)), best)
+        known = np.bincount(best[c > 0], minlength=groups)
+        at = np.flatnonzero(known)
+        columns = [pa.array([*rid.tolist(), *[None] * len(at)], pa.int64()), pa.array(np.concatenate([place, np.zeros(len(at), np.int64)])), pa.array(np.concatenate([best[word], at]).astype(np.int32)), pa.array(np.concatenate([c[word], known[at]]))]
+        return pa.RecordBatch.from_arrays(columns, ["rid", "place", "class", "c"])
 
-    def __init__(self, first: list[bytes], codes: list[int], k: int):
-        super().__init__(zip(first, range(len(first))))
-        self.codes, self.k = list(codes), k
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None  # from the start of a word on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = batch.column("word")[-1]
+            if new == last:
+                held.append(batch)
+                continue
+            words = batch.column("word").to_pylist()
+            cut = batch.num_rows - 1
+            while cut and words[cut - 1] == words[-1]:
+                cut -= 1
+            yield judge(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held, last = [batch.slice(cut)], new
+        if held:
+            yield judge(pa.Table.from_batches(held))
 
-    def __missing__(self, word: bytes) -> int:
-        i = self[word] = len(self)
-        self.codes.append(self.k + rule(word))
-        return i
+    met = found.repartition("word").sortWithinPartitions("word")
+    return in_batches(met, work, "rid long, place long, class int, c long")
 
 
-def assign(found: DataFrame, moves: np.ndarray, k: int) -> DataFrame:
-    """word, c, class of the words of neighbours(): of those seen LEAST times the class that raises the mutual information most.
+def classed(coded: DataFrame, named: DataFrame, of: np.ndarray, counts: np.ndarray, end: int) -> DataFrame:
+    """doc_id, train, n (words), known (words that training texts hold), logs (sum of log10(c + ADD) of the words), classes (of each word, 16 bits).
 
-    Each word is exchanged against the class matrix of the chosen words, so words don't depend on one another.
+    named: rid, place, class, c of the words beyond the head.
     """
-    groups = len(moves)
-    width = 2 * groups
-    to = np.concatenate([moves[:k].T, moves[:, :k]])  # of each code: tokens of each class beside it
-    logs, one, two = _f(to), moves[:k].sum(1), moves[:, :k].sum(0)
-
-    def choose(part: pa.Table) -> pa.RecordBatch:
-        part = part.combine_chunks()
-        words = part.column("word").to_pylist()
-        fresh = np.array([True, *(x != y for x, y in zip(words, words[1:]))])
-        codes, counts = (pa.concat_arrays(part.column(c).chunks) for c in ("codes", "counts"))
-        key = np.repeat(np.cumsum(fresh) - 1, codes.value_lengths().to_numpy()) * width + codes.flatten().to_numpy()
-        at, where = np.unique(key, return_inverse=True)
-        n = np.bincount(where, weights=counts.flatten().to_numpy())
-        word, code = at // width, at % width
-        words = [words[i] for i in np.flatnonzero(fresh)]
-        c = np.bincount(word, weights=n * (code < groups), minlength=len(words))  # something follows each token
-        best = np.array([k + rule(w) for w in words])
-        if k:
-            gain = _f(one) + _f(two) - _f(one + c[:, None]) - _f(two + c[:, None])
-            for i in range(0, len(at), 1 << 14):
-                x, w = code[i : i + (1 << 14)], word[i : i + (1 << 14)]
-                starts = np.flatnonzero(np.diff(w, prepend=-1))
-                gain[w[starts]] += np.add.reduceat(_f(to[x] + n[i : i + (1 << 14), None]) - logs[x], starts)
-            best = np.where(c >= LEAST, gain.argmax(1), best)
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(best.astype(np.int32))], ["word", "c", "class"])
+    shared = coded.sparkSession.sparkContext.broadcast((of, counts))
+    blank = lambda kind: F.lit(None).cast(kind)
+    texts = coded.select("rid", blank("long").alias("place"), "doc_id", "train", "ids", blank("int").alias("class"), blank("long").alias("c"))
+    words = named.select("rid", "place", blank("long").alias("doc_id"), blank("boolean").alias("train"), blank("binary").alias("ids"), "class", "c")
+    met = texts.unionByName(words).repartition("rid").sortWithinPartitions("rid", F.col("place").asc_nulls_first())
+    names = ["doc_id", "train", "n", "known", "logs", "classes"]
+
+    def judge(t: pa.Table) -> pa.RecordBatch:
+        of, counts = shared.value
+        first = t.column("place").is_null().to_numpy()
+        rows = t.filter(pa.array(first))
+        flat, sizes, at, codes = _codes(rows.column("ids").combine_chunks(), of, 0, end)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        c = counts[np.maximum(flat, 0)] if len(counts) else np.zeros(len(flat), np.int64)
+        words = t.filter(pa.array(~first))
+        owner = (np.cumsum(first) - 1)[~first]
+        place = (np.cumsum(sizes) - sizes)[owner] + words.column("place").to_numpy()
+        codes[at[place]] = words.column("class").to_numpy()
+        c = c.astype(np.int64)
+        c[place] = words.column("c").to_numpy()
+        logs = np.bincount(text, weights=np.log10(c + ADD), minlength=len(sizes))
+        known = np.bincount(text, weights=c > 0, minlength=len(sizes)).astype(np.int64)
+        short = codes[at].astype(np.uint16)
+        edges = np.cumsum(sizes)
+        return pa.RecordBatch.from_arrays([
+            rows.column("doc_id").combine_chunks(), rows.column("train").combine_chunks(), pa.array(sizes), pa.array(known), pa.array(logs),
+            pa.array([short[a:z].tobytes() for a, z in zip((edges - sizes).tolist(), edges.tolist())], pa.binary()),
+        ], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None  # rows of the last word, which may go on
+        held: list[pa.RecordBatch] = []  # from the start of a text on
         for batch in batches:
-            if not batch.num_rows:
+            starts = np.flatnonzero(batch.column("place").is_null().to_numpy(zero_copy_only=False))
+            if not len(starts):
+                held.append(batch)
                 continue
-            t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            last, cut = t.column("word")[-1], t.num_rows - 1
-            while cut and t.column("word")[cut - 1] == last:
-                cut -= 1
-            if cut:
-                yield choose(t.slice(0, cut))
-            rest = t.slice(cut)
-        if rest is not None:
-            yield choose(rest)
+            cut = int(starts[-1])
+            if held or cut:
+                yield judge(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held = [batch.slice(cut)]
+        if held and sum(b.num_rows for b in held):
+            yield judge(pa.Table.from_batches(held))
 
-    return found.repartition("word").sortWithinPartitions("word").mapInArrow(work, "word binary, c long, class int")
+    return in_batches(met, work, "doc_id long, train boolean, n long, known long, logs double, classes binary")
 
 
 class Brown:
-    """What a task needs: the head words with class, emission and unigram log10, transitions, and the rest's denominators.
-
-    pairs is over the clustered words, or over their classes if `of` has the class of each head word and `words` the size of each class.
-    """
+    """Transitions and denominators, as log10. moves: adjacent classes of the training texts, ends last; words: distinct words of each class."""
 
-    def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int, pairs: np.ndarray, clusters: np.ndarray, rule_words: np.ndarray, of: np.ndarray | None = None, words: np.ndarray | None = None):
-        n = len(clusters)
-        k = int(max(clusters, default=-1)) + 1
-        groups = k + RULES + 1
-        self.end = groups - 1
-        if of is None:
-            to = np.concatenate([clusters, np.arange(k, groups)]).astype(int)
-            one = np.zeros((len(to), groups))
-            one[np.arange(len(to)), to] = 1
-            moves = one.T @ pairs @ one
-        else:
-            moves = pairs
+    def __init__(self, moves: np.ndarray, words: np.ndarray, total: int, distinct: int, ends: int):
+        groups = len(moves)
         uses = moves.sum(0)
         share = (uses + 1) / (uses.sum() + groups)
         self.move = np.log10((moves + BACK * share) / (moves.sum(1, keepdims=True) + BACK))
-        if words is None:
-            words = np.zeros(groups)
-            words[:k] = np.bincount(clusters, minlength=k) if n else 0
-            words[k : k + RULES] = rule_words
         self.den = np.log10(uses + ADD * (words + 1))  # of emissions, by class
-        self.base_den = math.log10(total + ADD * (distinct + 1))
-        self.classes = k
-        self.number = {w: i for i, (w, _) in enumerate(head)}
-        counts = np.array([c for _, c in head], dtype=float)
-        self.of = np.array([clusters[i] if i < n else k + rule(w) for i, (w, _) in enumerate(head)], dtype=int) if of is None else of
-        self.emit = np.log10(counts + ADD) - self.den[self.of] if len(head) else np.zeros(0)
-        self.base = np.log10(counts + ADD) - self.base_den
-
-    def text(self, text: bytes, ends: int) -> tuple[int, int, float, float]:
-        """Tokens, known ones, base score and score as far as the head tells. ends: end tokens trained on."""
-        words = tokens(text)
-        ids, of = codes(words, self.number, self.of, self.end)
-        head = ids[ids >= 0]
-        inside = (of[:-1] >= 0) & (of[1:] >= 0)
-        score = float(self.move[of[:-1][inside], of[1:][inside]].sum() + self.emit[head].sum())
-        base = float(self.base[head].sum()) + math.log10(ends + ADD) - self.base_den * (1 + len(words) - len(head))
-        return len(words) + 1, len(head) + (ends > 0), base, score
-
-
-def codes(words: list[bytes], number: dict[bytes, int], of: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Head numbers of a text's words, and their classes between two ends; -1 beyond the head."""
-    ids = np.fromiter(map(number.get, words, _minus()), dtype=np.int64, count=len(words))
-    out = np.full(len(words) + 2, end)
-    out[1:-1] = np.where(ids >= 0, of[ids], -1) if len(of) else -1
-    return ids, out
-
-
-def _minus():
-    while True:
-        yield -1
-
-
-def _tails(rows: DataFrame, number: dict[bytes, int], of: np.ndarray, k: int) -> DataFrame:
-    """A row for each word of a text beyond the head and what stands beside it: n, l, r: classes; next: the word after it if that is beyond the head too, then l of that one is -1 and r its rule class. rule: the word's own.
-
-    Transitions within the head are summed up over training texts: rows whose doc_id and next are null, with the pair as l and a word that holds a space.
-    """
-    groups = k + RULES + 1
-    shared = rows.sparkSession.sparkContext.broadcast((number, of))
-    names = ["doc_id", "h", "train", "word", "n", "l", "r", "next", "rule"]
-    types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32()]
+        self.base = math.log10(total + ADD * (distinct + 1))
+        self.end = math.log10(ends + ADD) - self.base
+        self.known = int(ends > 0)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (number, of), sums = shared.value, np.zeros(groups * groups, dtype=np.int64)
-        for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                out: list[list] = [[] for _ in names]
-                for doc, h, train, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "h", "train", "text"))):
-                    words = tokens(text)
-                    ids, at = codes(words, number, of, groups - 1)
-                    if train:
-                        pair = at[:-1] * groups + at[1:]
-                        sums += np.bincount(pair[(at[:-1] >= 0) & (at[1:] >= 0)], minlength=groups * groups)
-                    beyond, at = np.flatnonzero(ids < 0).tolist(), at.tolist()
-                    seen = Counter((words[i], at[i], at[i + 2], words[i + 1] if at[i + 2] < 0 else None) for i in beyond)
-                    for x, y in zip(out, ([doc] * len(seen), [h] * len(seen), [train] * len(seen), [x[0] for x in seen], seen.values(), [x[1] for x in seen])):
-                        x.extend(y)
-                    out[6] += [x[2] if x[3] is None else k + rule(x[3]) for x in seen]
-                    out[7] += [x[3] for x in seen]
-                    out[8] += [k + rule(x[0]) for x in seen]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
-        at = np.flatnonzero(sums)
-        blank = [None] * len(at)
-        out = [blank, blank, [True] * len(at), [b" %d" % x for x in at], sums[at], at, blank, blank, blank]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
-
-    return rows.mapInArrow(work, "doc_id long, h long, train boolean, word binary, n long, l int, r int, next binary, rule int")
+    def scores(self, n: int, logs: float, classes: np.ndarray) -> tuple[float, float]:
+        """Base score and score of a text."""
+        last = len(self.move) - 1
+        codes = np.concatenate([[last], classes, [last]]).astype(np.int64)
+        return logs - n * self.base + self.end, logs - float(self.den[classes].sum()) + float(self.move[codes[:-1], codes[1:]].sum())
 
 
 def brown_scores(docs: DataFrame, training: Column, head: int = HEAD, clustered: int = CLUSTERED, classes: int = CLASSES) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score. training: a condition on doc_id."""
     spark = docs.sparkSession
-    rows = only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("t"))
-    rows = rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
-    train = rows.where("train")
-    vocabulary = materialize(count_words(train), "lm-words")
+    rows = only(docs, doc_id="long", text="string")
+    rows = rows.select("doc_id", text_column().cast("binary").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
+    vocabulary = materialize(count_words(rows.where("train")), "lm-words")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = most_frequent(vocabulary.where(F.length("word") > 0), head)
     ends = sum(r["c"] for r in vocabulary.where(F.length("word") == 0).collect())
-    chosen = [w for w, _ in top[:clustered]]
-    pairs = count_bigrams(train, {w: i for i, w in enumerate(chosen)})
-    clusters = exchange(pairs, len(chosen), classes)
+    counts = np.array([c for _, c in top], dtype=np.int64)
+    coded = materialize(encode(rows.withColumn("rid", F.monotonically_increasing_id()), {w: i for i, (w, _) in enumerate(top)}), "lm-coded")
+    train = coded.where("train")
+    n = min(clustered, len(top))
+    rules = np.array([rule(w) for w, _ in top], dtype=np.int64)
+    pairs = count_pairs(train, np.concatenate([np.arange(n), n + rules[n:]]), n)
+    clusters = exchange(pairs, n, classes)
     k = int(max(clusters, default=-1)) + 1
     groups = k + RULES + 1
     one = np.zeros((len(pairs), groups))
     one[np.arange(len(pairs)), [*clusters, *range(k, groups)]] = 1
-    # word, c and class of all words but the chosen
-    named = materialize(assign(neighbours(train, chosen, clusters, k), one.T @ pairs @ one, k), "lm-classes")
-    words = np.bincount(clusters, minlength=groups).astype(float) if len(clusters) else np.zeros(groups)
-    for r in named.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect():
+    chooser = Chooser(one.T @ pairs @ one, k)
+    of = head_classes(train, np.concatenate([clusters, k + rules[n:]]).astype(np.int64), n, chooser, counts)
+    named = materialize(tail_classes(tails(coded, of, k), chooser), "lm-tails")
+    words = np.bincount(of, minlength=groups).astype(float)
+    for r in named.where("rid is null").groupBy("class").agg(F.sum("c").alias("n")).collect():
         words[r["class"]] += r["n"]
-    of = dict(zip(chosen, clusters))
-    if len(top) > len(chosen):
-        of |= {bytes(r["word"]): r["class"] for r in named.where(F.col("c") >= top[-1][1]).select("word", "class").collect()}  # the rest of the head
-    of = np.array([of[w] for w, _ in top], dtype=int)
-    # the words beyond the head meet their classes, and so do their transitions
-    known = lambda word: named.select(F.col("word").alias(word), "c", F.col("class").alias("_class")).hint("merge")
-    met = _tails(rows, {w: i for i, (w, _) in enumerate(top)}, of, k).join(known("word"), "word", "left").withColumn("class", F.coalesce("_class", "rule"))
-    met = materialize(met.select("doc_id", "h", "train", "n", "l", "r", "next", "c", "class"), "lm-tails")
-    two = met.where("next is not null").select("doc_id", "h", "train", "n", F.col("class").alias("l"), "r", "next").join(known("next"), "next", "left")
-    two = materialize(two.select("doc_id", "h", "train", "n", (F.col("l") * groups + F.coalesce("_class", "r")).alias("pair")), "lm-tail-pairs")
-    before, after = F.expr(f"CASE WHEN l >= 0 THEN l * {groups} + class END"), F.expr(f"CASE WHEN next IS NULL THEN class * {groups} + r END")
-    sums = met.where("train and class is not null").select("n", F.explode(F.array(before, after)).alias("pair")).where("pair is not null")
-    sums = sums.unionByName(met.where("class is null").select("n", F.col("l").alias("pair"))).unionByName(two.where("train").select("n", "pair"))
-    moves = np.zeros(groups * groups)
-    got = sums.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most groups * groups rows
-    moves[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    model = Brown(top, total, distinct, moves.reshape(groups, groups), np.arange(k), np.zeros(RULES), of, words)
-    shared = spark.sparkContext.broadcast(model)  # at most `head` words
+    held = materialize(classed(coded, named.where("rid is not null"), of, counts, groups - 1), "lm-classes")
+    discard(vocabulary, coded, named)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(groups * groups, dtype=np.int64)
         for batch in batches:
-            found = list(zip(*(m.text(t, ends) for t in batch.column("text").to_pylist()))) or [()] * 4
-            columns = [pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array([1] * batch.num_rows, pa.int64()), *columns], ["doc_id", "h", "times", "n_tokens", "n_known", "base_score", "score"])
-
-    parts = rows.select("doc_id", "h", "text").mapInArrow(work, "doc_id long, h long, times long, n_tokens long, n_known long, base_score double, score double")
-    table = lambda x, at: F.coalesce(F.get(F.expr(f"cast(split('{','.join(map(repr, x.ravel().tolist()))}', ',') as array<double>)"), at), F.lit(0.0))
-    none = F.lit(0).cast("long")
-    emit = F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(ADD))
-    tails = met.where("class is not null").select(
-        "doc_id", "h", none.alias("times"), none.alias("n_tokens"), F.when(F.col("c") > 0, F.col("n")).otherwise(none).alias("n_known"), (F.col("n") * emit).alias("base_score"),
-        (F.col("n") * (emit - table(model.den, F.col("class")) + table(model.move, before) + table(model.move, after))).alias("score"),
-    )
-    linked = two.select("doc_id", "h", none.alias("times"), none.alias("n_tokens"), none.alias("n_known"), F.lit(0.0).alias("base_score"), (F.col("n") * table(model.move, F.col("pair"))).alias("score"))
-    sums = parts.unionByName(tails).unionByName(linked).groupBy("doc_id", "h").agg(*[F.sum(c).alias(c) for c in parts.columns[2:]])  # times: rows repeated with the same text
-    each = [(F.col(c) / F.col("times")).cast(k).alias(c) for c, k in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double"))]
-    sums = sums.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return sums.select("doc_id", *each[:2], F.lit(total).cast("long").alias("train_tokens"), *each[2:])
+            for x in batch.column("classes"):
+                codes = np.full(len(x.as_buffer()) // 2 + 2, groups - 1, dtype=np.int64)
+                codes[1:-1] = np.frombuffer(x.as_buffer(), dtype=np.uint16)
+                np.add.at(sums, codes[:-1] * groups + codes[1:], 1)
+        yield _sparse(sums)
 
-
-def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """Up to `most` (word, c), most frequent first: whole bands of counts, from the top as far as they go in.
-
-    Each task sends only rows that belong to the result; the bands, 16 an octave, are at most a thousand rows.
-    """
-    banded = vocabulary.withColumn("band", F.floor(F.log2("c") * 16))
-    low, held = None, 0
-    for r in sorted(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["band"]):
-        held += r["n"]
-        if held > most:
-            break
-        low = r["band"]
-    if low is None:
-        return []
-    return sorted(((bytes(r["word"]), r["c"]) for r in banded.where(F.col("band") >= low).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
-
-
-def _rule_words(vocabulary: DataFrame, chosen: dict[bytes, int]) -> np.ndarray:
-    """How many words each rule class has."""
-    names = frozenset(chosen)
+    moves = _square(in_batches(held.where("train").select("classes"), moved, "pair long, n long"), groups)
+    shared = spark.sparkContext.broadcast(Brown(moves, words, total, distinct, ends))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(RULES, dtype=np.int64)
+        m = shared.value
         for batch in batches:
-            ids = [rule(w) for w in batch.column(0).to_pylist() if w and w not in names]
-            sums += np.bincount(np.array(ids, dtype=np.int64), minlength=RULES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(RULES)), pa.array(sums)], ["r", "n"])
+            columns = (batch.column("n").to_pylist(), batch.column("logs").to_pylist(), batch.column("classes"))
+            found = [m.scores(n, logs, np.frombuffer(x.as_buffer(), dtype=np.uint16)) for n, logs, x in zip(*columns)]
+            base, score = (pa.array(x, pa.float64()) for x in zip(*found)) if found else (pa.array([], pa.float64()),) * 2
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(batch.column("n").to_numpy() + 1), pa.array(batch.column("known").to_numpy() + m.known), pa.array([total] * batch.num_rows, pa.int64()), base, score], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    out = np.zeros(RULES)
-    for row in vocabulary.select("word").mapInArrow(work, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect():
-        out[row["r"]] = row["n"]
-    return out
+    return in_batches(held.select("doc_id", "n", "known", "logs", "classes"), work, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
