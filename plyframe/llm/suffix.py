@@ -4,7 +4,8 @@ Which bytes can repeat is narrowed down exactly before suffixes are compared:
 
 1. Of every window of LENGTH bytes the smallest hash of its GRAM-byte grams is its anchor, so equal windows have equal
    anchors at equal offsets. The windows of one anchor place are adjacent; the bytes they cover are its span.
-2. Spans that occur twice as a whole consist of repeated windows. Spans whose anchor gram has no other span hold none.
+2. Spans meet by anchor gram. Spans that occur twice as a whole consist of repeated windows. Spans whose gram has no other
+   span hold none. Grams with very many spans are counted before they are shuffled, the others in one sorted pass.
 3. What is left are different spans of one anchor gram: the edges of repeats. The spans of a gram are a group. Groups are
    dealt to shards; each shard's Burrows-Wheeler transform is built by itself, and shards are merged by iterative interleave
    refinement: with each pass over the interleave the merged order is right for one more character, without sorting
@@ -30,11 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, materialize, only, text_column
+from .common import attach_groups, discard, in_batches, materialize, only, text_column
 
 LENGTH, GRAM = 200, 32
 #: Bytes that one pass of the anchor search or of a merge handles; spans of the largest group that is merged in a task.
-PACK, BATCH, MOST = 1 << 21, 56_000, 3000
+PACK, BATCH, MOST = 1 << 18, 56_000, 3000
 SHARDS, PAD = 2, 7
 BASE = 0x9E3779B97F4A7C15
 U = np.uint64
@@ -207,7 +208,8 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 def _packs(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list, list[bytes], list[int]]]:
     """(k, h) and text pieces of up to PACK bytes in all, with each piece's place in its text. A long text comes in overlapping pieces."""
     keys, pieces, places, size = [], [], [], 0
-    for k, h, t in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "t"))):
+    for k, h, t in zip(*(batch.column(c) for c in ("k", "h", "t"))):  # one text at a time
+        k, h, t = k.as_py(), h.as_py(), t.as_py()
         for a in range(0, max(0, len(t) - length + 1), PACK):
             piece = t[a : a + PACK + length - 1]
             if size + len(piece) > PACK and pieces:
@@ -221,9 +223,14 @@ def _packs(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list, list[byte
         yield keys, pieces, places
 
 
+#: A span's place as one number: first window start, then the anchor's and the last window start's distance from it.
+FIELDS = 10
+FIRST, ANCHOR, LAST = f"shiftright(p, {2 * FIELDS})", f"(shiftright(p, {2 * FIELDS}) + (shiftright(p, {FIELDS}) & {(1 << FIELDS) - 1}))", f"(shiftright(p, {2 * FIELDS}) + (p & {(1 << FIELDS) - 1}))"
+
+
 def find_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """k, h, first, last (window starts), anchor (its place), g (its hash), s (digest of the span) of all spans of k, h, t."""
-    names = ["k", "h", "first", "last", "anchor", "g", "s"]
+    """k, h, p (place), g (hash of the anchor gram), s (digest of the span) of all spans of k, h, t."""
+    names = ["k", "h", "p", "g", "s"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, digest = Anchors(length, gram), xxhash.xxh3_64_intdigest
@@ -234,20 +241,96 @@ def find_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 joined = b"".join(pieces)
                 first, last, anchor, g, doc = finder.spans(np.frombuffer(joined, dtype=np.uint8), starts, starts + sizes)
                 s = np.fromiter((digest(joined[a : b + length]) for a, b in zip(first.tolist(), last.tolist())), dtype=U, count=len(first))
-                shift = (np.array(places, dtype=np.int64) - starts)[doc]
+                place = ((first + (np.array(places, dtype=np.int64) - starts)[doc]) << 2 * FIELDS) | ((anchor - first) << FIELDS) | (last - first)
                 own = np.array(keys, dtype=np.int64)[doc]
-                columns = [own[:, 0], own[:, 1], *((x + shift).astype(np.int32) for x in (first, last, anchor)), g.view(np.int64), s.view(np.int64)]
+                columns = [own[:, 0], own[:, 1], place, g.view(np.int64), s.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    return texts.select("k", "h", "t").mapInArrow(work, "k long, h long, first int, last int, anchor int, g long, s long")
+    return in_batches(texts.select("k", "h", "t"), work, "k long, h long, p long, g long, s long")
+
+
+def heavy(spans: DataFrame, share: int = 1000, chunk: int = 1 << 20) -> DataFrame:
+    """g, s of the spans, and g (s null) of the grams, that are over 1 / share of some chunk of a task's rows: the `share` most frequent of each.
+
+    What is over that share of all rows is so in one chunk at least. Each has at least 100 spans.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column("g").to_numpy(), batch.column("s").to_numpy()))
+            size += batch.num_rows
+            if size >= chunk:
+                yield often(held)
+                held, size = [], 0
+        if held:
+            yield often(held)
+
+    def often(held: list) -> pa.RecordBatch:
+        g, s = (np.concatenate(x) for x in zip(*held))
+        least = max(100, len(g) // share)
+        grams, n = np.unique(g, return_counts=True)
+        few = np.isin(g, grams[n >= least])  # a heavy span's gram is heavy
+        pairs, at, m = np.unique(np.stack([g[few], s[few]]), axis=1, return_index=True, return_counts=True) if few.any() else (np.empty((2, 0), np.int64),) * 3
+        m = m if few.any() else np.empty(0, np.int64)
+        pairs, m, grams, n = pairs[:, m >= least], m[m >= least], grams[n >= least], n[n >= least]
+        columns = [pa.array(np.concatenate([grams, pairs[0]])), pa.array([None] * len(grams) + pairs[1].tolist(), pa.int64()), pa.array(np.concatenate([n, m]))]
+        return pa.RecordBatch.from_arrays(columns, ["g", "s", "n"])
+
+    found = in_batches(spans.select("g", "s"), work, "g long, s long, n long").groupBy("g", "s").agg(F.sum("n").alias("n"))
+    top = [found.where(x).orderBy(F.desc("n"), "g", "s").limit(share) for x in ("s is null", "s is not null")]
+    return top[0].unionByName(top[1]).select("g", "s")
+
+
+def sort_out(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(k, h, p of the spans that occur twice as a whole; one span of each kind of the grams that may have several: k, h, p, g, once).
+
+    once: the kind has this span alone. Spans meet by gram; heavy spans need not meet, and those of other heavy grams meet by kind.
+    """
+    hot = materialize(heavy(spans), "suffix-heavy")  # at most two thousand rows
+    pairs = F.broadcast(hot.where("s is not null").select(F.col("g").alias("hg"), F.col("s").alias("hs")))
+    grams = F.broadcast(hot.select(F.col("g").alias("gg")).distinct())
+    marked = spans.join(pairs, (F.col("g") == F.col("hg")) & (F.col("s") == F.col("hs")), "left").join(grams, F.col("g") == F.col("gg"), "left")
+    copies = marked.where("hs is not null")
+    spread = F.when(F.col("gg").isNotNull(), F.xxhash64("g", "s")).otherwise(F.col("g"))
+    met = marked.where("hs is null").select("k", "h", "p", "g", "s", spread.alias("r"), F.col("gg").isNotNull().cast("long").alias("hot"))
+    met = met.repartition("r").sortWithinPartitions("r", "g", "s")
+    names = ["k", "h", "p", "g", "s", "r", "hot"]
+
+    def judge(rows: np.ndarray) -> pa.RecordBatch:
+        """rows: of whole groups (same r), sorted."""
+        _, _, _, g, s, r, hot = rows
+        new = np.concatenate([[True], (r[1:] != r[:-1]) | (g[1:] != g[:-1])])
+        fresh = new | np.concatenate([[True], s[1:] != s[:-1]])
+        kind, group = np.cumsum(fresh) - 1, np.cumsum(new) - 1
+        many = np.bincount(kind)[kind] > 1
+        edge = fresh & ((np.bincount(group, weights=fresh)[group] > 1) | (hot > 0))
+        keep = np.flatnonzero(many | edge)
+        return pa.RecordBatch.from_arrays([*(pa.array(rows[i][keep]) for i in range(4)), *(pa.array(x[keep]) for x in (many, edge))], ["k", "h", "p", "g", "many", "edge"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = np.empty((len(names), 0), dtype=np.int64)  # the last group, which may go on
+        for batch in batches:
+            rows = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in names])], axis=1)
+            cut = int(np.searchsorted(rows[5], rows[5][-1])) if rows.shape[1] else 0
+            if cut:
+                yield judge(rows[:, :cut])
+            rest = rows[:, cut:].copy()
+        if rest.shape[1]:
+            yield judge(rest)
+
+    found = materialize(in_batches(met, work, "k long, h long, p long, g long, many boolean, edge boolean"), "suffix-sorted")
+    whole = found.where("many").select("k", "h", "p").unionByName(copies.select("k", "h", "p"))
+    one = copies.groupBy("g", "s").agg(F.min(F.struct("k", "h", "p")).alias("r")).select("r.*", "g", F.lit(False).alias("once"))
+    return whole, found.where("edge").select("k", "h", "p", "g", (~F.col("many")).alias("once")).unionByName(one)
 
 
 def _cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """spans (k, h, first, last and more) with their bytes. A text's spans come together with it."""
+    """spans (k, h, p and more) with first, anchor and their bytes. A text's spans come together with it."""
     more = [c for c in spans.columns if c not in ("k", "h")]
     by_text = spans.groupBy("k", "h").agg(F.collect_list(F.struct(*more)).alias("spans"))
-    met = texts.select("k", "h", "t").join(by_text, ["k", "h"]).select("k", "h", "t", F.explode("spans").alias("x"))
-    return met.select("k", "h", "x.*", F.expr(f"substring(t, x.first + 1, x.last - x.first + {LENGTH})").alias("bytes"))
+    met = texts.select("k", "h", "t").join(by_text, ["k", "h"]).select("k", "h", "t", F.explode("spans").alias("x")).select("k", "h", "t", "x.*")
+    return met.select("k", "h", *more, F.expr(FIRST).alias("first"), F.expr(ANCHOR).alias("anchor"), F.expr(f"substring(t, int({FIRST}) + 1, int({LAST} - {FIRST}) + {LENGTH})").alias("bytes"))
 
 
 def _probes(low: int, high: int, length: int, gram: int) -> list[tuple[int, int, int, int]]:
@@ -297,7 +380,7 @@ def edge_repeats(spans: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
 
         ready, group, size, g = [], [], 0, None  # whole groups; the group that is being read
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(7))):
+            for row in zip(*(batch.column(c).to_pylist() for c in range(7))):  # a batch is bounded in bytes
                 if row[5] != g:
                     group = likely(group, length, gram)
                     ready += group
@@ -312,7 +395,7 @@ def edge_repeats(spans: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
             yield solve(ready)
 
     dealt = spans.select("k", "h", "first", "anchor", "once", "g", "bytes").repartition("g").sortWithinPartitions("g")
-    return dealt.mapInArrow(work, "k long, h long, a long, z long")
+    return in_batches(dealt, work, "k long, h long, a long, z long")
 
 
 def window_repeats(spans: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -327,7 +410,7 @@ def window_repeats(spans: DataFrame, length: int = LENGTH) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, kinds)], ["k", "h", "at", "once", "d"])
 
-    windows = materialize(spans.select("k", "h", "first", "once", "bytes").mapInArrow(work, "k long, h long, at long, once boolean, d binary"), "suffix-windows")
+    windows = materialize(in_batches(spans.select("k", "h", "first", "once", "bytes"), work, "k long, h long, at long, once boolean, d binary"), "suffix-windows")
     counts = materialize(windows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-counts")
     found = attach_groups(windows, counts, "d", "n", F.unhex(F.md5(F.concat_ws(" ", "k", "h", "at")))).where("n is not null and once")
     return found.select("k", "h", F.col("at").alias("a"), (F.col("at") + length).alias("z"))
@@ -338,36 +421,22 @@ def repeat_removal(docs: DataFrame, most: int = MOST) -> DataFrame:
     rows = only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("t"))
     rows = rows.select("doc_id", F.xxhash64("t").alias("h"), F.col("t").cast("binary").alias("t")).withColumn("k", F.xxhash64("doc_id", "h"))
     spans = materialize(find_spans(rows), "suffix-spans")
-    kinds = spans.groupBy("g", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "h", "first", "last", "anchor")).alias("r"))
-    kinds = materialize(kinds.select("g", "s", "n", "r.*"), "suffix-kinds")
-    # a span that occurs twice is repeated throughout; hot ones (fewer than 1000, see attach_groups) are broadcast, and their
-    # rows spread by another value in place of s, which no cold span of that anchor has
-    total = spans.count()
-    twice = kinds.where("n > 1").select("g", "s", "n")
-    hot = F.broadcast(twice.where(F.col("n") > max(1000, total / 1000)).select(F.col("g").alias("hg"), F.col("s").alias("hs"), F.lit(True).alias("hot")))
-    cold = twice.where(F.col("n") <= max(1000, total / 1000)).select(F.col("g").alias("cg"), F.col("s").alias("cs"))
-    whole = spans.drop("anchor").join(hot, (F.col("g") == F.col("hg")) & (F.col("s") == F.col("hs")), "left").drop("hg", "hs")
-    whole = whole.withColumn("s", F.when(F.col("hot"), F.xxhash64("k", "h", "first")).otherwise(F.col("s")))
-    whole = whole.join(cold.hint("shuffle_hash"), (F.col("g") == F.col("cg")) & (F.col("s") == F.col("cs")), "left").where("hot or cs is not null")
-    whole = whole.select("k", "h", F.col("first").cast("long").alias("a"), (F.col("last") + LENGTH).cast("long").alias("z"))
-    # anchors with several spans; rows of one span each, whatever the number of its copies
-    several = materialize(kinds.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "suffix-several")
-    edges = attach_groups(kinds.withColumn("once", F.col("n") == 1).drop("n", "s"), several, "g", "m", F.xxhash64("k", "first")).where("m is not null")
+    whole, edges = sort_out(spans)
+    whole = whole.select("k", "h", F.expr(FIRST).alias("a"), F.expr(f"{LAST} + {LENGTH}").alias("z"))
+    several = materialize(edges.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "suffix-several")
+    edges = attach_groups(edges, several, "g", "m", F.xxhash64("k", "p")).where("m is not null")
     edges = materialize(_cut(rows, edges), "suffix-edges")
     found = edge_repeats(edges.where(F.col("m") <= most)).unionByName(window_repeats(edges.where(F.col("m") > most)))
     runs = whole.unionByName(found).groupBy("k", "h").agg(F.collect_list(F.struct("a", "z")).alias("runs"))
-    met = rows.join(materialize(runs, "suffix-runs"), ["k", "h"], "left").select("doc_id", "t", "runs")
+    runs = materialize(runs, "suffix-runs")
+    discard(spans, several, edges)
+    met = rows.join(runs, ["k", "h"], "left").select("doc_id", "t", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, t, runs in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                merged: list[list[int]] = []
-                for a, z in sorted((r["a"], r["z"]) for r in runs or ()):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(z, merged[-1][1])
-                    else:
-                        merged.append([a, z])
+            for doc, t, runs in zip(batch.column("doc_id").to_pylist(), batch.column("t"), batch.column("runs")):
+                t, merged = t.as_py(), merge_runs(runs.as_py())
                 kept, at = hashlib.sha256(), 0
                 for a, z in merged:
                     kept.update(t[at:a])
@@ -377,4 +446,15 @@ def repeat_removal(docs: DataFrame, most: int = MOST) -> DataFrame:
             types = [pa.int64()] * 4 + [pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return met.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return in_batches(met, cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def merge_runs(runs: list[dict] | None) -> list[list[int]]:
+    """Runs a..z in order, those that meet or overlap as one."""
+    merged: list[list[int]] = []
+    for a, z in sorted((r["a"], r["z"]) for r in runs or ()):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(z, merged[-1][1])
+        else:
+            merged.append([a, z])
+    return merged
