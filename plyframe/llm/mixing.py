@@ -103,7 +103,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
     """(placements, documents).
 
     placements: slot, src, rank, doc_id, b, r, first and last: words first..last-1 of the document stand in that slot.
-    documents: doc_id, size, source_size, target, src, b, r.
+    documents: doc_id, source, h (hash of the text), size, source_size, target, src, b, r.
     """
     meas = measured(docs, seed)
     sources = materialize(source_targets(meas, weights, most), "mix-sources")
@@ -114,20 +114,26 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
     turns = turns.withColumn("a", F.col("at") + F.col("turn") * F.col("source_size")).withColumn("z", F.least(F.col("a") + F.col("size"), taken)).where("z > a")
     parts = turns.withColumn("rank", F.explode(F.sequence(F.expr(f"a div {block}"), F.expr(f"(z - 1) div {block}"))))
     parts = parts.select("src", "rank", "doc_id", "b", "r", (F.greatest(F.col("a"), F.col("rank") * block) - F.col("a")).alias("first"), (F.least(F.col("z"), (F.col("rank") + 1) * block) - F.col("a")).alias("last"))
-    return parts.join(slots, ["src", "rank"]), rows.select("doc_id", "size", "source_size", "target", "src", "b", "r")
+    return parts.join(slots, ["src", "rank"]), rows.select("doc_id", "source", "h", "size", "source_size", "target", "src", "b", "r")
 
 
-def mix_counts(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block: int = 1024, seed: int = 0) -> DataFrame:
-    """One row per row of docs: doc_id, size, source_size, target, taken."""
+def _counted(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block: int = 1024, seed: int = 0) -> DataFrame:
     placements, rows = mix(docs, weights, most, block, seed)
     key = ["src", "b", "r"]
     counts = placements.groupBy(*key).agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
-    return rows.join(counts, key, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return rows.join(counts, key, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def mix_counts(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, block: int = 1024, seed: int = 0) -> DataFrame:
+    """One row per row of docs: doc_id, size, source_size, target, taken."""
+    return _counted(docs, weights, most, block, seed).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as often as the mix takes it, whole: taken / size times, rounded up."""
-    counts = mix_counts(docs).where("taken > 0").select(F.col("doc_id").alias("_id"), F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    counts = counts.groupBy("_id").agg(F.max("_times").alias("_times"))
-    held = docs.join(counts, docs["doc_id"].eqNullSafe(counts["_id"]))
-    return held.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """Pipeline stage: each document as often as the mix takes it, whole: taken / size times, rounded up. Rows that share doc_id,
+    source and text are taken alike, as often as on average."""
+    counts = _counted(docs).groupBy("doc_id", "source", "h").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("taken > 0")
+    counts = counts.select(F.col("doc_id").alias("_cd"), F.col("source").alias("_cs"), F.col("h").alias("_ch"), F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    held = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_d"), F.col("source").cast("string").alias("_s"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_h"))
+    met = held.join(counts, held["_d"].eqNullSafe(counts["_cd"]) & held["_s"].eqNullSafe(counts["_cs"]) & (held["_h"] == counts["_ch"]))
+    return met.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")
