@@ -2,17 +2,17 @@
 
 A word is the average of the embeddings of its character n-grams (with word edges) and of itself, hashed into a fixed
 number of buckets, so an unseen misspelling shares most vectors with the word it hides. A bag of words is the average of
-its words, and goes through a softmax of two classes. Embeddings and softmax are trained together: first on whole
-documents as bags, then on their telling words, namely the highest words of toxic documents as one bag each, and the
-highest and a random word of clean documents each by itself.
+its words, and goes through a softmax of two classes. Embeddings and softmax are trained together by Adagrad.
 
-The softmax is linear, so each word has a logit. Most words of any text say nothing, and their noise would hide a few telling
-ones in a long text; so what is averaged over all words of a text is how far a word's logit exceeds the level that 99 % of the
-sample's words stay under. The logarithm of that average, as a logistic, is the score.
+Most words of any text say nothing, and their noise would drown a few telling words in the average of a long text. So bags
+are gated: a word whose own logit is below the level that 99 % of the sample's words stay under counts as a zero vector, any
+other word counts with what it has above that level, and the average goes over all words of the text. A text's score is
+the softmax probability of its gated bag. Embeddings and softmax are trained on averaged bags throughout: on whole documents,
+then on bags of the words by which the model tells documents apart (_telling), and at last on the documents' gated bags.
 
 Labels come from a bounded sample: at most `rows` labelled documents, half a class, of up to `chars` characters, by the
-smallest hashes of doc_id. A fifth of them sets the cut at which the score is 0.7 and doesn't train. Every text is
-scored whole.
+smallest hashes of doc_id. A fifth of them doesn't train embeddings: it sets the bias and the temperature of the softmax, so that
+0.7 is where toxic and clean documents part best. Every text is scored whole.
 
 Defined cases: null and empty texts and texts without words get the lowest score; labels that are null or
 neither 0 nor 1 are left out; of contradicting labels of one document the larger counts; if a class is missing, every score
@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only, text_column
+from .common import in_batches, materialize, only, text_column
 
 BUCKETS, DIM = 1 << 17, 8
 GRAMS = (3, 4, 5, 6)
 ROWS, CHARS = 4000, 50_000
-#: Share of the sample's words that are below the level that counts; words added to a text's length; what stands for no such word.
-QUIET, EXTRA, FLOOR = 0.99, 5, 1e-5
+#: Share of the sample's words that are below the level that counts; words added to a text's length, so that one word of a short text doesn't decide alone.
+QUIET, EXTRA = 0.99, 5
 CUT = 0.7
 
 words_of = re.compile(r"[^\W_]+").findall
@@ -57,18 +57,18 @@ def subwords(word: str) -> list[int]:
 
 @dataclass
 class Toxicity:
-    """weight: the softmax's difference of logits for each bucket; z(text): log of the average excess over `level`;
-    score = sigmoid(a * (z - t) + logit(CUT))."""
+    """weight: the softmax's difference of logits for each bucket; level: of the gates; scale and bias: its temperature and bias."""
 
     weight: np.ndarray
     level: float = 0.0
-    a: float = 1.0
-    t: float = 0.0
+    scale: float = 1.0
+    bias: float = 0.0
     constant: float | None = None
-    keep: int = 600_000
+    keep: int = 200_000
     known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def word(self, word: str) -> float:
+        """What a word adds to a gated bag's logit."""
         value = max(0.0, float(self.weight[subwords(word)].mean()) - self.level)
         if len(word) <= 40:
             if len(self.known) >= self.keep:
@@ -76,15 +76,16 @@ class Toxicity:
             self.known[word] = value
         return value
 
-    def z(self, text: str) -> float:
+    def logit(self, text: str) -> float:
+        """Of the averaged bag, without bias and temperature."""
         words = words_of(text.lower())
         get, miss = self.known.get, self.word
-        return float(np.log(sum(v if (v := get(w)) is not None else miss(w) for w in words) / (len(words) + EXTRA) + FLOOR))
+        return sum(v if (v := get(w)) is not None else miss(w) for w in words) / (len(words) + EXTRA)
 
     def score(self, text: str) -> float:
         if self.constant is not None:
             return self.constant
-        return float(1 / (1 + np.exp(-np.clip(self.a * (self.z(text) - self.t) + np.log(CUT / (1 - CUT)), -40, 40))))
+        return float(1 / (1 + np.exp(-np.clip(self.scale * self.logit(text) + self.bias, -40, 40))))
 
 
 class _Bags:
@@ -142,10 +143,10 @@ class _Model:
     def weight(self, bags: _Bags) -> np.ndarray:
         return np.where(bags.common, self.e @ (self.w[1] - self.w[0]), 0.0)
 
-    def step(self, bags: _Bags, words: np.ndarray, bag: np.ndarray, size: np.ndarray, y: np.ndarray, share: np.ndarray, rate: float) -> None:
-        """words and bag: each word of each bag; size, y, share: of each bag."""
+    def step(self, bags: _Bags, words: np.ndarray, bag: np.ndarray, size: np.ndarray, y: np.ndarray, share: np.ndarray, rate: float, level: float = 0.0) -> None:
+        """words and bag: each word of each bag; size, y, share: of each bag; level: what gates take off a word's logit."""
         weight = self.weight(bags)
-        z = self.b + np.bincount(bag, weights=bags.words(weight)[words], minlength=len(y)) / size
+        z = self.b + np.bincount(bag, weights=bags.words(weight)[words] - level, minlength=len(y)) / size
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
         by_word = np.bincount(words, weights=(error / size)[bag], minlength=len(bags.each))
         by_bucket = np.where(bags.common, bags.buckets(by_word), 0.0)
@@ -163,13 +164,26 @@ class _Model:
         self.b -= rate * g / np.sqrt(self.gb)
 
 
-def _flat(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    size = np.array([len(b) for b in bags], dtype=np.int64)
-    return np.concatenate(bags), np.repeat(np.arange(len(bags)), size), size.astype(float)
+def _flat(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = np.array([len(d) for d in docs], dtype=np.int64)
+    return np.concatenate(docs), np.repeat(np.arange(len(docs)), size), size.astype(float)
 
 
-def train(texts: list[str], toxic: list[int], seed: int = 0, steps: int = 80, turns: int = 2, turn_steps: int = 15) -> Toxicity:
-    """texts in an order that doesn't depend on the labels; every fifth of a class sets the cut."""
+def _telling(bags: _Bags, fit: list[int], y: np.ndarray, values: np.ndarray, rng: np.random.Generator) -> tuple[list[np.ndarray], np.ndarray]:
+    """Bags of the words that speak for toxicity, with labels: of a toxic document the highest hundredth as one bag, of a clean one
+    its four highest words and any one, as bags of their own."""
+    chosen, labels = [], []
+    for i in fit:
+        words = np.unique(bags.docs[i])
+        best = words[np.argsort(-values[words], kind="stable")]
+        parts = [best[: 1 + len(best) // 100]] if y[i] else [*np.split(best[:4], len(best[:4])), best[rng.integers(0, len(best), 1)]]
+        chosen += parts
+        labels += [y[i]] * len(parts)
+    return chosen, np.array(labels)
+
+
+def train(texts: list[str], toxic: list[int], seed: int = 0, steps: int = 80, turns: int = 2, gated: int = 1, turn_steps: int = 15, rate: float = 0.2) -> Toxicity:
+    """texts in an order that doesn't depend on the labels; every fifth of a class sets bias and temperature."""
     y = np.array(toxic, dtype=float)
     if not len(y) or y.min() == y.max():
         return Toxicity(np.zeros(1), constant=0.0)
@@ -178,38 +192,37 @@ def train(texts: list[str], toxic: list[int], seed: int = 0, steps: int = 80, tu
     for c in (0.0, 1.0):
         rank[y == c] = np.arange(int((y == c).sum()))
     fit = [i for i in range(len(y)) if rank[i] % 5 and len(bags.docs[i])]
-    model, rng = _Model(seed), np.random.default_rng(seed)
-    for turn in range(turns + 1):
-        chosen, labels = [], []
-        values = bags.words(model.weight(bags))
-        for i in fit:
-            words = bags.docs[i]
-            if turn:
-                distinct = np.unique(words)
-                best = distinct[np.argsort(-values[distinct], kind="stable")]
-                parts = [best[: 1 + len(best) // 100]] if y[i] else [*np.split(best[:4], len(best[:4])), best[rng.integers(0, len(best), 1)]]
-            else:
-                parts = [words]
-            chosen += parts
-            labels += [y[i]] * len(parts)
-        if not chosen:
-            break
-        yy = np.array(labels)
-        share = np.where(yy > 0, 0.5 / max(1, yy.sum()), 0.5 / max(1, (1 - yy).sum()))
-        flat = _flat(chosen)
-        for _ in range(turn_steps if turn else steps):
-            model.step(bags, *flat, yy, share, rate=0.2 if turn else 0.3)
-    found = Toxicity(model.weight(bags).astype(np.float32))
+    model = _Model(seed)
+    found = Toxicity(np.zeros(BUCKETS, dtype=np.float32))
     if fit:
-        found.level = float(np.quantile(bags.words(found.weight.astype(float))[np.concatenate([bags.docs[i] for i in fit])], QUIET))
+        words, bag, size = _flat([bags.docs[i] for i in fit])
+        yy = y[fit]
+        share = np.where(yy > 0, 0.5 / max(1, yy.sum()), 0.5 / max(1, (1 - yy).sum()))
+        for _ in range(steps):
+            model.step(bags, words, bag, size, yy, share, rate=0.3)
+        for _ in range(turns):
+            chosen, labels = _telling(bags, fit, y, bags.words(model.weight(bags)), np.random.default_rng(seed))
+            part = np.where(labels > 0, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
+            flat = _flat(chosen)
+            for _ in range(turn_steps):
+                model.step(bags, *flat, labels, part, rate)
+        for turn in range(gated + 1):
+            values = bags.words(model.weight(bags))[words]
+            level = float(np.quantile(values, QUIET))
+            if turn < gated:
+                loud = values > level
+                for _ in range(turn_steps):
+                    model.step(bags, words[loud], bag[loud], size + EXTRA, yy, share, rate, level)
+        found = Toxicity(model.weight(bags).astype(np.float32), level)
     values = np.maximum(0.0, bags.words(found.weight.astype(float)) - found.level)
-    z = np.array([np.log(values[d].sum() / (len(d) + EXTRA) + FLOOR) for d in bags.docs])
-    found.t, found.a = _cut(z, y, np.array([r % 5 == 0 for r in rank]))
+    z = np.array([values[d].sum() / (len(d) + EXTRA) for d in bags.docs])
+    at, found.scale = _cut(z, y, np.array([r % 5 == 0 for r in rank]))
+    found.bias = float(np.log(CUT / (1 - CUT)) - found.scale * at)
     return found
 
 
 def _cut(z: np.ndarray, y: np.ndarray, held: np.ndarray) -> tuple[float, float]:
-    """Where the held rows' F1 is best, and the steepness: the middle rows of the classes score up to 0.97 and down to 0.01."""
+    """The logit where the held rows' F1 is best, and the temperature: the middle rows of the classes score up to 0.97 and down to 0.01."""
     if not y[held].any() or y[held].all():
         held = np.ones(len(y), bool)
     z, y = z[held], y[held]
@@ -245,9 +258,9 @@ def score(docs: DataFrame, model: Toxicity) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(t) for t in batch.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(t.as_py()) for t in batch.column(1)], pa.float64())], ["doc_id", "score"])
 
-    return only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("text")).mapInArrow(work, "doc_id long, score double")
+    return in_batches(only(docs, doc_id="long", text="string").select("doc_id", text_column().alias("text")), work, "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int = ROWS, chars: int = CHARS, cut: float = CUT) -> DataFrame:
@@ -262,6 +275,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([model.score(t or "") < CUT for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([model.score(t.as_py() or "") < CUT for t in batch.column("text")], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return in_batches(docs, work, docs.schema)
