@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a temporary one if all run on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = os.path.join(tempfile.gettempdir(), "plyframe-shared")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
