@@ -90,6 +90,40 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 and (r["score"] >= 0.7) == (r["predicted"] == 1) for r in got.values())
 
 
+def test_toxicity_score_by_hand(spark):
+    """The score of every text from the model's arrays: softmax of the average of the gated words."""
+    import numpy as np
+
+    from plyframe.llm import toxicity as T
+
+    rows = toxic_rows()
+    model = T.train([t for _, t, _ in rows[:300]], [y for _, _, y in rows[:300]])
+    texts = [t for _, t, _ in rows[300:]] + ["", "Vilifying!", "x" * 60_000, "vilify " * 30_000, None]
+    got = T.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+
+    def grams(w):
+        marked = f"<{w}>"
+        return [f"={w}", *(marked[i : i + n] for n in T.GRAMS for i in range(len(marked) - n + 1))]
+
+    for r in got:
+        words = re.findall(r"[^\W_]+", (texts[r["doc_id"]] or "").lower())
+        gated = {w: max(0.0, float(np.mean([model.weight[zlib.crc32(g.encode()) % T.BUCKETS] for g in grams(w)], dtype=np.float32)) - model.level) for w in set(words)}
+        logits = np.array([0.0, model.bias + model.scale * sum(gated[w] for w in words) / (len(words) + T.EXTRA)])
+        assert r["score"] == pytest.approx(np.exp(logits[1] - np.logaddexp(*logits)), rel=1e-4, abs=1e-9)
+
+
+def test_toxicity_sample_of_odd_rows(spark):
+    """Contradicting labels: the larger counts; repeated rows once; long texts, null ids and labels that aren't 0 or 1 stay out."""
+    from pyspark.sql import functions as F
+
+    from plyframe.llm.toxicity import sample
+
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c" * 50), (None, "d"), (5, None), (6, "f"), (7, "x"), (7, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 0), (3, 1), (None, 1), (5, 1), (6, None), (6, 3), (7, 0), (8, 1)], "doc_id long, toxic int")
+    got = sorted(zip(*sample(docs, labels, F.lit(True), chars=40)))
+    assert got in ([("", 1), ("a", 1), ("b", 0), ("x", 0)], [("", 1), ("a", 1), ("b", 0), ("y", 0)])
+
+
 def test_toxicity_without_labels(spark, docs, none):
     from plyframe.llm.toxicity import fold, toxicity
 
@@ -130,6 +164,43 @@ def test_index_across_batches(spark):
     index.drop()
 
 
+def test_batch_run_twice_and_index_reopened(spark):
+    from plyframe.llm.exact import DigestIndex, exact_dedup
+
+    batch = lambda *r: spark.createDataFrame(list(r), "doc_id long, text string")
+    table, key = "digest_again", lambda df: sorted(tuple(r) for r in df.collect())
+    one, two = batch((1, "a"), (2, "b"), (5, "a"), (None, "c")), batch((7, "a"), (8, "d"))
+    index = DigestIndex(spark, table, 3)
+    first = key(exact_dedup(one, index, 0).select("doc_id", "kept", "known").na.fill(-1, ["doc_id"]))
+    assert first == [(-1, True, False), (1, False, False), (2, True, False), (5, True, False)]
+    assert key(exact_dedup(one, index, 0).select("doc_id", "kept", "known").na.fill(-1, ["doc_id"])) == first  # a retry
+    other = DigestIndex(spark, table, 8)  # another session's shuffle.partitions
+    second = key(exact_dedup(two, other, 1).select("doc_id", "kept", "known"))
+    assert second == [(7, False, True), (8, True, False)] and other.buckets == 3
+    assert key(exact_dedup(one, other, 0).select("doc_id", "kept", "known").na.fill(-1, ["doc_id"])) == first  # after a later batch
+    held = key(other.read().select("digest", "keep_id", "batch").na.fill(-1))
+    assert len(held) == len({h[0] for h in held}) == 4
+    other.compact()
+    assert key(other.read().select("digest", "keep_id", "batch").na.fill(-1)) == held
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}_old")  # a compaction that was broken off
+    assert key(exact_dedup(two, DigestIndex(spark, table), 1).select("doc_id", "kept", "known")) == second
+    other.drop()
+
+
+def test_stages_on_rows_that_share_ids(spark):
+    from plyframe.llm import exact, mixing, neardup
+
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long, "a", 77, "x"), (1, long, "a", 77, "x"), (1, "other text of the same id", "a", 78, "x"), (2, long + " end", "a", 79, "y"), (None, long, "b", 80, "z"), (None, "", None, 81, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _turn int, _row string")
+    got = exact.stage(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r["_turn"] for r in got.collect()) == [77, 78, 79, 81]
+    got = neardup.stage(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r["_turn"] for r in got.collect()) == [77, 78, 80, 81]
+    got = mixing.stage(spark, docs, "")
+    assert got.columns == docs.columns and {r["_turn"] for r in got.collect()} >= {77, 79, 80}
+
+
 def test_hot_group_is_attached_whole(spark):
     from plyframe.llm.exact import dedup_once
 
@@ -219,6 +290,41 @@ def test_license_scan(docs, rows, none):
     assert found > 20 and license_scan(none).count() == 0
 
 
+def test_license_labels_and_score_by_hand(spark):
+    """Bases, mandatory phrases and coverage by comparing every template with every place of a text."""
+    from plyframe.llm import licenses as L
+
+    rng, words = random.Random(4), lambda t: [w for w in L.words_of(t.encode())]
+    texts = ["", "cc by by nc 4 0 cc", "all rights reserved all rights"]
+    for _ in range(150):
+        parts = []
+        for t in rng.choices(L.TEMPLATES, k=rng.randint(1, 2)):
+            w = words(t.text)
+            for _ in range(rng.choice([0, 0, 1, 3])):  # words put in, left out or changed
+                i = rng.randrange(len(w))
+                w[i : i + rng.randint(0, 1)] = rng.choice([[], [b"x"], [b"the", b"software"] * rng.choice([1, 10])])
+            parts += [*rng.choices([b"the", b"software", b"of", b"xyz", b"license"], k=rng.randint(0, 30)), *w[: rng.choice([len(w), len(w), 9])]]
+        texts.append(b" ".join(parts).decode())
+    rows = {i: words(t) for i, t in enumerate(texts)}
+    vocabulary = L.template_words()
+    idf = {w: math.log((len(rows) + 1) / (1 + sum(w in r for r in rows.values()))) for w in vocabulary}
+    at = lambda w, phrase: [i for i in range(len(w) - len(phrase) + 1) if w[i : i + len(phrase)] == phrase]
+    got = by_id(L.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    for i, w in rows.items():
+        labels = {label for p, label in L.BASE.items() if at(w, words(p))}
+        score = 0.5 * bool(labels)
+        for t in L.TEMPLATES:
+            text, keys = words(t.text), [words(k) for k in t.key]
+            rare = sorted(set(text), key=lambda x: (-idf[x], text.index(x)))[: L.RARE]
+            bases = [b for b in range(-len(text), len(w)) if sum(any(x == r and 0 <= b + p < len(w) and w[b + p] == r for p, x in enumerate(text)) for r in rare) >= min(2, len(rare))]
+            if any(all(any(abs(s - b - p) <= L.SLACK for p in at(text, k) for s in at(w, k)) for k in keys) for b in bases):
+                labels.add(t.label)
+                share = [any(0 <= b + p < len(w) and w[b + p] == x for b in bases) for p, x in enumerate(text)]
+                score = max(score, sum((idf[x] + 0.01) * s for x, s in zip(text, share)) / sum(idf[x] + 0.01 for x in text))
+        assert got[i]["labels"] == ",".join(sorted(labels)) and got[i]["score"] == pytest.approx(score), texts[i]
+    assert len({r["labels"] for r in got.values()}) > 10 and any(0.6 < r["score"] < 0.95 for r in got.values())
+
+
 def test_license_templates(spark):
     from plyframe.llm.licenses import TEMPLATES, license_scan
 
@@ -252,24 +358,72 @@ def test_brown_base_columns(docs, rows, none, head):
     assert brown_scores(none, fold(of=10) != 0).count() == 0
 
 
-def test_brown_probabilities_sum_to_one(docs):
+def test_most_frequent_words_of_a_large_band(spark):
+    from plyframe.llm.brown import most_frequent
+
+    words = spark.createDataFrame([(f"w{i}".encode(), 7) for i in range(3000)] + [(b"often", 100), (b"seldom", 1)], "word binary, c long")
+    got = most_frequent(words, 1000)
+    assert got[0] == (b"often", 100) and 950 <= len(got) <= 1000 and {c for _, c in got[1:]} == {7}
+    assert len(most_frequent(words, 5000)) == 3002 and most_frequent(words.limit(0), 10) == []
+
+
+def test_brown_probabilities_sum_to_one():
     import numpy as np
 
     from plyframe.llm import brown
 
-    texts = docs.selectExpr("cast(coalesce(text, '') as binary) AS text")
-    counts = {bytes(r["word"]): r["c"] for r in brown.count_words(texts).collect()}
-    ends = counts.pop(b"")
-    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
-    chosen = {w: i for i, (w, _) in enumerate(top[:50])}
-    pairs = brown.count_bigrams(texts, chosen)
-    assert pairs.sum() == sum(counts.values()) + ends
-    clusters = brown.exchange(pairs, 50, 6)
-    m = brown.Brown(top, sum(counts.values()) + ends, len(counts) + 1, pairs, clusters, brown._rule_words(brown.count_words(texts), chosen))
+    rng = np.random.default_rng(1)
+    moves, words = rng.integers(0, 50, (7, 7)).astype(float), np.array([4, 3, 9, 1, 2, 5, 0.0])
+    m = brown.Brown(moves, words, 900, 25, 40)
     assert np.allclose((10**m.move).sum(1), 1)
-    for c in range(len(m.den) - 1):
-        words = [w for (w, _), k in zip(top, m.of) if k == c]
-        assert sum(10 ** m.emit[m.number[w]] for w in words) + brown.ADD * 10 ** -m.den[c] == pytest.approx(1)
+    for c in range(6):  # known words share the uses of their class, and one unknown word is left
+        assert (moves.sum(0)[c] + brown.ADD * words[c]) * 10 ** -m.den[c] + brown.ADD * 10 ** -m.den[c] == pytest.approx(1)
+    assert (900 + 25 * brown.ADD + brown.ADD) * 10**-m.base == pytest.approx(1)
+
+
+@pytest.mark.parametrize("head", [10, 100_000])
+def test_brown_scores_by_hand(docs, rows, head, monkeypatch):
+    """The score of each text from the classes that each word got, however it got them."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from plyframe.llm import brown
+    from plyframe.llm.toxicity import fold
+
+    seen = {}
+    classed = brown.classed
+    monkeypatch.setattr(brown, "classed", lambda *a: seen.setdefault("texts", classed(*a)))
+    monkeypatch.setattr(brown, "discard", lambda *a: None)
+    square = brown._square
+    monkeypatch.setattr(brown, "_square", lambda pairs, width: seen.update(groups=width) or square(pairs, width))  # the last one is by class
+    got = brown.brown_scores(docs, fold(of=10) != 0, head=head, clustered=min(head, 40), classes=6).collect()
+    split = {i: [w.encode() for w in re.findall(SPACE, t.translate(LOWER))] for i, t, _ in rows}
+    trained = lambda i: zlib.crc32(str(i).encode()) % 10 != 0
+    counts = collections.Counter(w for i, _, _ in rows if trained(i) for w in split[i])
+    of, moves, groups = {}, collections.Counter(), seen["groups"]
+    end = groups - 1
+    for r in seen["texts"].collect():
+        codes = np.frombuffer(bytes(r["classes"]), dtype=np.uint16).tolist()
+        assert len(codes) == len(split[r["doc_id"]]) == r["n"] and r["known"] == sum(counts[w] > 0 for w in split[r["doc_id"]])
+        for w, c in zip(split[r["doc_id"]], codes):
+            assert of.setdefault(w, c) == c  # one class a word
+    for i, _, _ in rows:
+        if trained(i):
+            codes = [end, *(of[w] for w in split[i]), end]
+            moves.update(zip(codes, codes[1:]))
+    uses, outs, words = collections.Counter(), collections.Counter(), collections.Counter(of[w] for w in of if counts[w])
+    for (a, b), n in moves.items():
+        uses[b] += n
+        outs[a] += n
+    total = sum(uses.values())
+
+    def move(a, b):
+        return math.log10((moves[a, b] + brown.BACK * (uses[b] + 1) / (total + groups)) / (outs[a] + brown.BACK))
+
+    for r in got:
+        codes = [end, *(of[w] for w in split[r["doc_id"]]), end]
+        score = sum(math.log10((counts[w] + brown.ADD) / (uses[of[w]] + brown.ADD * (words[of[w]] + 1))) for w in split[r["doc_id"]])
+        assert r["score"] == pytest.approx(score + sum(move(a, b) for a, b in zip(codes, codes[1:])))
 
 
 def test_exchange_raises_mutual_information():
@@ -342,8 +496,9 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     expected = removal(collections.Counter(t.encode() for _, t in rows), 200)
     held = spark.createDataFrame([(i, 0, t.encode()) for i, t in rows], "k long, h long, t binary")
     spans = [tuple(r) for b in [held.toArrow().to_batches()] for r in suffix.find_spans(held).collect()]
-    assert all(0 <= r[2] <= r[3] <= len(rows[r[0]][1].encode()) - 200 for r in spans)
-    assert {r[0]: sum(x[3] - x[2] + 1 for x in spans if x[0] == r[0]) for r in held.collect()} == {i: max(0, len(t.encode()) - 199) for i, t in rows}
+    places = [(r[0], r[2] >> 20, (r[2] >> 20) + (r[2] >> 10 & 1023), (r[2] >> 20) + (r[2] & 1023)) for r in spans]
+    assert all(0 <= first <= last <= len(rows[k][1].encode()) - 200 and first <= anchor <= first + 168 + last for k, first, anchor, last in places)
+    assert {r[0]: sum(last - first + 1 for k, first, _, last in places if k == r[0]) for r in held.collect()} == {i: max(0, len(t.encode()) - 199) for i, t in rows}
     got = {r["doc_id"]: tuple(r)[1:] for r in suffix.repeat_removal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: expected[t.encode()] for i, t in rows}
 
