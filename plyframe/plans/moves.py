@@ -213,13 +213,24 @@ def made_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def perft_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaves of two known trees, by root move summed up."""
-    held = perft_positions(spark)
-    parts = [perft(held.where(F.col("id") == i), d) for i, _, d, n, _ in C.PERFT if n < 100_000]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("id").agg(F.sum("leaves").alias("leaves"))
+    """Leaves of the known trees that are run: two plies by the relational generator, which spreads a tree over all tasks, the
+    rest of each state by the kernel."""
+    rows = B.parse(spark.createDataFrame([(i, f, d) for i, f, d, *_ in C.PERFT], "id int, fen string, depth int"))
+    states = successors(legal(rows, "id", "depth"), "id", "depth").groupBy("id", "depth", *STATE).agg(F.count(F.lit(1)).alias("times"))
+    states = successors(legal(states, "id", "depth", "times"), "id", "depth", "times").groupBy("id", "depth", *STATE).agg(F.sum("times").alias("times"))
+    return below(states.withColumn("left", F.col("depth") - 2)).groupBy("id").agg(F.sum("leaves").alias("leaves"))
+
+
+def below(states: DataFrame) -> DataFrame:
+    """id, leaves below each state (id, state, times, left: plies)."""
+    from .sequential import rows_of, spread
+
+    def work(r: dict) -> list:
+        rooks = {right: r[c] for right, c in ((1, "wk"), (2, "wq"), (4, "bk"), (8, "bq")) if r[c] is not None}
+        b = Kn.Board([Kn.CODES.get(c, 0) for c in r["board"]], r["stm"], rooks, r["ep"])
+        return [(r["id"], r["times"] * Kn.perft(b, r["left"]))]
+
+    return rows_of(spread(states, 8), "id int, leaves long", work)
 
 
 def perft_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +307,7 @@ def _oracles() -> dict[str, str]:
         "f8_checks": _duck(""", m AS (SELECT l.pos_id, count(*) AS moves, count(h.mid) AS checks FROM legal l LEFT JOIN hit h ON h.mid = l.mid AND h.color <> l.stm GROUP BY l.pos_id),
             c AS (SELECT q.pos_id, EXISTS (SELECT 1 FROM att a JOIN pieces k ON k.pos_id = a.pos_id AND k.sq = a.too AND k.ptype = 6 AND k.color = q.stm WHERE a.pos_id = q.pos_id AND a.color <> q.stm) AS in_check FROM pos q)
             SELECT pos_id, in_check, coalesce(moves, 0) AS moves, coalesce(checks, 0) AS checks, CASE WHEN coalesce(moves, 0) > 0 THEN 'open' WHEN in_check THEN 'mate' ELSE 'stalemate' END AS state FROM c LEFT JOIN m USING (pos_id)"""),
-        "g15_perft": "SELECT id, CAST(leaves AS BIGINT) AS leaves FROM " + C.values([(i, n) for i, _, _, n, _ in C.PERFT if n < 100_000], "id, leaves"),
+        "g15_perft": "SELECT id, CAST(leaves AS BIGINT) AS leaves FROM " + C.values([(i, n) for i, _, _, n, _ in C.PERFT], "id, leaves"),
     }
 
 

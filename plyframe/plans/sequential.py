@@ -14,17 +14,22 @@ from pyspark.sql import functions as F
 from ..functions import board as B
 from ..functions import endgames as E
 from ..functions import kernel as K
-from ..functions.network import Network
+from ..functions.network import Network, evaluate_both
 from ..sources import corpus as C
 from .positions import CORPUS_CTE
 
-# Forced mates as (id, fen, moves made first, moves allowed at the root, mate in).
+# Forced mates as (id, fen, moves made first, moves allowed at the root, mate in; negative: the side to move is mated).
 MATES = (
     (294, "5K2/8/2qk4/2nPp3/3r4/6B1/B7/3R4 w - e6", "", "", 1),
+    (304, "2brrb2/8/p7/Q7/1p1kpPp1/1P1pN1K1/3P4/8 b - -", "", "", -1),
     (321, "8/5R2/2K1P3/4k3/8/b1PPpp1B/5p2/8 w - -", "", "c6d7", 2),
+    (331, "8/5R2/2K1P3/4k3/8/b1PPpp1B/5p2/8 w - -", "", "c6d7", 2),
     (351, "r1b2r1k/pp1p2pp/2p5/2B1q3/8/8/P1PN2PP/R4RK1 w - - 0 18", "", "", 1),
     (361, "8/5R2/2K1P3/4k3/8/b1PPpp1B/5p2/8 w - -", "c6d7 f2f1q", "", 1),
+    (380, "8/5R2/2K1P3/4k3/8/b1PPpp1B/5p2/8 w - -", "c6d7", "e3e2", -1),
 )
+#: The search of the registered queries: plies, and nodes after which nothing further is begun.
+DEPTH, NODES = 5, 30_000
 
 
 def rows_of(df: DataFrame, kinds: str, work) -> DataFrame:
@@ -44,9 +49,9 @@ def rows_of(df: DataFrame, kinds: str, work) -> DataFrame:
     return df.mapInArrow(run, kinds)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Few rows with much work each: dealt to all cores."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame, waves: int = 1) -> DataFrame:
+    """Few rows with much work each: dealt to all cores, in so many waves."""
+    return df.repartition(waves * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def replays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,24 +78,26 @@ def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spread(C.corpus(spark)), "pos_id int, uci string, gains boolean, gains_100 boolean, loses_100 boolean", work)
 
 
-def searches(spark: SparkSession, sf_dir: str, depth: int = 2, k: int = 3) -> DataFrame:
-    """The best root moves of each position by iterative deepening to two plies over material, captures to the end."""
+def searches(spark: SparkSession, sf_dir: str, depth: int = DEPTH, k: int = 3, nodes: int = NODES) -> DataFrame:
+    """The best root moves of each position over material, with the depth that was reached."""
 
     def work(r: dict) -> list:
-        b, s = K.Board.parse(r["fen"]), K.Search()
-        ranked = s.run(b, depth, chess960=r["chess960"], k=k)
-        return [(r["pos_id"], i + 1, score, " ".join(line), d) for i, (score, line, d) in enumerate(ranked[:k])]
+        ranked = K.Search(limit=nodes).run(K.Board.parse(r["fen"]), depth, chess960=r["chess960"], k=k)
+        return [(r["pos_id"], i + 1, score, " ".join(line), d) for i, (score, line, d) in enumerate(ranked)]
 
-    return rows_of(spread(C.corpus(spark)), "pos_id int, rank int, score int, line string, depth int", work)
+    return rows_of(spread(C.corpus(spark), 4), "pos_id int, rank int, score int, line string, depth int", work)
 
 
 def forced_mates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H7: fewest moves to a forced mate."""
+    """H7: fewest moves to a forced mate of the other side, or of the side to move (negative)."""
 
     def work(r: dict) -> list:
         b, _ = K.Board.parse(r["fen"]).replay(r["moves"].split())
-        found = K.mate_in(b, 2, r["among"].split() or None)
-        return [(r["id"], found[0] if found else None)]
+        among = r["among"].split() or None
+        if found := K.mate_in(b, 2, among):
+            return [(r["id"], found[0])]
+        found = K.mated_in(b, 2, among)
+        return [(r["id"], -found[0] if found else None)]
 
     return rows_of(spread(spark.createDataFrame(MATES, "id int, fen string, moves string, among string, mate int")), "id int, mate int", work)
 
@@ -119,19 +126,41 @@ SELECT pos_id, side, sq, CAST((CASE WHEN side = 0 THEN sq // 8 ELSE 7 - sq // 8
   + 704 * (28 - 4 * kr + CASE WHEN ksq % 8 < 4 THEN ksq % 8 ELSE 7 - ksq % 8 END) AS INTEGER) AS feature FROM pieces JOIN k USING (pos_id)"""
 
 
-def network_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A network's parts for each position. The weights are synthetic, and read back from their file format."""
-    net = spark.sparkContext.broadcast(Network.synthetic(16).save())
+def _networks(spark: SparkSession):
+    """A big and a small synthetic network, broadcast as files; the loader of a task."""
+    files = spark.sparkContext.broadcast((Network.synthetic(32, 1).save(), Network.synthetic(16, 2).save()))
     held: list = []
 
-    def work(r: dict) -> list:
+    def load() -> tuple[Network, Network]:
         if not held:
-            held.append(Network.load(net.value)[0])
+            big, small = (Network.load(x)[0] for x in files.value)
+            held.append((big, small.doubled()))
+        return held[0]
+
+    return load
+
+
+def network_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and value of each position by two networks, the small one first where material is far apart. The
+    weights are synthetic, of small width, and read back from their file format."""
+    load = _networks(spark)
+
+    def work(r: dict) -> list:
+        return [(r["pos_id"], *evaluate_both(*load(), K.Board.parse(r["fen"])))]
+
+    return rows_of(C.corpus(spark), "pos_id int, psqt int, positional int, value int, small boolean", work)
+
+
+def bucket_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The big network's parts by each of its eight stacks, and which one the number of men picks."""
+    load = _networks(spark)
+
+    def work(r: dict) -> list:
         b = K.Board.parse(r["fen"])
-        psqt, positional = held[0].evaluate(b)
-        return [(r["pos_id"], psqt, positional, abs(b.material()) > 962)]
+        own = (sum(c > 0 for c in b.cells) - 1) // 4
+        return [(r["pos_id"], i, psqt, positional, i == own) for i, (psqt, positional) in enumerate(load()[0].trace(b))]
 
-    return rows_of(C.corpus(spark), "pos_id int, psqt int, positional int, small boolean", work)
+    return rows_of(C.corpus(spark), "pos_id int, bucket int, psqt int, positional int, used boolean", work)
 
 
 QUANT = "CAST(floor(1024 * CAST({} AS double)) AS bigint)"
@@ -161,21 +190,21 @@ def endgame_table(spark: SparkSession, pieces: str = "QRBN") -> DataFrame:
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes and longest mates of each table."""
-    rows = endgame_table(spark, "QR").withColumn("stm", F.col("stm").cast("int"))
+    rows = endgame_table(spark).withColumn("stm", F.col("stm").cast("int"))
     return rows.groupBy("material", "stm", "wdl").agg(F.count(F.lit(1)).alias("positions"), F.max("dtm").alias("longest"))
 
 
 def table_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of three men meet the table by material and squares; order keys make up positions."""
-    table = endgame_table(spark, "Q")
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "CAST(o_orderkey % 2 AS int) AS stm", "CAST(o_orderkey * 7 % 64 AS int) AS wk", "CAST(o_orderkey * 13 % 61 AS int) AS p", "CAST(o_orderkey * 29 % 63 AS int) AS bk")
-    met = rows.join(table.where("material = 'KQK'"), ["stm", "wk", "p", "bk"])
+    table = endgame_table(spark)
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "CAST(o_orderkey % 2 AS int) AS stm", "CAST(o_orderkey * 7 % 64 AS int) AS wk", "CAST(o_orderkey * 13 % 61 AS int) AS p", "CAST(o_orderkey * 29 % 63 AS int) AS bk", "concat('K', substr('QRBN', CAST(o_orderkey div 3 % 4 AS int) + 1, 1), 'K') AS material")
+    met = rows.join(table, ["material", "stm", "wk", "p", "bk"])
     top = 1 << 18
     return met.selectExpr("o_orderkey", "wdl", "dtm", f"CASE WHEN dtm > 0 AND wdl > 0 THEN {top} WHEN wdl < 0 THEN -{top} ELSE 0 END AS rank")
 
 
 QUERIES = {
-    "s3_replay": replays, "f13_exchange": exchanges, "h1_search": searches, "h7_forced_mates": forced_mates, "k11_piece_worth": piece_worth, "g16_features": features, "e3_network": network_values, "e8_dense_layers": dense_layers,
+    "s3_replay": replays, "f13_exchange": exchanges, "h1_search": searches, "h7_forced_mates": forced_mates, "k11_piece_worth": piece_worth, "g16_features": features, "e3_network": network_values, "e4_bucket_trace": bucket_trace, "e8_dense_layers": dense_layers,
     "j5_endgame_tables": table_counts, "j3_table_probe": table_probe,
 }
 ORACLE_SQL = {

@@ -1,6 +1,7 @@
 """Kernel and relational generators against each other and against known counts; text, keys, formats."""
 
 import io
+import random
 
 import numpy as np
 import pytest
@@ -98,30 +99,70 @@ def test_replay_stops_at_the_first_illegal_move():
 
 
 def test_exchange_by_full_search():
-    """see() against the value of the best exchange on the square, where no piece is pinned."""
-
-    def best(b, to):
-        own = [m for m in b.pseudo(captures_only=True) if m[1] == to and m[3] == K.NORMAL]
-        if not own:
+    """see() against a search of the exchange on maps of squares, with the rule for pins in its own words."""
+
+    def sees(men, sq, to):
+        """Whether the piece on sq attacks to."""
+        kind, dx, dy = men[sq].lower(), to % 8 - sq % 8, to // 8 - sq // 8
+        far = max(abs(dx), abs(dy))
+        if kind == "p":
+            return abs(dx) == 1 and dy == (1 if men[sq] == "P" else -1)
+        if kind == "n":
+            return abs(dx * dy) == 2
+        if kind == "k":
+            return far == 1
+        if not far or not ((kind in "rq" and dx * dy == 0) or (kind in "bq" and abs(dx) == abs(dy))):
+            return False
+        return not any(sq + i * (dx // far + 8 * (dy // far)) in men for i in range(1, far))
+
+    def tied(men, white):
+        """Shields of a king, and what pins them: what would attack it without that one man, other sliders left out."""
+        king = next(s for s, c in men.items() if c == ("K" if white else "k"))
+        lines = [s for s, c in men.items() if c.isupper() != white and c.lower() in "brq" and sees({s: c, king: "K"}, s, king)]
+        out = set(), set()
+        for s in lines:
+            bare = {x: c for x, c in men.items() if x not in lines or x == s}
+            own = [x for x in bare if bare[x].isupper() == white and x not in (king, s) and not sees(bare, s, king) and sees({y: c for y, c in bare.items() if y != x}, s, king)]
+            for x in own:
+                out[0].add(x)
+                out[1].add(s)
+        return out
+
+    def gain(men, to, white, held, worth):
+        """What the side to move gains on the square, whose last taker is worth that much and isn't on the map."""
+        able = [s for s in men if men[s].isupper() == white and sees({**men, to: "X"}, s, to)]
+        if held[white][1] & set(men):
+            able = [s for s in able if s not in held[white][0]]
+        if not able:
             return 0
-        m = min(own, key=lambda m: b.cells[m[0]] & 7)
-        if b.cells[m[0]] & 7 == K.K and b.attackers(to, 1 - b.stm, gone=m[0]):
+        s = min(able, key=lambda s: ("pnbrqk".index(men[s].lower()), s))
+        rest = {x: c for x, c in men.items() if x != s}
+        if men[s].lower() == "k" and any(men[x].isupper() != white and sees({**men, to: "X"}, x, to) for x in men):
             return 0
-        after = b.after(m)
-        return max(0, K.WORTH[b.cells[to]] - best(after, to))
+        return max(0, worth - gain(rest, to, not white, held, K.WORTH[K.CODES[men[s]]]))
 
-    checked = 0
-    for fen, _, _ in C.POSITIONS:
+    played, rng = [], random.Random(6)
+    for fen, _, _ in C.POSITIONS:  # positions of random games too
+        b = K.Board.parse(fen)
+        for _ in range(6):
+            if moves := b.moves():
+                b = b.after(rng.choice(moves))
+                played.append((b.fen(True), "", True))
+    checked = pinned = 0
+    for fen, _, _ in (*C.POSITIONS, *played, ("4k1r1/pp2N3/3p2p1/n2Nnpbp/4PP2/Pb4q1/1P2BRPP/R1rQ2K1 w - - 0 23", "", False)):
         b = K.Board.parse(fen)
-        if K._pins(b, 0) or K._pins(b, 1):
-            continue
-        for m in b.moves(captures_only=True):
-            if m[3] == K.NORMAL and b.cells[m[0]] & 7 != K.K:
-                after = b.after(m)
-                gain = K.WORTH[b.cells[m[1]]] - best(after, m[1])
-                assert K.see(b, m, gain) and not K.see(b, m, gain + 1), (fen, b.text(m))
+        men = {s: K.LETTERS[c] for s, c in enumerate(b.cells) if c}
+        held = {w: tied(men, w) for w in (True, False)}
+        pinned += bool(held[True][0] or held[False][0])
+        for m in b.moves():
+            if m[3] == K.NORMAL:
+                rest = {s: c for s, c in men.items() if s not in m[:2]}
+                value = K.WORTH[b.cells[m[1]]] - gain(rest, m[1], b.stm == 1, held, K.WORTH[b.cells[m[0]]])
+                assert K.see(b, m, value) and not K.see(b, m, value + 1), (fen, b.text(m))
                 checked += 1
-    assert checked > 20
+    b = K.Board.parse("4k1r1/pp2N3/3p2p1/n2Nnpbp/4PP2/Pb4q1/1P2BRPP/R1rQ2K1 w - - 0 23")
+    assert checked > 1000 and pinned > 10 and not K.see(b, b.find("a1b1"), 0)
+
 
 
 def test_forced_mates():
