@@ -82,49 +82,69 @@ SELECT l_orderkey, l_linenumber, v, CAST(row_number() OVER (PARTITION BY l_order
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_linenumber = 2 THEN 0 ELSE 1 END, k, given) AS INTEGER) AS place_after_front FROM s"""
 
 
+#: A thread's last score, with proven wins and losses (from 31507 on) and unsearched threads (-32001) among them, depth, move and length of its line.
+VOTES = """l_orderkey, l_linenumber AS thread, CASE WHEN l_partkey % 11 = 0 THEN 31507 + l_suppkey % 7 * 50 WHEN l_partkey % 3 = 0 AND l_orderkey % 4 = 0 THEN -31507 - l_suppkey % 7 * 50 WHEN l_partkey % 29 = 0 THEN -32001
+  ELSE CAST(floor(l_quantity) AS bigint) - 25 END AS score, l_suppkey % 20 + 1 AS depth, l_partkey % 4 AS move, CAST(l_partkey % 5 AS int) + 1 AS line"""
+
+
 def thread_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The thread whose move gets most votes of (score - least score + 14) * depth; proven scores go first.
+    """The thread whose move gets most votes of (score - least score + 14) * depth; proven scores go first."""
+    return vote(_lines(spark, sf_dir).selectExpr(*[x.strip() for x in _columns(VOTES)]), "l_orderkey")
+
+
+def _columns(text: str) -> list[str]:
+    """A SELECT list without commas inside its columns, as columns."""
+    return text.split(",")
 
-    Threads are scanned in order: a proven win yields to a higher score, a proven loss to any that isn't one or a longer one;
-    else a proven win or more votes take over, or equal votes with a larger own vote and a line beyond two moves.
-    """
-    rows = _lines(spark, sf_dir).selectExpr("l_orderkey", "l_linenumber AS thread", "CAST(floor(l_quantity) AS bigint) - 25 AS score", "l_suppkey % 20 + 1 AS depth", "l_partkey % 4 AS move", "CAST(3 AS int) AS line")
-    return vote(rows, "l_orderkey")
 
+def vote(rows: DataFrame, request: str, win: int = 31507, none: int = -32001) -> DataFrame:
+    """request, thread, move, votes, of rows with thread, score, depth, move and line (moves of its line).
 
-def vote(rows: DataFrame, request: str, win: int = 31507) -> DataFrame:
-    """request, thread, move, votes, of rows with thread, score, depth, move and line (moves of its line)."""
+    Threads are scanned in order. A chosen proven win yields to a higher score only, a chosen proven loss to a lower proven loss
+    only. Any other yields to every proven win or loss, and to a thread with more votes for its move; at equal
+    votes to one with a larger own vote, where lines of up to two moves count as no vote. A score of `none` wins nothing.
+    """
     by = Window.partitionBy(request)
     rows = rows.withColumn("own", (F.col("score") - F.min("score").over(by) + 14) * F.col("depth"))
     rows = rows.withColumn("votes", F.sum("own").over(Window.partitionBy(request, "move")))
     threads = rows.groupBy(request).agg(F.array_sort(F.collect_list(F.struct("thread", "move", "score", "own", "votes", "line"))).alias("t"))
+    lost = lambda v: f"({v}.score <= -{win} AND {v}.score <> {none})"
     better = f"""CASE WHEN b.score >= {win} THEN x.score > b.score
-        WHEN b.score <= -{win} THEN x.score > -{win} OR x.score < b.score
-        ELSE x.score >= {win} OR (x.score > -{win} AND (x.votes > b.votes OR (x.votes = b.votes AND x.own * CASE WHEN x.line > 2 THEN 1 ELSE 0 END > b.own * CASE WHEN b.line > 2 THEN 1 ELSE 0 END))) END"""
+        WHEN {lost("b")} THEN {lost("x")} AND x.score < b.score
+        ELSE x.score >= {win} OR {lost("x")} OR (x.score > -{win} AND (x.votes > b.votes OR (x.votes = b.votes AND x.own * CASE WHEN x.line > 2 THEN 1 ELSE 0 END > b.own * CASE WHEN b.line > 2 THEN 1 ELSE 0 END))) END"""
     best = F.expr(f"aggregate(slice(t, 2, greatest(size(t) - 1, 0)), t[0], (b, x) -> CASE WHEN {better} THEN x ELSE b END)")
     return threads.select(request, best.alias("b")).select(request, F.col("b.thread").cast("int").alias("thread"), "b.move", "b.votes")
 
 
-VOTE_SQL = """WITH r AS (SELECT l_orderkey, l_linenumber AS thread, CAST(floor(l_quantity) AS BIGINT) - 25 AS score, l_suppkey % 20 + 1 AS depth, l_partkey % 4 AS move FROM lineitem),
-o AS (SELECT *, (score - min(score) OVER (PARTITION BY l_orderkey) + 14) * depth AS own FROM r), v AS (SELECT *, sum(own) OVER (PARTITION BY l_orderkey, move) AS votes FROM o),
-s AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY votes DESC, own DESC, thread) AS n FROM v)
-SELECT l_orderkey, CAST(thread AS INTEGER) AS thread, move, CAST(votes AS BIGINT) AS votes FROM s WHERE n = 1"""
+#: The scan as a recursion over threads that keeps the number of the chosen one. State: 1 a win, -1 a loss, 0 else; own vote 0 for short lines.
+VOTE_SQL = f"""WITH RECURSIVE r AS (SELECT {VOTES} FROM lineitem), o AS (SELECT *, (score - min(score) OVER (PARTITION BY l_orderkey) + 14) * depth AS own FROM r),
+v AS (SELECT *, sum(own) OVER (PARTITION BY l_orderkey, move) AS votes FROM o),
+t AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY thread, move, score, own, votes, line) AS n, CASE WHEN line < 3 THEN 0 ELSE own END AS counted,
+        CASE WHEN score > 31506 THEN 1 WHEN score BETWEEN -32000 AND -31507 THEN -1 ELSE 0 END AS state FROM v),
+s AS (SELECT l_orderkey, n, n AS best FROM t WHERE n = 1
+  UNION ALL SELECT x.l_orderkey, x.n, CASE
+    WHEN b.state = 0 AND x.state <> 0 THEN x.n
+    WHEN b.state <> 0 THEN CASE WHEN (b.state = 1 AND x.score > b.score) OR (b.state = -1 AND x.state = -1 AND x.score < b.score) THEN x.n ELSE b.n END
+    WHEN x.score = -32001 OR x.votes < b.votes OR (x.votes = b.votes AND x.counted <= b.counted) THEN b.n ELSE x.n END
+  FROM s JOIN t x ON x.l_orderkey = s.l_orderkey AND x.n = s.n + 1 JOIN t b ON b.l_orderkey = s.l_orderkey AND b.n = s.best)
+SELECT t.l_orderkey, CAST(t.thread AS INTEGER) AS thread, t.move, CAST(t.votes AS BIGINT) AS votes
+FROM (SELECT l_orderkey, arg_max(best, n) AS best FROM s GROUP BY l_orderkey) f JOIN t ON t.l_orderkey = f.l_orderkey AND t.n = f.best"""
 
 BONUS, BOUND = "CAST(floor(value * 37) AS bigint) % 9001 - 4500", 7183
 
 
 def gravity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A bounded history value and a running mean after all of a user's events, in order."""
+    """A bounded history value, a running mean and a running signed mean square after all of a user's events, in order."""
     rows = _events(spark, sf_dir).selectExpr("user_id", "ts", "event_id", f"{BONUS} AS b")
     logs = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "b"))).alias("l"))
     step = f"(v, x) -> v + greatest(-{BOUND}L, least({BOUND}L, x.b)) - v * abs(greatest(-{BOUND}L, least({BOUND}L, x.b))) div {BOUND}"
-    return logs.select("user_id", F.expr(f"aggregate(l, 0L, {step})").alias("history"), F.expr("aggregate(slice(l, 2, greatest(size(l) - 1, 0)), l[0].b, (a, x) -> (x.b + a) div 2)").alias("average"))
+    return logs.select("user_id", F.expr(f"aggregate(l, 0L, {step})").alias("history"), F.expr("aggregate(slice(l, 2, greatest(size(l) - 1, 0)), l[0].b, (a, x) -> (x.b + a) div 2)").alias("average"), F.expr("aggregate(slice(l, 2, greatest(size(l) - 1, 0)), l[0].b * abs(l[0].b), (a, x) -> (x.b * abs(x.b) + a) div 2)").alias("mean_square"))
 
 
 GRAVITY_SQL = f"""WITH RECURSIVE e AS (SELECT user_id, {BONUS} AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
-f AS (SELECT user_id, n, CAST(greatest(-{BOUND}, least({BOUND}, b)) AS BIGINT) AS v, b AS a FROM e WHERE n = 1
-  UNION ALL SELECT e.user_id, e.n, f.v + greatest(-{BOUND}, least({BOUND}, e.b)) - f.v * abs(greatest(-{BOUND}, least({BOUND}, e.b))) // {BOUND}, (e.b + f.a) // 2 FROM f JOIN e ON e.user_id = f.user_id AND e.n = f.n + 1)
-SELECT user_id, arg_max(v, n) AS history, arg_max(a, n) AS average FROM f GROUP BY user_id"""
+f AS (SELECT user_id, n, CAST(greatest(-{BOUND}, least({BOUND}, b)) AS BIGINT) AS v, b AS a, b * abs(b) AS q FROM e WHERE n = 1
+  UNION ALL SELECT e.user_id, e.n, f.v + greatest(-{BOUND}, least({BOUND}, e.b)) - f.v * abs(greatest(-{BOUND}, least({BOUND}, e.b))) // {BOUND}, (e.b + f.a) // 2, (e.b * abs(e.b) + f.q) // 2 FROM f JOIN e ON e.user_id = f.user_id AND e.n = f.n + 1)
+SELECT user_id, arg_max(v, n) AS history, arg_max(a, n) AS average, arg_max(q, n) AS mean_square FROM f GROUP BY user_id"""
 
 
 def decay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,14 +196,16 @@ SELECT slot, arg_max(key, n) AS key, arg_max(move, n) AS move, arg_max(depth8, n
 def repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """distance to the same position in a game, negative from the third time on, and the draw it makes.
 
-    A user's events stand for a game: event type and value make the key, a purchase is an irreversible move.
+    A user's events stand for a game: event type and value make the key, a purchase is an irreversible move, every seventh event
+    a mate. As such games are short, ten moves stand for the hundred that make a draw.
     """
-    e = _events(spark, sf_dir).selectExpr("user_id AS game", "event_id", "ts", "concat(event_type, ':', CAST(floor(value) DIV 40 AS string)) AS key", "event_type = 'purchase' AS fresh")
-    return repeats(e.withColumn("ply", F.row_number().over(Window.partitionBy("game").orderBy("ts", "event_id")).cast("int") - 1), "game").select("game", "ply", "rule50", "repetition", "draw")
+    e = _events(spark, sf_dir).selectExpr("user_id AS game", "event_id", "ts", "concat(event_type, ':', CAST(floor(value) DIV 40 AS string)) AS key", "event_type = 'purchase' AS fresh", "event_id % 7 = 0 AS mated")
+    return repeats(e.withColumn("ply", F.row_number().over(Window.partitionBy("game").orderBy("ts", "event_id")).cast("int") - 1), "game", 9).select("game", "ply", "rule50", "repetition", "draw")
 
 
-def repeats(rows: DataFrame, game: str) -> DataFrame:
-    """rows (ply, key, fresh: an irreversible move led here) with rule50, repetition and draw (by the fifty-move count or repetition)."""
+def repeats(rows: DataFrame, game: str, limit: int = 99) -> DataFrame:
+    """rows (ply, key, fresh: an irreversible move led here, mated) with rule50, repetition and draw: by the fifty-move count, unless
+    the side to move is mated, or by repetition."""
     upto = Window.partitionBy(game).orderBy("ply").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("rule50", F.col("ply") - F.coalesce(F.max(F.when(F.col("fresh"), F.col("ply"))).over(upto), F.lit(0)))
     same = Window.partitionBy(game, "key", F.col("ply") % 2).orderBy("ply")
@@ -191,14 +213,14 @@ def repeats(rows: DataFrame, game: str) -> DataFrame:
     near = (F.col("ply") - last >= 4) & (F.col("ply") - last <= F.col("rule50"))
     rows = rows.withColumn("d", F.when(near, F.col("ply") - last)).withColumn("again", F.lag(F.col("d").isNotNull()).over(same))
     rows = rows.withColumn("repetition", F.when(F.col("d").isNull(), 0).when(F.col("again"), -F.col("d")).otherwise(F.col("d")))
-    return rows.withColumn("draw", (F.col("rule50") > 99) | (F.col("repetition") < 0)).drop("d", "again")
+    return rows.withColumn("draw", (F.col("rule50") > limit) & ~F.col("mated") | (F.col("repetition") < 0)).drop("d", "again")
 
 
-REPEAT_SQL = """WITH e AS (SELECT user_id AS game, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS ply, event_type || ':' || CAST(CAST(floor(value) AS BIGINT) // 40 AS VARCHAR) AS key, event_type = 'purchase' AS fresh FROM events),
+REPEAT_SQL = """WITH e AS (SELECT user_id AS game, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS ply, event_type || ':' || CAST(CAST(floor(value) AS BIGINT) // 40 AS VARCHAR) AS key, event_type = 'purchase' AS fresh, event_id % 7 = 0 AS mated FROM events),
 r AS (SELECT a.*, a.ply - coalesce((SELECT max(b.ply) FROM e b WHERE b.game = a.game AND b.fresh AND b.ply <= a.ply), 0) AS rule50, (SELECT max(b.ply) FROM e b WHERE b.game = a.game AND b.key = a.key AND b.ply < a.ply AND (a.ply - b.ply) % 2 = 0) AS last FROM e a),
 d AS (SELECT *, CASE WHEN ply - last >= 4 AND ply - last <= rule50 THEN ply - last END AS d FROM r)
 SELECT a.game, CAST(a.ply AS INTEGER) AS ply, CAST(a.rule50 AS INTEGER) AS rule50, CAST(CASE WHEN a.d IS NULL THEN 0 WHEN b.d IS NOT NULL THEN -a.d ELSE a.d END AS INTEGER) AS repetition,
-  a.rule50 > 99 OR (a.d IS NOT NULL AND b.d IS NOT NULL) AS draw FROM d a LEFT JOIN d b ON b.game = a.game AND b.ply = a.last"""
+  CASE WHEN a.d IS NOT NULL AND b.d IS NOT NULL THEN true WHEN a.mated THEN false ELSE a.rule50 >= 10 END AS draw FROM d a LEFT JOIN d b ON b.game = a.game AND b.ply = a.last"""
 
 #: Optimum and maximum time of a move, from the clock (ms), increment, moves to go (0: none), ply and overhead, in real numbers.
 _MTG = "CASE WHEN t < 1000 THEN CAST(floor(t * 5.051e0) AS bigint) WHEN mtg > 0 THEN least(mtg * 100, 5000) ELSE 5051 END"
@@ -208,7 +230,7 @@ TIME_TEXT = f"""SELECT k, CAST(floor(opt_scale * lft) AS bigint) AS optimum, CAS
          ELSE least((0.88e0 + ply / 116.4e0) / (h / 100e0), 0.88e0 * t / lft) END AS opt_scale,
     CASE WHEN mtg = 0 THEN least(6.67704e0, greatest(3.3977e0 + 3.03950e0 * log10(t / 1000e0), 2.94761e0) + ply / 11.9847e0) ELSE 1.3e0 + 0.11e0 * (h / 100e0) END AS max_scale
   FROM (SELECT *, CAST(greatest(1, t + trunc_div(inc * (h - 100) - overhead * (200 + h), 100)) AS double) AS lft FROM (
-    SELECT *, {_MTG} AS h FROM (SELECT o_orderkey AS k, CAST(1000 + o_orderkey * 7919 % 600000 AS bigint) AS t, CAST(o_orderkey % 7 * 500 AS bigint) AS inc, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 41 END AS bigint) AS mtg,
+    SELECT *, {_MTG} AS h FROM (SELECT o_orderkey AS k, CAST(CASE WHEN o_orderkey % 5 = 0 THEN 20 + o_orderkey % 980 ELSE 1000 + o_orderkey * 7919 % 600000 END AS bigint) AS t, CAST(o_orderkey % 7 * 500 AS bigint) AS inc, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 41 END AS bigint) AS mtg,
       CAST(o_orderkey % 120 AS bigint) AS ply, CAST(10 AS bigint) AS overhead FROM ORDERS) AS a) AS b) AS c) AS d"""
 
 
@@ -240,14 +262,26 @@ BUDGET_SQL = """WITH e AS (SELECT event_id, 50000e0 / (row_number() OVER (PARTIT
 SELECT event_id, round(w * 150000 / (SELECT sum(w) FROM e), 3) AS ms FROM e"""
 
 
-def weakened_pick(spark: SparkSession, sf_dir: str, level: int = 5, seed: int = 1) -> DataFrame:
-    """Of the four best moves the one whose score with a seeded push is greatest; later ones win ties."""
-    best = root_ranking(spark, sf_dir, 4).withColumn("top", F.max("score").over(Window.partitionBy("l_orderkey")))
-    push = F.expr(f"((120 - 2 * {level}) * (top - score) + 5 * (pmod(xxhash64({seed}, l_orderkey, rank), 120 - 2 * {level}))) div 128")
-    order = Window.partitionBy("l_orderkey").orderBy(F.desc(F.col("score") + push), F.desc("rank"))
+def weakened_pick(spark: SparkSession, sf_dir: str, level: int = 5, seed: int = 1, pawn: int = 208) -> DataFrame:
+    """Of the four best moves the one whose score with a push is greatest; later ones win ties.
+
+    The push is a 128th of: the weakness times what the move lacks of the best score, and the lesser of a pawn and what the last move
+    lacks, times a seeded number below the weakness. Scores are scaled up so that both kinds of last moves occur.
+    """
+    by = Window.partitionBy("l_orderkey")
+    best = root_ranking(spark, sf_dir, 4).withColumn("score", F.col("score") * 60).withColumn("top", F.max("score").over(by)).withColumn("delta", F.least(F.lit(pawn), F.col("top") - F.min("score").over(by)))
+    weakness = 120 - 2 * level
+    push = F.expr(f"({weakness} * (top - score) + delta * ({PUSH.format(seed=seed)} % {weakness})) div 128")
+    order = by.orderBy(F.desc(F.col("score") + push), F.desc("rank"))
     return best.withColumn("n", F.row_number().over(order)).where("n = 1").select("l_orderkey", "move")
 
 
+#: A number below 2^32 for each move of each request.
+PUSH = "((l_orderkey % 1000003 * 2654435761 + rank * 40503 + {seed} * 97531) % 4294967296)"
+PICK_SQL = f"""WITH b AS ({RANK_SQL.replace("WITH r AS", "WITH r AS").replace("< 3", "< 4")}), d AS (SELECT l_orderkey, max(score) * 60 AS top, least(208, 60 * (max(score) - min(score))) AS delta FROM b GROUP BY l_orderkey),
+p AS (SELECT l_orderkey, move, "rank", 60 * score + CAST(floor((110 * (top - 60 * score) + delta * ({PUSH.format(seed=1).replace("rank", '"rank"')} % 110)) / 128.0) AS BIGINT) AS pushed FROM b JOIN d USING (l_orderkey))
+SELECT l_orderkey, arg_max(move, pushed * 10 + "rank") AS move FROM p GROUP BY l_orderkey"""
+
 QUERIES = {
     "a4_slot_statistics": slot_statistics, "a16_run_totals": run_totals, "a10_hash_fill": hash_fill, "o5_root_ranking": root_ranking, "o1_partial_sort": partial_sort, "a11_thread_vote": thread_vote,
     "a12_gravity_fold": gravity, "a17_decay": decay, "o8_replacement_victim": victims, "o9_table_updates": table_updates, "f11_repetition": repetitions, "p22_time_allocation": time_allocation,
@@ -256,5 +290,5 @@ QUERIES = {
 ORACLE_SQL = {
     "a4_slot_statistics": SLOT_TEXT.replace("LINES", "lineitem"), "a16_run_totals": RUN_TEXT.replace("LINES", "lineitem").replace("DIV", "//"), "a10_hash_fill": FILL_SQL, "o5_root_ranking": RANK_SQL, "o1_partial_sort": PARTIAL_SQL,
     "a11_thread_vote": VOTE_SQL, "a12_gravity_fold": GRAVITY_SQL, "a17_decay": DECAY_SQL, "o8_replacement_victim": VICTIM_SQL, "o9_table_updates": UPDATES_SQL, "f11_repetition": REPEAT_SQL,
-    "p22_time_allocation": engine(TIME_TEXT, True).replace("ORDERS", "orders"), "p24_formulas": engine(FORMULA_TEXT, True).replace("ORDERS", "orders"), "p25_time_budget": BUDGET_SQL,
+    "p22_time_allocation": engine(TIME_TEXT, True).replace("ORDERS", "orders"), "p24_formulas": engine(FORMULA_TEXT, True).replace("ORDERS", "orders"), "p25_time_budget": BUDGET_SQL, "o10_weakened_pick": PICK_SQL,
 }

@@ -179,11 +179,16 @@ def table_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TT_SQL = f"SELECT {', '.join(TT_TEXT)} FROM (SELECT {TT_BASE} FROM orders)"
-EVAL_BASE = "o_orderkey, cast(o_orderkey * 13 % 4001 - 2000 as bigint) AS psqt, cast(o_orderkey * 29 % 3001 - 1500 as bigint) AS pos, cast(o_orderkey * 17 % 201 - 100 as bigint) AS opt, cast(o_orderkey % 17 * 534 + o_orderkey % 9000 as bigint) AS mat, cast(o_orderkey % 100 as bigint) AS rule50"
+EVAL_BASE = "o_orderkey, cast(o_orderkey * 13 % 4001 - 2000 as bigint) AS psqt, cast(o_orderkey * 29 % 3001 - 1500 as bigint) AS pos, cast(o_orderkey * 17 % 201 - 100 as bigint) AS opt, cast(o_orderkey % 17 * 534 + o_orderkey % 9000 as bigint) AS mat, cast(o_orderkey % 100 as bigint) AS rule50, " + ", ".join(f"cast(o_orderkey * {k} % 2049 - 1024 as bigint) AS {c}" for k, c in ((19, "pawn"), (23, "minor"), (37, "white"), (41, "black"), (43, "two"), (47, "four"))) + ", o_orderkey % 9 <> 0 AS moved"
+
+
+#: What corrects an evaluation, of 131072ths: entries by pawns, by minor pieces, by each side's other pieces, and by the moves two and four plies ago
+#: (8 in place of their sum where no move was made).
+CORRECTION = "10347 * pawn + 8821 * minor + 11665 * (white + black) + 7841 * CASE WHEN moved THEN two + four ELSE 8 END"
 
 
 def _eval_text(duck: bool) -> str:
-    return f"o_orderkey, cast({S.engine(S.final_eval('psqt', 'pos', 'opt', 'mat', 'rule50'), duck)} as int) AS value, cast(least({S.TB_WIN - 1}, greatest(-{S.TB_WIN - 1}, {S.engine('psqt + trunc_div(pos * 9973, 131072)', duck)})) as int) AS corrected"
+    return f"o_orderkey, cast({S.engine(S.final_eval('psqt', 'pos', 'opt', 'mat', 'rule50'), duck)} as int) AS value, cast(least({S.TB_WIN - 1}, greatest(-{S.TB_WIN - 1}, {S.engine(f'psqt + trunc_div({CORRECTION}, 131072)', duck)})) as int) AS corrected"
 
 
 def final_evals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +196,9 @@ def final_evals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT {_eval_text(False)} FROM (SELECT {EVAL_BASE} FROM {{orders}})", orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
-EVAL_SQL = f"SELECT {_eval_text(True)} FROM (SELECT {EVAL_BASE} FROM orders)"
+EVAL_SQL = f"""WITH b AS (SELECT {EVAL_BASE} FROM orders), e AS (SELECT {_eval_text(True)} FROM b),
+t AS (SELECT o_orderkey, psqt, list_sum([10347.0 * pawn, 8821.0 * minor, 11665.0 * white, 11665.0 * black, CASE WHEN moved THEN 7841.0 * two + 7841.0 * four ELSE 62728.0 END]) AS c FROM b)
+SELECT o_orderkey, value, CAST(CASE WHEN psqt + trunc(c / 131072) > {S.TB_WIN - 1} THEN {S.TB_WIN - 1} WHEN psqt + trunc(c / 131072) < -{S.TB_WIN - 1} THEN -{S.TB_WIN - 1} ELSE psqt + trunc(c / 131072) END AS INTEGER) AS corrected FROM e JOIN t USING (o_orderkey)"""
 
 QUERIES = {
     "flagship_material_wdl": flagship, "s5_fen_parse": fen_parse, "k1_fen_write": fen_round_trip, "p26_flip": flip, "a1_material_balance": material_balance, "p14_position_keys": position_keys,

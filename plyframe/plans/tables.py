@@ -8,24 +8,33 @@ from pyspark.sql import functions as F
 from ..functions import board as B
 from ..functions import kernel as K
 from ..functions.score import engine
-from ..functions.zobrist import lcg, signed
+from ..functions.zobrist import lcg, signed, tables
 from ..sources import corpus as C
 from . import aggregates as A
 from .positions import CORPUS_CTE, POS_SQL
-from .sequential import rows_of, spread
+from .sequential import DEPTH, NODES, rows_of, spread
 
 TOP = 1 << 18
 #: Rank of a root move from its distance to zeroing, the fifty-move count and whether the position repeated.
 ROOT_RANK = f"""CASE WHEN dtz > 0 THEN CASE WHEN dtz + c <= 99 AND NOT rep THEN {TOP} - CASE WHEN by_dtz THEN dtz ELSE 0 END ELSE trunc_div({TOP}, 2) - (dtz + c) END
   WHEN dtz < 0 THEN CASE WHEN -2 * dtz + c < 100 THEN -{TOP} - CASE WHEN by_dtz THEN dtz ELSE 0 END ELSE -trunc_div({TOP}, 2) + (c - dtz) END ELSE 0 END"""
 RANK_BASE = "SELECT o_orderkey, CAST(o_orderkey * 7 % 241 - 120 AS bigint) AS dtz, CAST(o_orderkey % 101 AS bigint) AS c, o_orderkey % 5 = 0 AS rep, o_orderkey % 2 = 0 AS by_dtz, CAST(o_orderkey % 5 - 2 AS int) AS wdl FROM ORDERS"
+#: What is shown for a rank: a table win or loss from WON on; below it at least 3, growing with the rank, of 200ths of a pawn.
+WON, NEAR, SHOWN, PAWN_VALUE = TOP // 2 - 100, TOP // 2 - 200, 32000 - 246 - 1, 208
+ROOT_SCORE = f"""CASE WHEN rank >= {WON} THEN {SHOWN} WHEN rank > 0 THEN trunc_div(greatest(3, rank - {NEAR}) * {PAWN_VALUE}, 200) WHEN rank = 0 THEN 0
+  WHEN rank > -{WON} THEN trunc_div(least(-3, rank + {NEAR}) * {PAWN_VALUE}, 200) ELSE -{SHOWN} END"""
 #: Before-zeroing distance and fallback rank of an outcome.
-RANK_TEXT = f"""SELECT o_orderkey, {ROOT_RANK} AS rank, CAST(CASE wdl WHEN 2 THEN 1 WHEN 1 THEN 101 WHEN 0 THEN 0 WHEN -1 THEN -101 ELSE -1 END AS bigint) AS zeroing,
-  CAST(CASE wdl WHEN 2 THEN {TOP} WHEN 1 THEN {TOP} - 101 WHEN 0 THEN 0 WHEN -1 THEN -{TOP} + 101 ELSE -{TOP} END AS bigint) AS fallback FROM ({RANK_BASE}) AS x"""
+RANK_TEXT = f"""SELECT o_orderkey, rank, CAST({ROOT_SCORE} AS bigint) AS score, zeroing, fallback FROM (SELECT o_orderkey, {ROOT_RANK} AS rank, CAST(CASE wdl WHEN 2 THEN 1 WHEN 1 THEN 101 WHEN 0 THEN 0 WHEN -1 THEN -101 ELSE -1 END AS bigint) AS zeroing,
+  CAST(CASE wdl WHEN 2 THEN {TOP} WHEN 1 THEN {TOP} - 101 WHEN 0 THEN 0 WHEN -1 THEN -{TOP} + 101 ELSE -{TOP} END AS bigint) AS fallback FROM ({RANK_BASE}) AS x) AS y"""
+#: The same by outcome tables, absolute distances and signs.
+RANK_ORACLE = f"""WITH x AS ({RANK_BASE.replace("ORDERS", "orders")}), w AS (SELECT * FROM (VALUES (2, 1, 262144), (1, 101, 262043), (0, 0, 0), (-1, -101, -262043), (-2, -1, -262144)) t(wdl, zeroing, fallback)),
+d AS (SELECT *, abs(dtz) AS n, sign(dtz) AS s FROM x),
+r AS (SELECT o_orderkey, wdl, s, CAST(s * CASE WHEN dtz = 0 THEN 0 WHEN dtz > 0 AND (rep OR n + c > 99) THEN 131072 - n - c WHEN dtz < 0 AND 2 * n + c >= 100 THEN 131072 - n - c ELSE 262144 - CASE WHEN by_dtz THEN n ELSE 0 END END AS BIGINT) AS k FROM d)
+SELECT o_orderkey, k AS rank, CAST(CASE WHEN abs(k) >= 130972 THEN sign(k) * 31753 WHEN k = 0 THEN 0 ELSE sign(k) * (greatest(3, abs(k) - 130872) * 208 // 200) END AS BIGINT) AS score, CAST(zeroing AS BIGINT) AS zeroing, CAST(fallback AS BIGINT) AS fallback FROM r JOIN w USING (wdl)"""
 
 
 def root_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranks by distance to zeroing, and by outcome alone."""
+    """Ranks by distance to zeroing with the score that is shown, and ranks by outcome alone."""
     return spark.sql(engine(RANK_TEXT, False).replace("ORDERS", "{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
 
 
@@ -103,19 +112,20 @@ HASH_SQL = "SELECT CAST(i AS INTEGER) AS i, CAST(CASE WHEN h >= 9223372036854775
 
 
 def info_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K8, K9: a line for each of the best moves of each position, and the move played; positions without moves say so."""
+    """K8, K9: a line for each of the best moves of each position, and the move played with the reply that is expected; positions
+    without moves say so. No times, table fill or table hits."""
 
     def work(r: dict) -> list:
-        b, s = K.Board.parse(r["fen"]), K.Search()
-        ranked = s.run(b, 2, chess960=r["chess960"], k=2)
+        b, s = K.Board.parse(r["fen"]), K.Search(limit=NODES)
+        ranked = s.run(b, DEPTH, chess960=r["chess960"], k=2)
         if not ranked:
             return [(r["pos_id"], 0, f"info depth 0 score {'mate 0' if b.in_check() else 'cp 0'}"), (r["pos_id"], 99, "bestmove (none)")]
         text = lambda v: f"mate {(K.MATE - v + 1) // 2}" if v > 31000 else f"mate {-((K.MATE + v) // 2)}" if v < -31000 else f"cp {v}"
-        lines = [(r["pos_id"], i + 1, f"info depth {d} multipv {i + 1} score {text(v)} nodes {s.nodes} pv {' '.join(line)}") for i, (v, line, d) in enumerate(ranked[:2])]
+        lines = [(r["pos_id"], i + 1, f"info depth {d} seldepth {max(d, s.deepest)} multipv {i + 1} score {text(v)} nodes {s.nodes} pv {' '.join(line)}") for i, (v, line, d) in enumerate(ranked)]
         best = ranked[0][1]
         return [*lines, (r["pos_id"], 99, f"bestmove {best[0]}" + (f" ponder {best[1]}" if len(best) > 1 else ""))]
 
-    return rows_of(spread(C.corpus(spark)), "pos_id int, n int, line string", work)
+    return rows_of(spread(C.corpus(spark), 4), "pos_id int, n int, line string", work)
 
 
 def move_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,46 +144,104 @@ def move_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spread(C.corpus(spark)), "pos_id int, place int, uci string, stage int", work)
 
 
-def games(spark: SparkSession, n: int = 20, plies: int = 40) -> DataFrame:
-    """Game, ply, key, fresh (an irreversible move led here), move, and the kernel's repetition: games played by a rule, a row a game.
+def games(spark: SparkSession, n: int = 20, plies: int = 60) -> DataFrame:
+    """game, ply, key, fresh (an irreversible move led here), move, loud (it captures or makes a queen), mated, the kernel's repetition, board
+    and stm: games played by a rule, a row a game.
 
-    The rule prefers moves that undo the last one now and then, so that positions repeat.
+    The rule prefers moves that undo the last one, so that positions repeat.
     """
 
     def work(r: dict) -> list:
         b, seed, out, last = K.Board.parse(C.POSITIONS[r["id"] % len(C.POSITIONS)][0]), r["id"] + 1, [], {}
-        out.append((r["id"], 0, signed(b.key()), False, None, 0))
+        text = lambda b: "".join(K.LETTERS.get(c, ".") for c in b.cells)
+        out.append((r["id"], 0, signed(b.key()), False, None, False, False, 0, text(b), b.stm))
         for ply in range(1, plies):
             moves = b.moves()
             if not moves:
                 break
             seed = lcg(seed)
             back = [m for m in moves if m[:2] == last.get(b.stm, (None, None))[::-1]]
-            m = back[0] if back and seed >> 62 else moves[(seed >> 33) % len(moves)]
+            m = back[0] if back and seed >> 63 else moves[(seed >> 33) % len(moves)]
             last[b.stm] = m[:2]
-            text, before = b.text(m), sum(b.rooks)
+            loud = m[3] != K.CASTLING and (b.cells[m[1]] > 0 or m[3] == K.EN_PASSANT or m[2] == K.Q)
+            uci, before = b.text(m), sum(b.rooks)
             b = b.after(m)
-            out.append((r["id"], ply, signed(b.key()), b.rule50 == 0 or sum(b.rooks) != before, text, b.repetition()))
+            out.append((r["id"], ply, signed(b.key()), b.rule50 == 0 or sum(b.rooks) != before, uci, loud, b.in_check() and not b.moves(), b.repetition(), text(b), b.stm))
         return out
 
-    return rows_of(spread(spark.range(n)), "id long, ply int, key long, fresh boolean, move string, kernel int", work).withColumnRenamed("id", "game")
+    return rows_of(spread(spark.range(n)), "id long, ply int, key long, fresh boolean, move string, loud boolean, mated boolean, kernel int, board string, stm int", work).withColumnRenamed("id", "game")
 
 
 def game_repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repetitions of played games by windows over keys, beside the kernel's, and moves that shuffle back and forth."""
-    rows = A.repeats(games(spark), "game")
+    """repetitions of played games by windows over keys, beside the kernel's, and moves that shuffle back and forth."""
+    return shuffles(A.repeats(games(spark), "game")).select("game", "ply", "move", "repetition", "kernel", "shuffling")
+
+
+def shuffles(rows: DataFrame) -> DataFrame:
+    """rows (game, ply, move, loud, rule50 after the move) with shuffling: the move goes back where its side's last one came from, and
+    that one did so too; quiet, from ply 20 on, over six plies into the game, ten or more plies after the last irreversible move."""
     by = Window.partitionBy("game").orderBy("ply")
     two, four = F.lag("move", 2).over(by), F.lag("move", 4).over(by)
     part = lambda c, a: F.substring(c, a, 2)
-    shuffling = F.coalesce((part("move", 1) == part(two, 3)) & (part(two, 1) == part(four, 3)), F.lit(False))
-    return rows.withColumn("shuffling", shuffling).select("game", "ply", "move", "repetition", "kernel", "shuffling")
+    back = (part("move", 1) == part(two, 3)) & (part(two, 1) == part(four, 3))
+    late = (F.col("ply") - 1 >= 20) & (F.lag("rule50").over(by) >= 10)
+    return rows.withColumn("shuffling", F.coalesce(back & late & ~F.col("loud"), F.lit(False)))
+
+
+def upcoming(rows: DataFrame) -> DataFrame:
+    """rows (game, ply, key, rule50, board, stm) with upcoming: the least number of plies back to a position that a move of the side to move
+    brings back, null if there is none.
+
+    Positions an odd number of plies apart differ by one such move if their keys differ by the move's key: each of the last
+    rule50 plies meets its position by game and ply, and the difference meets the moves that can be taken back. Their way must be free.
+    """
+    spark = rows.sparkSession
+    psq, extra = tables()
+    side = extra["side", 0]
+    moves = [(signed(psq[c, a] ^ psq[c, b] ^ side), int(c.islower()), _between(a, b)) for c, a, b in reversible_rows()]
+    moves = F.broadcast(spark.createDataFrame(moves, "diff long, mover int, way array<int>"))  # 3668 rows
+    back = rows.where("rule50 >= 3").withColumn("d", F.explode(F.sequence(F.lit(3), F.col("rule50").cast("int"), F.lit(2)))).withColumn("at", F.col("ply") - F.col("d"))
+    then = rows.select("game", F.col("ply").alias("at"), F.col("key").alias("then"))
+    met = back.join(then, ["game", "at"]).withColumn("diff", F.expr("key ^ then")).join(moves, "diff").where("mover = stm AND forall(way, s -> substr(board, s + 1, 1) = '.')")
+    return rows.join(met.groupBy("game", "ply").agg(F.min("d").alias("upcoming")), ["game", "ply"], "left")
+
+
+def _between(a: int, b: int) -> list[int]:
+    """Squares on the straight or slanted way between two squares, none for a knight's."""
+    dx, dy = b % 8 - a % 8, b // 8 - a // 8
+    n = max(abs(dx), abs(dy))
+    return [a + i * (dx // n + 8 * (dy // n)) for i in range(1, n)] if dx == 0 or dy == 0 or abs(dx) == abs(dy) else []
+
+
+def upcoming_repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """positions of played games that a move can bring back."""
+    return upcoming(A.repeats(games(spark), "game")).select("game", "ply", "upcoming")
+
+
+#: Two numbers of 64 bits, without sign, for each order.
+WIDE = "CAST(18446744073709551616 AS decimal(38, 0))"
+
+
+def high_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The high 64 bits of products of 64 bits, by halves of 32 bits, and the cluster of a key in a table of a million and three."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    number = lambda x, f, c: F.expr(f"CAST((CAST({x} AS decimal(20, 0)) * CAST({f} AS decimal(19, 0)) + {c}) % {WIDE} AS decimal(20, 0))")
+    rows = rows.withColumn("a", number("o_orderkey", 6364136223846793005, 1442695040888963407)).withColumn("b", number("o_orderkey + 77", 3935559000370003845, 2691343689449507681))
+    half = "CAST(4294967296 AS decimal(38, 0))"
+    rows = rows.selectExpr("o_orderkey", "a", *[f"CAST({x} {op} {half} AS decimal(20, 0)) AS {x}{y}" for x in "ab" for y, op in (("l", "%"), ("h", "div"))])
+    rows = rows.withColumn("m", F.expr(f"ah * bl + (al * bl) div {half}"))
+    rows = rows.withColumn("high", F.expr(f"ah * bh + m div {half} + (al * bh + m % {half}) div {half}"))
+    return rows.selectExpr("o_orderkey", "CAST(high AS string) AS high", f"CAST(ah * 1000003 + (al * 1000003) div {half} AS decimal(38, 0)) div {half} AS cluster")
+
 
+HIGH_SQL = """WITH n AS (SELECT o_orderkey, (CAST(o_orderkey AS UHUGEINT) * 6364136223846793005 + 1442695040888963407) % 18446744073709551616 AS a, (CAST(o_orderkey + 77 AS UHUGEINT) * 3935559000370003845 + 2691343689449507681) % 18446744073709551616 AS b FROM orders)
+SELECT o_orderkey, CAST(a * b // 18446744073709551616 AS VARCHAR) AS high, CAST(a * 1000003 // 18446744073709551616 AS BIGINT) AS cluster FROM n"""
 
 QUERIES = {
-    "o7_root_ranks": root_ranks, "f14_consistency": consistency, "g13_null_move": passed, "f12_reversible_moves": reversible, "j1_table_lookup": table_lookup, "k3_square_sets": square_sets, "p10_hashes": hashes,
-    "k8_info_lines": info_lines, "o3_move_stages": move_stages, "s9_game_repetitions": game_repetitions,
+    "p12_high_products": high_products, "o7_root_ranks": root_ranks, "f14_consistency": consistency, "g13_null_move": passed, "f12_reversible_moves": reversible, "j1_table_lookup": table_lookup, "k3_square_sets": square_sets, "p10_hashes": hashes,
+    "k8_info_lines": info_lines, "o3_move_stages": move_stages, "s9_game_repetitions": game_repetitions, "f12_upcoming_repetition": upcoming_repetitions,
 }
 ORACLE_SQL = {
-    "o7_root_ranks": engine(RANK_TEXT, True).replace("ORDERS", "orders"), "f14_consistency": CONSISTENCY_SQL, "g13_null_move": f"{POS_SQL} SELECT pos_id, board, 1 - stm AS stm, castling, rule50 + 1 AS rule50, game_ply + 1 AS game_ply FROM pos",
+    "p12_high_products": HIGH_SQL, "o7_root_ranks": RANK_ORACLE, "f14_consistency": CONSISTENCY_SQL, "g13_null_move": f"{POS_SQL} SELECT pos_id, board, 1 - stm AS stm, castling, rule50 + 1 AS rule50, game_ply + 1 AS game_ply FROM pos",
     "f12_reversible_moves": REVERSIBLE_SQL, "j1_table_lookup": LOOKUP_SQL, "k3_square_sets": SETS_SQL, "p10_hashes": HASH_SQL,
 }

@@ -52,13 +52,55 @@ def test_entry(spark):
 
 
 def test_vote_scans_proven_scores(spark):
+    """Worked out by hand. Requests: wins; losses; equal votes and a line that is too short; a loss takes over; a thread without a score."""
     from plyframe.plans.aggregates import vote
 
     rows = spark.createDataFrame(
-        [(1, 0, 10, 5, 1, 3), (1, 1, 31900, 1, 2, 3), (1, 2, 31950, 1, 3, 3), (2, 0, -31900, 5, 1, 3), (2, 1, -31950, 5, 2, 3), (2, 2, 0, 1, 3, 3), (3, 0, 5, 5, 1, 3), (3, 1, 5, 5, 2, 3), (3, 2, 4, 9, 2, 3)],
+        [(1, 0, 10, 5, 1, 3), (1, 1, 31900, 1, 2, 3), (1, 2, 31950, 1, 3, 3), (2, 0, -31900, 5, 1, 3), (2, 1, -31950, 5, 2, 3), (2, 2, 0, 1, 3, 3), (3, 0, 5, 5, 1, 3), (3, 1, 5, 5, 2, 3), (3, 2, 4, 9, 2, 3),
+         (4, 0, 50, 9, 1, 3), (4, 1, -31600, 1, 2, 3), (4, 2, 90, 9, 3, 3), (5, 0, 5, 5, 1, 2), (5, 1, 5, 5, 2, 3), (5, 2, -32001, 9, 3, 3), (6, 0, 31900, 1, 1, 3), (6, 1, 31800, 9, 2, 3), (6, 2, -31800, 9, 2, 3)],
         "req int, thread int, score long, depth int, move int, line int",
-    )
-    assert {r["req"]: r["move"] for r in vote(rows, "req").collect()} == {1: 3, 2: 3, 3: 2}
+    )
+    assert {r["req"]: r["move"] for r in vote(rows, "req").collect()} == {1: 3, 2: 2, 3: 2, 4: 2, 5: 2, 6: 1}
+
+
+def test_mate_comes_before_the_move_count(spark):
+    from plyframe.plans.aggregates import repeats
+
+    rows = spark.createDataFrame([(g, p, p, False, p == 101 and g == 1) for g in (1, 2) for p in range(103)], "game int, ply int, key long, fresh boolean, mated boolean")
+    got = {(r["game"], r["ply"]) for r in repeats(rows, "game").collect() if r["draw"]}
+    assert got == {(1, 100), (1, 102), (2, 100), (2, 101), (2, 102)}
+
+
+def test_shuffling_guards(spark):
+    from plyframe.plans.tables import shuffles
+
+    back = ["a1b1", "h8g8", "b1a1", "g8h8"]
+    rows = [(1, p, back[(p - 1) % 4] if p else None, p == 30, min(p, 99)) for p in range(40)] + [(2, p, back[(p - 1) % 4] if p else None, False, max(0, p - 25)) for p in range(40)]
+    got = shuffles(spark.createDataFrame(rows, "game int, ply int, move string, loud boolean, rule50 int")).where("shuffling").collect()
+    assert {r["ply"] for r in got if r["game"] == 1} == set(range(21, 40)) - {30}
+    assert {r["ply"] for r in got if r["game"] == 2} == set(range(36, 40))
+
+
+def test_upcoming_repetitions_of_played_games(spark):
+    """Against the kernel: some move of the side to move leads to an earlier position of the game."""
+    from plyframe.functions import kernel as K
+    from plyframe.plans import aggregates, tables
+    from plyframe.sources import corpus as C
+
+    got = {}
+    for r in tables.upcoming(aggregates.repeats(tables.games(spark), "game")).collect():
+        got.setdefault(r["game"], {})[r["ply"]] = r
+    found = 0
+    for game, rows in got.items():
+        b = K.Board.parse(C.POSITIONS[game % len(C.POSITIONS)][0])
+        for ply in range(len(rows)):
+            b = b.after(b.find(rows[ply]["move"])) if ply else b
+            known, next_ = [*b.keys, b.key()], {b.after(m, history=False).key() for m in b.moves()}
+            back = [d for d in range(3, min(len(known) - 1, rows[ply]["rule50"]) + 1, 2) if known[-1 - d] in next_]
+            if rows[ply]["upcoming"] is None or back:  # a way may be free for a move that leaves a king in check
+                assert rows[ply]["upcoming"] == min(back, default=None), (game, ply)
+            found += bool(back)
+    assert found > 20
 
 
 def test_stream_positions_are_broadcast(spark):
