@@ -1,45 +1,109 @@
 """Request streams: a command a row, state by session.
 
-A stream of events stands for a stream of commands; a user is a session. State is counted by key in the state store, so
-it is bounded by the number of sessions, and a watermark or TTL drops sessions that have ended.
+A stream of events stands for a stream of commands; a user is a session. State is kept by key in the state store, so it is
+bounded by the number of sessions; a session's commands are ordered, so they meet in one task by nature.
+
+Views stand for `setoption`, clicks for `position`, purchases for `go`, any other type for `ucinewgame`.
 """
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+#: Searches a table tells apart.
+GENERATIONS = 32
+KEPT = "option double, position double, generation long, searches long, resets long, requests long, last_request string"
+
+
+def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A session's commands in order. An option and a position hold until they are set again; a search ages the table by a
+    generation; a reset clears the table, so ageing starts anew, and leaves option and position as they are."""
+    option, position, generation, searches, resets, requests, last = state.get if state.exists else (None, None, 0, 0, 0, 0, None)
+    rows = pd.concat(list(parts)).sort_values(["ts", "event_id"])
+    for kind, value in zip(rows["event_type"], rows["value"]):
+        requests, last = requests + 1, kind
+        if kind == "view":
+            option = value
+        elif kind == "click":
+            position = value
+        elif kind == "purchase":
+            generation, searches = (generation + 1) % GENERATIONS, searches + 1
+        else:
+            generation, resets = 0, resets + 1
+    now = (option, position, generation, searches, resets, requests, last)
+    state.update(now)
+    names = [c.split()[0] for c in KEPT.split(", ")]
+    yield pd.DataFrame([(*key, *now)], columns=["user_id", *names]).astype({"option": "float64", "position": "float64"})
 
 
 def session_state(requests: DataFrame) -> DataFrame:
-    """Requests, resets and the latest option of each session, as a streaming aggregation."""
-    kind = F.col("event_type")
-    return requests.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("requests"), F.count(F.when(kind == "purchase", 1)).alias("searches"),
-        F.max(F.struct("ts", "event_id", "event_type"))["event_type"].alias("last_request"),
-    )
+    """The state of each session that a batch of requests has touched."""
+    return requests.groupBy("user_id").applyInPandasWithState(fold, f"user_id long, {KEPT}", KEPT, "update", GroupStateTimeout.NoTimeout)
 
 
-def run_available(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All requests that are there, through the streaming engine; the last state of each session."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/plyframe-stream"
-    path = f"{where.rstrip('/')}/stream-{uuid.uuid4().hex}"
+def _place(spark: SparkSession) -> str:
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        where = os.path.join(tempfile.gettempdir(), "plyframe-stream")
+    return f"{where.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    query = session_state(stream).writeStream.outputMode("complete").option("checkpointLocation", f"{path}/checkpoint").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/state"))
-    query.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/state")
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def _run(stream: DataFrame, mode: str) -> DataFrame:
+    """All that is there, through the streaming engine: the rows of each batch, with its number as `batch`. A batch that runs twice
+    replaces its rows."""
+    spark = stream.sparkSession
+    path = _place(spark)
+
+    def keep(rows: DataFrame, n: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/out/batch={n}")
+
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").foreachBatch(keep).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(f"{_ddl(stream)}, batch long").parquet(f"{path}/out")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{c}` {k}" for c, k in df.dtypes)
+
+
+def run_available(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each session's state after all requests that are there."""
+    rows = _run(session_state(_events(spark, sf_dir)), "update")
+    return rows.groupBy("user_id").agg(F.max_by(F.struct(*[c.split()[0] for c in KEPT.split(", ")]), "batch").alias("s")).select("user_id", "s.*")
 
 
 def windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress events by hour of event time, late data within a watermark; the batch reading of the same plan."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("events")).select(F.col("w.start").alias("hour"), "event_type", "events")
+    """Progress events by hour of event time through the streaming engine. A watermark of 30 days bounds the open windows; later
+    rows would be dropped."""
+    e = _events(spark, sf_dir)
+    kind = dict(e.dtypes)["ts"]
+    e = e.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "30 days")
+    counts = e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("events")).select(F.col("w.start").cast(kind).alias("hour"), "event_type", "events")
+    rows = _run(counts, "update")
+    return rows.groupBy("hour", "event_type").agg(F.max_by("events", "batch").alias("events"))
 
 
 QUERIES = {"t1_session_state": run_available, "t6_event_windows": windowed}
 ORACLE_SQL = {
-    "t1_session_state": """SELECT user_id, count(*) AS requests, count(*) FILTER (event_type = 'purchase') AS searches, arg_max(event_type, (ts, event_id)) AS last_request FROM events GROUP BY user_id""",
+    "t1_session_state": f"""WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT user_id, max(n) FILTER (event_type NOT IN ('view', 'click', 'purchase')) AS reset FROM e GROUP BY user_id)
+SELECT user_id, arg_max(value, n) FILTER (event_type = 'view') AS "option", arg_max(value, n) FILTER (event_type = 'click') AS "position",
+  count(*) FILTER (event_type = 'purchase' AND n > coalesce(reset, 0)) % {GENERATIONS} AS generation, count(*) FILTER (event_type = 'purchase') AS searches,
+  count(*) FILTER (event_type NOT IN ('view', 'click', 'purchase')) AS resets, count(*) AS requests, arg_max(event_type, n) AS last_request FROM e JOIN r USING (user_id) GROUP BY user_id""",
     "t6_event_windows": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events FROM events GROUP BY ALL",
 }
