@@ -1,12 +1,15 @@
 """Statistics by slot, rankings, votes, ordered folds and table replacement.
 
 Statistics run on order lines: slot = l_linenumber (0 to 31), value = whole quantity. Rankings take an order as a request and
-its lines as moves. Ordered folds take a user's events as a log; a fold isn't associative, so its rows meet in one task by
-nature, but only the folded numbers, not the rows' other columns.
+its lines as moves. Ordered folds take a user's events as a log; a fold isn't associative, so a key's rows pass through one task,
+as a stream and without the rows' other columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -133,12 +136,50 @@ FROM (SELECT l_orderkey, arg_max(best, n) AS best FROM s GROUP BY l_orderkey) f
 BONUS, BOUND = "CAST(floor(value * 37) AS bigint) % 9001 - 4500", 7183
 
 
+def folded(rows: DataFrame, kinds: str, start: tuple, step: Callable[[tuple, tuple], tuple]) -> DataFrame:
+    """One row a key: the state after step(state, row) over the key's rows in order. rows: key, two columns that give the order, more.
+
+    A fold isn't associative, so a key's rows pass through one task, but as a stream: a task holds one state and one batch.
+    """
+    key, *order = rows.columns[:3]
+    names = [c.split()[0] for c in kinds.split(", ")]
+    met = rows.repartition(key).sortWithinPartitions(key, *order)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, begun = None, start, False
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if not begun or row[0] != now:
+                    if begun:
+                        out.append((now, *state))
+                    now, state, begun = row[0], start, True
+                state = step(state, row[3:])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
+        if begun:
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()) for c in (now, *state)], names)
+
+    return met.mapInArrow(work, kinds)
+
+
+def _div(a: int, b: int) -> int:
+    """Division towards zero."""
+    return abs(a) // b if a >= 0 else -(abs(a) // b)
+
+
 def gravity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded history value, a running mean and a running signed mean square after all of a user's events, in order."""
     rows = _events(spark, sf_dir).selectExpr("user_id", "ts", "event_id", f"{BONUS} AS b")
-    logs = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "b"))).alias("l"))
-    step = f"(v, x) -> v + greatest(-{BOUND}L, least({BOUND}L, x.b)) - v * abs(greatest(-{BOUND}L, least({BOUND}L, x.b))) div {BOUND}"
-    return logs.select("user_id", F.expr(f"aggregate(l, 0L, {step})").alias("history"), F.expr("aggregate(slice(l, 2, greatest(size(l) - 1, 0)), l[0].b, (a, x) -> (x.b + a) div 2)").alias("average"), F.expr("aggregate(slice(l, 2, greatest(size(l) - 1, 0)), l[0].b * abs(l[0].b), (a, x) -> (x.b * abs(x.b) + a) div 2)").alias("mean_square"))
+
+    def step(state: tuple, row: tuple) -> tuple:
+        history, average, square = state
+        (b,) = row
+        bonus = max(-BOUND, min(BOUND, b))
+        mean = (b, b * abs(b)) if average is None else (_div(b + average, 2), _div(b * abs(b) + square, 2))
+        return history + bonus - _div(history * abs(bonus), BOUND), *mean
+
+    return folded(rows, "user_id long, history long, average long, mean_square long", (0, None, None), step)
 
 
 GRAVITY_SQL = f"""WITH RECURSIVE e AS (SELECT user_id, {BONUS} AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
@@ -169,23 +210,34 @@ VICTIM_SQL = """WITH e AS (SELECT event_id // 3 AS cluster, CAST(event_id % 3 AS
 SELECT cluster, min(slot) AS slot, min(worth) AS worth FROM e WHERE (cluster, worth) IN (SELECT cluster, min(worth) FROM e GROUP BY cluster) GROUP BY cluster"""
 
 
+#: Slots of the table: many, so that slots spread over tasks.
+CELLS = 4099
+
+
 def table_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table's entry of each slot after all writes in order. slot and key come from the user, depth and bound from the event.
 
     A move is replaced by any move, or if the key differs. The rest is replaced by an exact bound, another key, an older
     generation, or depth + 3 + 2 * pv > depth8 - 4.
     """
-    e = _events(spark, sf_dir).selectExpr("user_id % 97 AS slot", "event_id", "user_id AS key", "event_id % 23 AS depth", "event_id % 4 AS bound", "event_id % 5 = 0 AS pv", "event_id % 7 * (event_id % 1000) AS move", "event_id div 400 % 32 AS gen")
-    logs = e.groupBy("slot").agg(F.array_sort(F.collect_list(F.struct("event_id", "key", "depth", "bound", "pv", "move", "gen"))).alias("l"))
-    take = "x.bound = 3 OR x.key <> a.key OR x.depth + 3 + CASE WHEN x.pv THEN 2 ELSE 0 END > a.depth8 - 4 OR x.gen <> a.gen"
-    new = f"""named_struct('key', CASE WHEN {take} THEN x.key ELSE a.key END, 'move', CASE WHEN x.move <> 0 OR x.key <> a.key THEN x.move ELSE a.move END,
-        'depth8', CASE WHEN {take} THEN x.depth + 3 ELSE a.depth8 END, 'bound', CASE WHEN {take} THEN x.bound ELSE a.bound END, 'gen', CASE WHEN {take} THEN x.gen ELSE a.gen END)"""
-    zero = "named_struct('key', -1L, 'move', 0L, 'depth8', 0L, 'bound', 0L, 'gen', 0L)"
-    return logs.select("slot", F.expr(f"aggregate(l, {zero}, (a, x) -> {new})").alias("t")).select("slot", "t.*")
+    rows = _events(spark, sf_dir).selectExpr(
+        f"user_id % {CELLS} AS slot", "event_id", "event_id AS again", "user_id AS key", "event_id % 23 AS depth", "event_id % 4 AS bound", "event_id % 5 = 0 AS pv", "event_id % 7 * (event_id % 1000) AS move", "event_id div 400 % 32 AS gen"
+    )
+
+    def step(state: tuple, row: tuple) -> tuple:
+        key, move, depth8, bound, gen = state
+        new, depth, kind, pv, best, age = row
+        if best or new != key:
+            move = best
+        if kind == 3 or new != key or depth + 3 + 2 * pv > depth8 - 4 or age != gen:
+            key, depth8, bound, gen = new, depth + 3, kind, age
+        return key, move, depth8, bound, gen
+
+    return folded(rows, "slot long, key long, move long, depth8 long, bound long, gen long", (-1, 0, 0, 0, 0), step)
 
 
-UPDATES_SQL = """WITH RECURSIVE e AS (SELECT user_id % 97 AS slot, user_id AS key, event_id % 23 AS depth, event_id % 4 AS bound, event_id % 5 = 0 AS pv, event_id % 7 * (event_id % 1000) AS move, event_id // 400 % 32 AS gen,
-    row_number() OVER (PARTITION BY user_id % 97 ORDER BY event_id) AS n FROM events),
+UPDATES_SQL = f"""WITH RECURSIVE e AS (SELECT user_id % {CELLS} AS slot, user_id AS key, event_id % 23 AS depth, event_id % 4 AS bound, event_id % 5 = 0 AS pv, event_id % 7 * (event_id % 1000) AS move, event_id // 400 % 32 AS gen,
+    row_number() OVER (PARTITION BY user_id % {CELLS} ORDER BY event_id) AS n FROM events),
 w AS (SELECT slot, CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS key, CAST(0 AS BIGINT) AS move, CAST(0 AS BIGINT) AS depth8, CAST(0 AS BIGINT) AS bound, CAST(0 AS BIGINT) AS gen FROM e GROUP BY slot
   UNION ALL SELECT slot, n, CASE WHEN t THEN k2 ELSE k1 END, CASE WHEN m2 <> 0 OR k2 <> k1 THEN m2 ELSE m1 END, CASE WHEN t THEN d2 + 3 ELSE d1 END, CASE WHEN t THEN b2 ELSE b1 END, CASE WHEN t THEN g2 ELSE g1 END
   FROM (SELECT e.slot, e.n, w.key AS k1, e.key AS k2, w.move AS m1, e.move AS m2, w.depth8 AS d1, e.depth AS d2, w.bound AS b1, e.bound AS b2, w.gen AS g1, e.gen AS g2,

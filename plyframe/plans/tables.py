@@ -81,12 +81,12 @@ SELECT CASE WHEN side = 0 THEN c ELSE lower(c) END AS ch, count(*) AS moves FROM
 def table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's user looks up the table that all events have written; a hit has the same key, a miss nulls."""
     table = A.table_updates(spark, sf_dir).select("slot", "key", "move", "depth8")
-    asked = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", "user_id AS asked", "user_id % 97 AS slot")
+    asked = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", "user_id AS asked", f"user_id % {A.CELLS} AS slot")
     met = asked.join(table, "slot", "left")
     return met.selectExpr("event_id", "asked = key AS hit", "CASE WHEN asked = key THEN move END AS move", "CASE WHEN asked = key THEN depth8 END AS depth8")
 
 
-LOOKUP_SQL = f"SELECT e.event_id, e.user_id = t.key AS hit, CASE WHEN e.user_id = t.key THEN t.move END AS move, CASE WHEN e.user_id = t.key THEN t.depth8 END AS depth8 FROM events e JOIN ({A.UPDATES_SQL}) t ON t.slot = e.user_id % 97"
+LOOKUP_SQL = f"SELECT e.event_id, e.user_id = t.key AS hit, CASE WHEN e.user_id = t.key THEN t.move END AS move, CASE WHEN e.user_id = t.key THEN t.depth8 END AS depth8 FROM events e JOIN ({A.UPDATES_SQL}) t ON t.slot = e.user_id % {A.CELLS}"
 
 
 def square_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
