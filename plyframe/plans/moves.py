@@ -8,6 +8,7 @@ from the king. Trees are counted by a loop over plies in which equal states are
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -288,13 +289,29 @@ _LEGAL_OUT = f"""SELECT l.pos_id, {_SQ.format("l.frm")} || {_SQ.format("(CASE WH
   (l.kind <> 3 AND o.ch IS NOT NULL) OR l.kind = 2 AS is_capture, (l.kind <> 3 AND o.ch IS NOT NULL) OR l.kind = 2 OR coalesce(promo, '') = 'q' AS capture_stage, b.after
 FROM legal l JOIN corpus c USING (pos_id) LEFT JOIN pieces o ON o.pos_id = l.pos_id AND o.sq = l.dest
 JOIN (SELECT mid, string_agg(coalesce(ch, '.'), '' ORDER BY s) AS after FROM (SELECT m.mid, s, p.ch FROM (SELECT DISTINCT mid FROM post) m CROSS JOIN sqs LEFT JOIN post p ON p.mid = m.mid AND p.sq = s) GROUP BY mid) b USING (mid)"""
-_DEEP = f"WITH corpus AS {C.values([(i, f, c) for i, f, c in C.PERFT_DEEP], 'pos_id, fen, chess960')}, "
+#: The relations of DUCK_MOVES once more, over the positions that its legal moves lead to; names end in 2.
+_AGAIN = re.sub(r"\b(pos|pieces|walk|att|steps|push|raw_|cast_|castok|pm|pmk|post|ks|seen|hit|legal)\b", r"\g<1>2", DUCK_MOVES[DUCK_MOVES.index("walk AS") :])
+_RIGHT = "CASE WHEN q.{0} IN (l.frm, l.dest) OR (l.t = 'K' AND l.stm = {1}) THEN NULL ELSE q.{0} END AS {0}"
+DUCK_REPLIES = f""", pos2 AS (SELECT l.mid AS pos_id, 1 - l.stm AS stm, {_RIGHT.format("wk", 0)}, {_RIGHT.format("wq", 0)}, {_RIGHT.format("bk", 1)}, {_RIGHT.format("bq", 1)},
+    CASE WHEN l.t = 'P' AND abs(l.dest - l.frm) = 16 THEN (l.frm + l.dest) // 2 END AS ep FROM legal l JOIN pos q USING (pos_id)),
+pieces2 AS (SELECT p.mid AS pos_id, 1 - p.stm AS stm, p.sq, p.ch, CASE WHEN p.ch = upper(p.ch) THEN 0 ELSE 1 END AS color, instr('PNBRQK', upper(p.ch)) AS ptype FROM post p SEMI JOIN legal l ON l.mid = p.mid),
+{_AGAIN}"""
+_MADE_OUT = """SELECT l.pos_id, CAST(1 - l.stm AS INTEGER) AS stm, count(*) AS states, count(DISTINCT b.board) AS boards, count(e.pos_id) AS with_ep, count(q.wk) AS wk, count(q.wq) AS wq, count(q.bk) AS bk, count(q.bq) AS bq
+FROM legal l JOIN pos2 q ON q.pos_id = l.mid JOIN (SELECT mid, string_agg(ch || chr(CAST(33 + sq AS INTEGER)), '' ORDER BY sq) AS board FROM post GROUP BY mid) b ON b.mid = l.mid
+LEFT JOIN (SELECT DISTINCT pos_id FROM legal2 WHERE kind = 2) e ON e.pos_id = l.mid GROUP BY l.pos_id, l.stm"""
+_DIVIDE_OUT = f"""SELECT CAST(l.pos_id AS INTEGER) AS id, {_SQ.format("l.frm")} || {_SQ.format("l.dest")} || coalesce(l.promo, '') AS root, count(*) AS leaves FROM legal l JOIN legal2 r ON r.pos_id = l.mid GROUP BY ALL"""
 QUERIES = {
     "g5_legal_moves": legal_moves, "f7_pseudo_moves": pseudo_moves, "f1_attacked_squares": attacked_squares, "f4_pins": pin_rows, "f8_checks": checks, "g10_made_moves": made_moves,
     "g15_perft": perft_counts, "g15_perft_divide": perft_divide,
 }
 
 
+def _deep() -> str:
+    from .positions import RIGHTS_CTE
+
+    return f"WITH corpus AS (SELECT * FROM {C.values([(i, f, c) for i, f, c in C.PERFT_DEEP], 'pos_id, fen, chess960')}), {B.duck_board('corpus')}, {RIGHTS_CTE}"
+
+
 def _oracles() -> dict[str, str]:
     return {
         "g5_legal_moves": _duck(_LEGAL_OUT),
@@ -307,6 +324,8 @@ def _oracles() -> dict[str, str]:
         "f8_checks": _duck(""", m AS (SELECT l.pos_id, count(*) AS moves, count(h.mid) AS checks FROM legal l LEFT JOIN hit h ON h.mid = l.mid AND h.color <> l.stm GROUP BY l.pos_id),
             c AS (SELECT q.pos_id, EXISTS (SELECT 1 FROM att a JOIN pieces k ON k.pos_id = a.pos_id AND k.sq = a.too AND k.ptype = 6 AND k.color = q.stm WHERE a.pos_id = q.pos_id AND a.color <> q.stm) AS in_check FROM pos q)
             SELECT pos_id, in_check, coalesce(moves, 0) AS moves, coalesce(checks, 0) AS checks, CASE WHEN coalesce(moves, 0) > 0 THEN 'open' WHEN in_check THEN 'mate' ELSE 'stalemate' END AS state FROM c LEFT JOIN m USING (pos_id)"""),
+        "g10_made_moves": _duck(DUCK_REPLIES + _MADE_OUT),
+        "g15_perft_divide": _duck(DUCK_REPLIES + _DIVIDE_OUT, _deep()),
         "g15_perft": "SELECT id, CAST(leaves AS BIGINT) AS leaves FROM " + C.values([(i, n) for i, _, _, n, _ in C.PERFT], "id, leaves"),
     }
 
