@@ -707,3 +707,12 @@ def test_pipeline(spark, tmp_path):
     assert not ids["exact_dedup"] & {i for i in range(1, 20) if i % 5} and 1001 in ids["exact_dedup"]
     assert len({1001, 2000} & ids["near_dedup"]) == 1
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["byte_bpe"].count()
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    columns = "doc_id long, text string, lang string, source string, n_chars long, _row int, _turn string, h long, component_id string"
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
