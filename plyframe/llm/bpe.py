@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import only, text_column
+from .common import in_batches, only, text_column
 
 SHIFT = 40
 NONE = 1 << 62
@@ -173,7 +173,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
     names = ["doc_id", *["ids"] * with_ids, "n_tokens", "ids_sha256", "decoded_sha256"]
     kinds = "doc_id long, " + "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string"
     rows = only(docs, doc_id="long", text="string")
-    return rows.select("doc_id", text_column().alias("text")).mapInArrow(work, kinds)
+    return in_batches(rows.select("doc_id", text_column().alias("text")), work, kinds)
 
 
 def decode(ids: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -185,7 +185,7 @@ def decode(ids: DataFrame, path: str, pattern: str) -> DataFrame:
             raw = [struct.pack(f"<{len(x)}I", *x) if x else b"" for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.decode(x) for x in raw], pa.binary())], ["doc_id", "text"])
 
-    return only(ids, doc_id="long", ids="").mapInArrow(work, "doc_id long, text binary")
+    return in_batches(only(ids, doc_id="long", ids=""), work, "doc_id long, text binary")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
