@@ -7,13 +7,11 @@ as a stream and without the rows' other columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.score import engine
+from ..operators.rows import folded
 
 SLOTS = 32
 
@@ -136,33 +134,6 @@ FROM (SELECT l_orderkey, arg_max(best, n) AS best FROM s GROUP BY l_orderkey) f
 BONUS, BOUND = "CAST(floor(value * 37) AS bigint) % 9001 - 4500", 7183
 
 
-def folded(rows: DataFrame, kinds: str, start: tuple, step: Callable[[tuple, tuple], tuple]) -> DataFrame:
-    """One row a key: the state after step(state, row) over the key's rows in order. rows: key, two columns that give the order, more.
-
-    A fold isn't associative, so a key's rows pass through one task, but as a stream: a task holds one state and one batch.
-    """
-    key, *order = rows.columns[:3]
-    names = [c.split()[0] for c in kinds.split(", ")]
-    met = rows.repartition(key).sortWithinPartitions(key, *order)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state, begun = None, start, False
-        for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if not begun or row[0] != now:
-                    if begun:
-                        out.append((now, *state))
-                    now, state, begun = row[0], start, True
-                state = step(state, row[3:])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
-        if begun:
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()) for c in (now, *state)], names)
-
-    return met.mapInArrow(work, kinds)
-
-
 def _div(a: int, b: int) -> int:
     """Division towards zero."""
     return abs(a) // b if a >= 0 else -(abs(a) // b)

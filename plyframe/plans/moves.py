@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import board as B
 from ..functions import kernel as Kn
+from ..operators.rows import rows_of, spread
 from ..sources import corpus as C
 
 STATE = ("board", "stm", "wk", "wq", "bk", "bq", "ep")
@@ -224,8 +225,6 @@ def perft_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def below(states: DataFrame) -> DataFrame:
     """id, leaves below each state (id, state, times, left: plies)."""
-    from .sequential import rows_of, spread
-
     def work(r: dict) -> list:
         rooks = {right: r[c] for right, c in ((1, "wk"), (2, "wq"), (4, "bk"), (8, "bq")) if r[c] is not None}
         b = Kn.Board([Kn.CODES.get(c, 0) for c in r["board"]], r["stm"], rooks, r["ep"])

@@ -5,9 +5,6 @@ Rows are independent, so batches spread over any number of executors; nothing is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +12,7 @@ from ..functions import board as B
 from ..functions import endgames as E
 from ..functions import kernel as K
 from ..functions.network import Network, evaluate_both
+from ..operators.rows import rows_of, spread
 from ..sources import corpus as C
 from .positions import CORPUS_CTE
 
@@ -32,28 +30,6 @@ MATES = (
 DEPTH, NODES = 5, 30_000
 
 
-def rows_of(df: DataFrame, kinds: str, work) -> DataFrame:
-    """work(row as dict) gives result rows as tuples in the order of kinds."""
-    schema = df.sparkSession.createDataFrame([], kinds).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                out = [r for row in part.to_pylist() for r in work(row)]
-                columns = list(zip(*out)) if out else [[]] * len(arrow)
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], names=arrow.names)
-
-    return df.mapInArrow(run, kinds)
-
-
-def spread(df: DataFrame, waves: int = 1) -> DataFrame:
-    """Few rows with much work each: dealt to all cores, in so many waves."""
-    return df.repartition(waves * df.sparkSession.sparkContext.defaultParallelism)
-
-
 def replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3, K1, Q20: positions after their moves, up to the first illegal one, with keys and repetition."""
 

@@ -9,10 +9,11 @@ from ..functions import board as B
 from ..functions import kernel as K
 from ..functions.score import engine
 from ..functions.zobrist import lcg, signed, tables
+from ..operators.rows import rows_of, spread
 from ..sources import corpus as C
 from . import aggregates as A
 from .positions import CORPUS_CTE, POS_SQL
-from .sequential import DEPTH, NODES, rows_of, spread
+from .sequential import DEPTH, NODES
 
 TOP = 1 << 18
 #: Rank of a root move from its distance to zeroing, the fifty-move count and whether the position repeated.
