@@ -299,12 +299,45 @@ _MADE_OUT = """SELECT l.pos_id, CAST(1 - l.stm AS INTEGER) AS stm, count(*) AS s
 FROM legal l JOIN pos2 q ON q.pos_id = l.mid JOIN (SELECT mid, string_agg(ch || chr(CAST(33 + sq AS INTEGER)), '' ORDER BY sq) AS board FROM post GROUP BY mid) b ON b.mid = l.mid
 LEFT JOIN (SELECT DISTINCT pos_id FROM legal2 WHERE kind = 2) e ON e.pos_id = l.mid GROUP BY l.pos_id, l.stm"""
 _DIVIDE_OUT = f"""SELECT CAST(l.pos_id AS INTEGER) AS id, {_SQ.format("l.frm")} || {_SQ.format("l.dest")} || coalesce(l.promo, '') AS root, count(*) AS leaves FROM legal l JOIN legal2 r ON r.pos_id = l.mid GROUP BY ALL"""
+#: Exchanges as a recursion over who takes next: men that reach the square once all between are gone, the least valuable first.
+EXCHANGE_SQL = f""", cap AS (SELECT l.mid, l.pos_id, l.stm, l.frm, l.dest, l.kind, {_SQ.format("l.frm")} || {_SQ.format("l.dest")} || coalesce(l.promo, '') AS uci, o.ptype AS victim, m.ptype AS mover
+    FROM legal l JOIN pieces o ON o.pos_id = l.pos_id AND o.sq = l.dest JOIN pieces m ON m.pos_id = l.pos_id AND m.sq = l.frm WHERE l.kind <> 3),
+line AS (SELECT c.mid, r.dx, r.dy, r.kind, r.step, p.sq, p.color, p.ptype FROM cap c JOIN ray r ON r.frm = c.dest JOIN pieces p ON p.pos_id = c.pos_id AND p.sq = r.too AND p.sq <> c.frm WHERE c.kind = 0),
+taker AS (SELECT a.mid, a.sq, a.color, a.ptype, coalesce(list(b.sq) FILTER (b.sq IS NOT NULL), []) AS before FROM line a LEFT JOIN line b ON b.mid = a.mid AND b.dx = a.dx AND b.dy = a.dy AND b.step < a.step
+      WHERE a.ptype = 5 OR (a.ptype = 3 AND a.kind = 'B') OR (a.ptype = 4 AND a.kind = 'R') GROUP BY a.mid, a.sq, a.color, a.ptype
+  UNION ALL SELECT c.mid, p.sq, p.color, p.ptype, [] FROM cap c JOIN leap l ON l.too = c.dest JOIN pieces p ON p.pos_id = c.pos_id AND p.sq = l.frm AND p.ptype = l.ptype AND p.sq <> c.frm WHERE c.kind = 0
+  UNION ALL SELECT c.mid, p.sq, p.color, p.ptype, [] FROM cap c JOIN pawnhit h ON h.too = c.dest JOIN pieces p ON p.pos_id = c.pos_id AND p.sq = h.frm AND p.ptype = 1 AND p.color = h.color AND p.sq <> c.frm WHERE c.kind = 0),
+kline AS (SELECT k.pos_id, k.color, r.dx, r.dy, r.step, p.sq, p.color AS own, p.color <> k.color AND (p.ptype = 5 OR (p.ptype = 3 AND r.kind = 'B') OR (p.ptype = 4 AND r.kind = 'R')) AS slides
+    FROM pieces k JOIN ray r ON k.ptype = 6 AND r.frm = k.sq JOIN pieces p ON p.pos_id = k.pos_id AND p.sq = r.too),
+tie AS (SELECT s.pos_id, s.color, s.sq AS pinner, min(b.sq) AS blocker FROM kline s JOIN kline b ON b.pos_id = s.pos_id AND b.color = s.color AND b.dx = s.dx AND b.dy = s.dy AND b.step < s.step AND NOT b.slides
+    WHERE s.slides GROUP BY s.pos_id, s.color, s.sq HAVING count(*) = 1 AND min(b.own) = s.color),
+held AS (SELECT pos_id, color, list(pinner) AS pinners, list(blocker) AS blockers FROM tie GROUP BY pos_id, color),
+turn AS (SELECT mid, pos_id, 0 AS n, [frm, dest] AS gone, 1 - stm AS side, mover AS stands, CAST([] AS BIGINT[]) AS taken FROM cap WHERE kind = 0
+  UNION ALL SELECT mid, pos_id, n + 1, list_append(gone, sq), 1 - side, ptype, list_append(taken, stands) FROM (
+    SELECT *, row_number() OVER (PARTITION BY mid ORDER BY ptype, sq) AS place FROM (
+      SELECT t.*, c.sq, c.ptype, c.color, max(CASE WHEN c.color <> t.side THEN 1 ELSE 0 END) OVER (PARTITION BY t.mid) AS answered, h.pinners, h.blockers
+      FROM turn t JOIN taker c ON c.mid = t.mid AND NOT list_contains(t.gone, c.sq) AND list_has_all(t.gone, c.before) LEFT JOIN held h ON h.pos_id = t.pos_id AND h.color = t.side) x
+    WHERE color = side AND (pinners IS NULL OR list_has_all(gone, pinners) OR NOT list_contains(blockers, sq))) y
+  WHERE place = 1 AND (ptype < 6 OR answered = 0)),
+ended AS (SELECT mid, arg_max(taken, n) AS taken FROM turn GROUP BY mid),
+gain AS (SELECT c.pos_id, c.uci, CASE WHEN c.kind <> 0 THEN 0 ELSE [208, 781, 825, 1276, 2538, 0][c.victim]
+    - list_reduce(list_prepend(0, list_reverse(list_transform(e.taken, lambda x: [208, 781, 825, 1276, 2538, 0][x]))), lambda a, v: greatest(0, v - a)) END AS g FROM cap c LEFT JOIN ended e ON e.mid = c.mid)
+SELECT pos_id, uci, g >= 0 AS gains, g >= 100 AS gains_100, g >= -100 AS loses_100 FROM gain"""
+_STAGES_OUT = EXCHANGE_SQL[: EXCHANGE_SQL.rindex("SELECT pos_id, uci")] + f""", m AS (SELECT l.pos_id, {_SQ.format("l.frm")} || {_SQ.format("(CASE WHEN l.kind = 3 AND NOT c.chess960 THEN l.kt ELSE l.dest END)")} || coalesce(l.promo, '') AS uci,
+    l.kind, l.promo, CASE WHEN l.kind = 3 THEN 0 ELSE coalesce(o.ptype, 0) END AS victim FROM legal l JOIN corpus c USING (pos_id) LEFT JOIN pieces o ON o.pos_id = l.pos_id AND o.sq = l.dest),
+w AS (SELECT m.pos_id, m.uci, 7 * [0, 208, 781, 825, 1276, 2538][victim + 1] AS v, kind = 2 OR victim > 0 OR coalesce(promo, '') = 'q' AS takes, coalesce(g, 0) AS g FROM m LEFT JOIN gain USING (pos_id, uci)),
+st AS (SELECT pos_id, uci, v, CAST(CASE WHEN NOT takes THEN 2 WHEN g >= -(v // 18) THEN 1 ELSE 3 END AS INTEGER) AS stage FROM w)
+SELECT pos_id, CAST(row_number() OVER (PARTITION BY pos_id ORDER BY stage, v DESC, uci) AS INTEGER) AS place, uci, stage FROM st"""
 QUERIES = {
     "g5_legal_moves": legal_moves, "f7_pseudo_moves": pseudo_moves, "f1_attacked_squares": attacked_squares, "f4_pins": pin_rows, "f8_checks": checks, "g10_made_moves": made_moves,
     "g15_perft": perft_counts, "g15_perft_divide": perft_divide,
 }
 
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _deep() -> str:
     from .positions import RIGHTS_CTE
 
@@ -323,6 +356,8 @@ def _oracles() -> dict[str, str]:
         "f8_checks": _duck(""", m AS (SELECT l.pos_id, count(*) AS moves, count(h.mid) AS checks FROM legal l LEFT JOIN hit h ON h.mid = l.mid AND h.color <> l.stm GROUP BY l.pos_id),
             c AS (SELECT q.pos_id, EXISTS (SELECT 1 FROM att a JOIN pieces k ON k.pos_id = a.pos_id AND k.sq = a.too AND k.ptype = 6 AND k.color = q.stm WHERE a.pos_id = q.pos_id AND a.color <> q.stm) AS in_check FROM pos q)
             SELECT pos_id, in_check, coalesce(moves, 0) AS moves, coalesce(checks, 0) AS checks, CASE WHEN coalesce(moves, 0) > 0 THEN 'open' WHEN in_check THEN 'mate' ELSE 'stalemate' END AS state FROM c LEFT JOIN m USING (pos_id)"""),
+        "f13_exchange": _recursive(_duck(EXCHANGE_SQL)),
+        "o3_move_stages": _recursive(_duck(_STAGES_OUT)),
         "g10_made_moves": _duck(DUCK_REPLIES + _MADE_OUT),
         "g15_perft_divide": _duck(DUCK_REPLIES + _DIVIDE_OUT, _deep()),
         "g15_perft": "SELECT id, CAST(leaves AS BIGINT) AS leaves FROM " + C.values([(i, n) for i, _, _, n, _ in C.PERFT], "id, leaves"),

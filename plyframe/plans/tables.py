@@ -130,17 +130,17 @@ def info_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def move_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O2, O3: moves in picking order: captures that don't lose the exchange, quiet moves, losing captures."""
+    """O2, O3: moves in picking order: captures that don't lose the exchange, quiet moves, losing captures; within a stage by what they take, then by text. No histories."""
 
     def work(r: dict) -> list:
         b = K.Board.parse(r["fen"])
         rows = []
-        for n, m in enumerate(b.moves()):
+        for m in b.moves():
             capture = m[3] == K.EN_PASSANT or m[2] == K.Q or (m[3] != K.CASTLING and b.cells[m[1]] > 0)
             value = 7 * K.WORTH[b.cells[m[1]]] if m[3] != K.CASTLING else 0
             stage = 2 if not capture else 1 if K.see(b, m, -(value // 18)) else 3
-            rows.append((stage, -value, n, b.text(m, r["chess960"])))
-        return [(r["pos_id"], i + 1, text, stage) for i, (stage, _, _, text) in enumerate(sorted(rows))]
+            rows.append((stage, -value, b.text(m, r["chess960"])))
+        return [(r["pos_id"], i + 1, text, stage) for i, (stage, _, text) in enumerate(sorted(rows))]
 
     return rows_of(spread(C.corpus(spark)), "pos_id int, place int, uci string, stage int", work)
 
