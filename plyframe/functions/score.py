@@ -10,6 +10,7 @@ import re
 MATE, MAX_PLY = 32000, 246
 TB = MATE - MAX_PLY - 1
 TB_WIN = TB - MAX_PLY
+NONE = 32002
 #: Cubics of the win-rate model over clamped material / 58.
 WDL_A = (-72.32565836, 185.93832038, -144.58862193, 416.44950446)
 WDL_B = (83.86794042, -136.06112997, 69.98820887, 47.62901433)
@@ -71,12 +72,12 @@ def score_text(v: str, a: str) -> str:
 
 def to_table(v: str, ply: str) -> str:
     """A value for a transposition table: distances count from the node."""
-    return f"CASE WHEN {v} >= {TB_WIN} THEN ({v}) + ({ply}) WHEN {v} <= -{TB_WIN} THEN ({v}) - ({ply}) ELSE {v} END"
+    return f"CASE WHEN {v} = {NONE} THEN {NONE} WHEN {v} >= {TB_WIN} THEN ({v}) + ({ply}) WHEN {v} <= -{TB_WIN} THEN ({v}) - ({ply}) ELSE {v} END"
 
 
 def from_table(v: str, ply: str, rule50: str) -> str:
-    """Back from the table; decisive values that the fifty-move count may spoil are lowered."""
-    return f"""CASE WHEN {v} >= {TB_WIN} THEN
+    """Back from the table; decisive values that the fifty-move count may spoil are lowered, no value stays none."""
+    return f"""CASE WHEN {v} = {NONE} THEN {NONE} WHEN {v} >= {TB_WIN} THEN
             CASE WHEN {v} >= {MATE - MAX_PLY} AND {MATE} - ({v}) > 100 - ({rule50}) THEN {TB_WIN - 1}
                  WHEN {v} < {MATE - MAX_PLY} AND {TB} - ({v}) > 100 - ({rule50}) THEN {TB_WIN - 1} ELSE ({v}) - ({ply}) END
         WHEN {v} <= -{TB_WIN} THEN

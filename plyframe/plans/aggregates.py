@@ -37,6 +37,13 @@ def slot_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SLOT_TEXT.replace("LINES", "{lines}"), lines=_lines(spark, sf_dir).select("l_linenumber", "l_quantity", "l_extendedprice"))
 
 
+#: The same by sums of powers and filters.
+SLOT_SQL = """WITH s AS (SELECT CAST(l_linenumber AS INTEGER) AS slot, CAST(floor(l_quantity) AS BIGINT) AS v, CAST(floor(l_extendedprice) AS DOUBLE) AS w FROM lineitem WHERE l_linenumber < 32 AND l_linenumber >= 0),
+t AS (SELECT slot, count(*) AS total, count(*) FILTER (v > 25) AS hits, sum(v) AS x, sum(v * v) AS xx, avg(w) AS mw, min(v) AS least, max(v) AS most FROM s GROUP BY slot)
+SELECT slot, total, hits, round(hits / total * 100.0, 6) AS hit_rate, round(x / total, 6) AS mean, round(sqrt((total * xx - x * x)::DOUBLE) / total, 6) AS stdev, least, most,
+  round((SELECT sum((s.v - x / total) * (s.w - mw)) / sqrt(sum((s.v - x / total) ** 2) * sum((s.w - mw) ** 2)) FROM s WHERE s.slot = t.slot), 6) AS correlation, CAST(x AS BIGINT) AS nodes FROM t"""
+
+
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes, time, nodes a second and hash fill of a run: one order line is one reading."""
     return spark.sql(RUN_TEXT.replace("LINES", "{lines}").replace("DIV", "div"), lines=_lines(spark, sf_dir).select("l_quantity", "l_extendedprice", "l_discount"))
@@ -46,6 +53,10 @@ RUN_TEXT = """SELECT count(*) AS positions, CAST(sum(n) AS bigint) AS nodes, CAS
 FROM (SELECT CAST(floor(l_extendedprice) AS bigint) AS n, CAST(floor(l_quantity) AS bigint) AS ms, CAST(floor(l_discount * 1000) AS bigint) AS fill FROM LINES) AS s"""
 
 
+RUN_SQL = """WITH s AS (SELECT trunc(l_extendedprice) AS n, trunc(l_quantity) AS ms, trunc(l_discount * 1000) AS fill FROM lineitem), t AS (SELECT count(*) AS k, sum(n) AS n, 1 + sum(ms) AS ms, max(fill) AS most, sum(fill) AS fills FROM s)
+SELECT k AS positions, CAST(n AS BIGINT) AS nodes, CAST(ms AS BIGINT) AS ms, CAST(n AS BIGINT) * 1000 // CAST(ms AS BIGINT) AS nps, CAST(most AS BIGINT) AS max_fill, CAST(fills AS BIGINT) // k AS avg_fill FROM t"""
+
+
 def hash_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: fill per mille of the first 1000 clusters of three, by greatest age in generations."""
     e = _events(spark, sf_dir).selectExpr("event_id div 3 AS cluster", "event_id % 32 * 8 AS gen", "value > 20 AS occupied").where("cluster < 1000 AND occupied")
@@ -311,7 +322,7 @@ QUERIES = {
     "p24_formulas": formulas, "p25_time_budget": time_budget, "o10_weakened_pick": weakened_pick,
 }
 ORACLE_SQL = {
-    "a4_slot_statistics": SLOT_TEXT.replace("LINES", "lineitem"), "a16_run_totals": RUN_TEXT.replace("LINES", "lineitem").replace("DIV", "//"), "a10_hash_fill": FILL_SQL, "o5_root_ranking": RANK_SQL, "o1_partial_sort": PARTIAL_SQL,
+    "a4_slot_statistics": SLOT_SQL, "a16_run_totals": RUN_SQL, "a10_hash_fill": FILL_SQL, "o5_root_ranking": RANK_SQL, "o1_partial_sort": PARTIAL_SQL,
     "a11_thread_vote": VOTE_SQL, "a12_gravity_fold": GRAVITY_SQL, "a17_decay": DECAY_SQL, "o8_replacement_victim": VICTIM_SQL, "o9_table_updates": UPDATES_SQL, "f11_repetition": REPEAT_SQL,
     "p22_time_allocation": engine(TIME_TEXT, True).replace("ORDERS", "orders"), "p24_formulas": engine(FORMULA_TEXT, True).replace("ORDERS", "orders"), "p25_time_budget": BUDGET_SQL, "o10_weakened_pick": PICK_SQL,
 }

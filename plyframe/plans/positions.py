@@ -170,7 +170,7 @@ a AS (SELECT o_orderkey, v, {S.cubic(S.WDL_A, "m")} AS a, {S.cubic(S.WDL_B, "m")
 SELECT o_orderkey, win, 1000 - win - loss AS draw, loss FROM w"""
 
 TT_TEXT = ("o_orderkey", "v", "ply", "rule50", f"{S.to_table('v', 'ply')} AS stored", f"{S.from_table('v', 'ply', 'rule50')} AS restored")
-TT_BASE = f"o_orderkey, cast({GRID} as int) AS v, cast(o_orderkey % 246 as int) AS ply, cast(o_orderkey % 101 as int) AS rule50"
+TT_BASE = f"o_orderkey, cast(CASE WHEN o_orderkey % 50 = 0 THEN {S.NONE} ELSE {GRID} END as int) AS v, cast(o_orderkey % 246 as int) AS ply, cast(o_orderkey % 101 as int) AS rule50"
 
 
 def table_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +178,9 @@ def table_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT {', '.join(TT_TEXT)} FROM (SELECT {TT_BASE} FROM {{orders}})", orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
-TT_SQL = f"SELECT {', '.join(TT_TEXT)} FROM (SELECT {TT_BASE} FROM orders)"
+#: The same by distance from zero and sign; remaining: plies to the mate or the table win that a value stands for.
+TT_SQL = f"""WITH b AS (SELECT {TT_BASE} FROM orders), d AS (SELECT *, CASE WHEN v = 32002 THEN 0 ELSE sign(v) END AS s, abs(v) AS a, CASE WHEN abs(v) > 31753 THEN 32000 ELSE 31753 END - abs(v) AS remaining FROM b)
+SELECT o_orderkey, v, ply, rule50, CAST(CASE WHEN s = 0 OR a < 31507 THEN v ELSE s * (a + ply) END AS INTEGER) AS stored, CAST(CASE WHEN s = 0 OR a < 31507 THEN v WHEN remaining + rule50 > 100 THEN s * 31506 ELSE s * (a - ply) END AS INTEGER) AS restored FROM d"""
 EVAL_BASE = "o_orderkey, cast(o_orderkey * 13 % 4001 - 2000 as bigint) AS psqt, cast(o_orderkey * 29 % 3001 - 1500 as bigint) AS pos, cast(o_orderkey * 17 % 201 - 100 as bigint) AS opt, cast(o_orderkey % 17 * 534 + o_orderkey % 9000 as bigint) AS mat, cast(o_orderkey % 100 as bigint) AS rule50, " + ", ".join(f"cast(o_orderkey * {k} % 2049 - 1024 as bigint) AS {c}" for k, c in ((19, "pawn"), (23, "minor"), (37, "white"), (41, "black"), (43, "two"), (47, "four"))) + ", o_orderkey % 9 <> 0 AS moved"
 
 
