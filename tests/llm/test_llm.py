@@ -681,6 +681,38 @@ def test_sharding_is_native(docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_null_and_shared_ids(spark):
+    """Rows are documents: null ids and ids with several texts, in the operators that keep them."""
+    from plyframe.llm.brown import brown_scores
+    from plyframe.llm.neardup import near_groups
+    from plyframe.llm.sharding import shard
+    from plyframe.llm.suffix import repeat_removal
+    from plyframe.llm.toxicity import fold
+
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    shared, heavy = words(60), words(3000)
+    table = [(None, shared), (None, None), (1, shared + " " + words(2)), (1, words(80)), (2, heavy), (3, words(90)), (3, words(90)), (4, None)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    texts = collections.Counter((t or "").encode() for _, t in table)
+    expected = removal(texts, 200)
+    assert sorted(map(str, (tuple(r)[1:] for r in repeat_removal(docs).collect()))) == sorted(str(expected[t]) for t in texts.elements())
+    got = near_groups(docs, 80).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got if r["doc_id"] is not None) == [(1, 1, True), (1, 1, True), (2, 2, True), (3, 3, True), (3, 3, True), (4, 4, True)]
+    assert [r["component_id"] for r in got if r["doc_id"] is None] == [None, None]
+    got = brown_scores(docs, fold(of=10) != 0).collect()
+    assert len(got) == len(table) and sorted(r["n_tokens"] for r in got) == sorted(len((t or "").split()) + 1 for _, t in table)
+    assert {r["train_tokens"] for r in got} == {sum(len((t or "").split()) + 1 for i, t in table if i is not None and zlib.crc32(str(i).encode()) % 10)}
+    got = shard(docs, 4).collect()
+    held = collections.defaultdict(list)
+    for r in got:
+        held[r["shard"]].append(r)
+    assert sorted(r["size"] for r in got) == sorted(len((t or "").encode()) + 1 for _, t in table)
+    assert all(sorted(r["slot"] for r in x) == list(range(len(x))) for x in held.values())
+    assert len({r["shard"] for r in got if r["size"] == 1}) == 1  # equal texts stay together
+    assert [len(x) for x in held.values() if any(r["doc_id"] == 2 for r in x)] == [1]  # nothing joins a text that is heavier than a shard
+
+
 # --- pipeline ----------------------------------------------------------------------------------------------------------
 
 
