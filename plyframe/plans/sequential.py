@@ -26,8 +26,8 @@ MATES = (
     (361, "8/5R2/2K1P3/4k3/8/b1PPpp1B/5p2/8 w - -", "c6d7 f2f1q", "", 1),
     (380, "8/5R2/2K1P3/4k3/8/b1PPpp1B/5p2/8 w - -", "c6d7", "e3e2", -1),
 )
-#: The search of the registered queries: plies, and nodes after which nothing further is begun.
-DEPTH, NODES = 5, 30_000
+#: The search of the registered queries: plies, and nodes after which a depth is given up.
+DEPTH, NODES = 5, 15_000
 
 
 def replays(spark: SparkSession, sf_dir: str) -> DataFrame:

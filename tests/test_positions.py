@@ -170,7 +170,8 @@ def test_forced_mates():
 
     for _, fen, moves, among, mate in MATES:
         b, _ = K.Board.parse(fen).replay(moves.split())
-        assert K.mate_in(b, 2, among.split() or None)[0] == mate
+        n, line = K.mate_in(b, 2, among.split() or None) if mate > 0 else K.mated_in(b, 2, among.split() or None)
+        assert n == abs(mate) and not b.replay(line)[0].moves()
 
 
 def test_search_finds_mate_and_draws():
