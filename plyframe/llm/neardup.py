@@ -15,7 +15,8 @@ with its square. Then only lists with members of different groups are open, and
 full sets decide who can still be linked: of x's shingles, `alone` are in no other open set, so no link of x has more than
 n - alone shingles in common, and a pair's union holds the lone shingles of both. Members that can't reach the similarity
 with any partner go, which makes further shingles lone; what then remains is compared in blocks of bounded size, under the
-same bounds. A pair within one group needs no link. Components are found by joins; neither links nor labels come to the driver.
+same bounds, by sketches and then by up to LONG values of the sets, so a block passes on links and, of larger sets, what is
+near the threshold. A pair within one group needs no link. Components are found by joins; neither links nor labels come to the driver.
 
 Defined cases: null and empty texts and texts without words have an empty set, are groups of their own and kept; fewer words
 than a shingle are one shingle; rows with a null doc_id take no part and get a null component; each row is a document: a
@@ -38,6 +39,8 @@ from .common import attach_groups, discard, in_batches, materialize, one_each, o
 K, SHARED, MARGIN = 64, 0.5, 0.3
 SHINGLE = 5
 ROUNDS, PRUNES, BLOCK, STAR = 2, 3, 1024, 256
+#: Values of a set that are compared within a block: smaller sets exactly, of larger ones an estimate that is eight standard deviations wide.
+LONG, SLACK = 1024, 0.1
 PRIME = 0x9E3779B97F4A7C15
 
 
@@ -289,7 +292,16 @@ def _open_members(lists: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     return _open_lists(held)
 
 
-def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _close(x: np.ndarray, y: np.ndarray, nx: int, ny: int, percent: int) -> bool:
+    """Whether sets of nx and ny values, of which x and y are the LONG smallest, may be as similar as asked; exact if that is all of them."""
+    if nx <= LONG and ny <= LONG:
+        common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+        return 100 * common >= percent * (nx + ny - common)
+    least = np.union1d(x, y)[:LONG]
+    return int((np.isin(least, x, assume_unique=True) & np.isin(least, y, assume_unique=True)).sum()) >= (percent / 100 - SLACK) * len(least)
+
+
+def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """hub, b, m: all likely pairs of different groups within a list, compared in blocks of BLOCK members against BLOCK members.
 
     held: of _open_members. A pair comes from one list alone, that of the least key which both have.
@@ -299,7 +311,8 @@ def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, percent:
     mine = F.pmod(F.xxhash64("a"), blocks)
     held = held.withColumn("blocks", blocks).withColumn("i", mine).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     held = held.select("v", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "a", "c", "n", "alone")
-    held = held.join(classes.select("a", "sketch"), "a").join(keys, "a")
+    values = sets.join(held.select("a").distinct(), "a", "left_semi").groupBy("a").agg(F.min(F.substring("set", 1, 8 * LONG)).alias("long"))
+    held = held.join(classes.select("a", "sketch"), "a").join(keys, "a").join(values, "a")
     dealt = held.repartition("v", "p", "q").sortWithinPartitions("v", "p", "q", "a")
     least = percent / 100 - MARGIN
 
@@ -311,6 +324,7 @@ def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, percent:
             keys_of = lambda x: own[x] if x in own else own.setdefault(x, set(t.column("keys")[x].as_py()))
             a, c, n, i, alone = (t.column(x).to_numpy() for x in ("a", "c", "n", "i", "alone"))
             sk = _padded(t.column("sketch").chunk(0) if t.column("sketch").num_chunks else pa.array([], pa.list_(pa.int64())))
+            long = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in t.column("long")]
             left = np.flatnonzero(i == p)
             right = np.flatnonzero(i == q)
             out = [np.empty((0, 2), dtype=np.int64)]
@@ -321,7 +335,7 @@ def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, percent:
                 y = y[(c[y] != c[x]) & (100 * common >= percent * union)]
                 if len(y):
                     y = y[_sketch_pairs(np.repeat(sk[x][None], len(y), 0), sk[y]) >= least]
-                    y = y[[min(keys_of(int(x)) & keys_of(int(z))) == v for z in y.tolist()]] if len(y) else y
+                    y = y[np.array([min(keys_of(int(x)) & keys_of(z)) == v and _close(long[x], long[z], int(n[x]), int(n[z]), percent) for z in y.tolist()], dtype=bool)]
                     out.append(np.stack([np.full(len(y), a[x]), a[y]], 1))
             got = np.concatenate(out)
             return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["hub", "b"])
@@ -359,7 +373,7 @@ def grouped(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFram
             pairs = _stars(used, classes.select("a", "sketch"), _likely(percent))
         else:
             used = materialize(_open_members(lists, labels, sets, percent), "near-open-members")
-            pairs = _open_pairs(lists, used, classes, percent)
+            pairs = _open_pairs(lists, used, classes, sets, percent)
         pairs = materialize(pairs, "near-pairs")
         if not pairs.isEmpty():
             links, before = materialize(_stars(pairs, sets, _exact(percent)), "near-links"), labels
