@@ -377,7 +377,7 @@ def classed(coded: DataFrame, named: DataFrame, of: np.ndarray, counts: np.ndarr
         codes[at[place]] = words.column("class").to_numpy()
         c = c.astype(np.int64)
         c[place] = words.column("c").to_numpy()
-        logs = np.bincount(text, weights=np.log10(c + ADD), minlength=len(sizes))
+        logs = np.bincount(text, weights=np.log10(c + ADD), minlength=len(sizes)).astype(float)  # whole numbers where there are no words
         known = np.bincount(text, weights=c > 0, minlength=len(sizes)).astype(np.int64)
         short = codes[at].astype(np.uint16)
         edges = np.cumsum(sizes)
