@@ -49,7 +49,7 @@ class DigestIndex:
         """The index without that batch's rows. Batches after it have none of its digests."""
         return self.read().where(F.col("batch") != batch)
 
-    def unseen(self, groups: DataFrame, batch: int) -> DataFrame:
+    def unseen(self, groups: DataFrame, batch: int = -1) -> DataFrame:
         """The groups whose digest no other batch has: a sort-merge anti-join that leaves the index where it is."""
         return groups.join(self.before(batch).select("digest").hint("merge"), "digest", "left_anti")
 

@@ -359,7 +359,8 @@ def _open_pairs(lists: DataFrame, held: DataFrame, classes: DataFrame, sets: Dat
 
 
 def grouped(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
-    """near_groups() with h, the hash of the row's text."""
+    """near_groups() with h, the hash of the row's text, and part, the group's own number (null for rows without words): groups of
+    texts that share their smallest doc_id have one component_id."""
     held = materialize(sketches(docs, size), "near-sketches")
     filled = held.where("n > 0 and doc_id is not null")
     classes = filled.groupBy("key").agg(F.min(F.struct("doc_id", "h", "n", "sketch")).alias("r"), F.count(F.lit(1)).alias("copies"))
@@ -382,27 +383,26 @@ def grouped(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFram
         discard(used, pairs)
     named = classes.select("a", "key", "copies", "doc_id").join(labels, "a")
     groups = materialize(named.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("m")), "near-groups")
-    named = attach_groups(named, groups, "c", "m", F.xxhash64("a")).select("key", "copies", "component_id")
+    named = attach_groups(named, groups, "c", "m", F.xxhash64("a")).select("key", "copies", "component_id", "c")
     named = materialize(named, "near-named")
     discard(classes, lists, sets, labels, groups)
     alone = F.unhex(F.sha2(F.concat_ws(" ", "doc_id", "h"), 256))
     held = held.withColumn("key", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("key")), alone))
     found = attach_groups(held, named, "key", "copies", alone)
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.select("doc_id", "h", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("doc_id", "h", F.col("c").alias("part"), F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def near_groups(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= percent * union."""
-    return grouped(docs, percent, size).drop("h")
+    return grouped(docs, percent, size).drop("h", "part")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, at a similarity of 80 %: of each group one row stays, one with the smallest doc_id; of several texts under
     that id the one with the smallest hash. Rows with a null doc_id all stay."""
     rows = materialize(grouped(docs, percent=80), "near-verdicts").where("doc_id is not null")
-    best = rows.where("kept").groupBy("component_id").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("m"))
-    gone = rows.where("not kept").select("doc_id", "h").unionByName(
-        rows.where("kept").join(best.where("m > 1").select("component_id", F.col("h").alias("_h")), "component_id").where("h <> _h").select("doc_id", "h")
-    )
+    best = rows.where("kept and part is not null").groupBy("part").agg(F.min("h").alias("_h"), F.count(F.lit(1)).alias("m")).where("m > 1").select("part", "_h")
+    others = rows.where("kept").join(best, "part").where("h <> _h")
+    gone = rows.where("not kept").select("doc_id", "h").unionByName(others.select("doc_id", "h"))
     return one_each(without(docs, gone.distinct()), rows.where("kept"))
