@@ -11,8 +11,8 @@ the softmax probability of its gated bag. Embeddings and softmax are trained on
 then on bags of the words by which the model tells documents apart (_telling), and at last on the documents' gated bags.
 
 Labels come from a bounded sample: at most `rows` labelled documents, half a class, of up to `chars` characters, by the
-smallest hashes of doc_id. A fifth of them doesn't train embeddings: it sets the bias and the temperature of the softmax, so that
-0.7 is where toxic and clean documents part best. Every text is scored whole.
+smallest hashes of doc_id. One task trains on them. A fifth of them doesn't train embeddings: it sets the bias and the temperature
+of the softmax, so that 0.7 is where toxic and clean documents part best. Every text is scored whole.
 
 Defined cases: null and empty texts and texts without words get the lowest score; labels that are null or
 neither 0 nor 1 are left out; of contradicting labels of one document the larger counts; if a class is missing, every score
@@ -133,7 +133,9 @@ class _Bags:
 
 
 class _Model:
-    """Embeddings and softmax under Adagrad."""
+    """Embeddings and softmax under Adagrad. Embeddings are worked on PART buckets at a time: little memory."""
+
+    PART = 1 << 13
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
@@ -151,10 +153,12 @@ class _Model:
         by_word = np.bincount(words, weights=(error / size)[bag], minlength=len(bags.each))
         by_bucket = np.where(bags.common, bags.buckets(by_word), 0.0)
         u = self.w[1] - self.w[0]
-        grad_e = by_bucket[:, None] * u[None, :] + 1e-7 * self.e
         grad_w = by_bucket @ self.e
-        self.ge += grad_e**2
-        self.e -= rate * grad_e / np.sqrt(self.ge)
+        for a in range(0, BUCKETS, self.PART):
+            part = slice(a, a + self.PART)
+            grad_e = by_bucket[part, None] * u[None, :] + 1e-7 * self.e[part]
+            self.ge[part] += grad_e**2
+            self.e[part] -= rate * grad_e / np.sqrt(self.ge[part])
         for c, sign in ((0, -1.0), (1, 1.0)):
             g = sign * grad_w + 1e-4 * self.w[c]
             self.gw[c] += g**2
@@ -240,17 +244,42 @@ def fold(doc_id: str = "doc_id", of: int = 3) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % of
 
 
-def sample(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int = ROWS, chars: int = CHARS) -> tuple[list[str], list[int]]:
-    """Texts and labels of the bounded training sample. may_train: a condition on doc_id."""
+def _sample(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int, chars: int) -> DataFrame:
+    """k, doc_id, toxic, text of the bounded training sample, at most `rows` rows. Of several texts under one doc_id the last one counts."""
     held = only(labels, doc_id="long", toxic="int").where("toxic in (0, 1) and doc_id is not null").where(may_train)
     held = held.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     short = only(docs, doc_id="long", text="string").select("doc_id", F.char_length(text_column()).alias("n")).where(F.col("n") <= chars).groupBy("doc_id").agg(F.min("n").alias("n"))
     held = materialize(held.join(short, "doc_id").select("doc_id", "toxic", F.xxhash64("doc_id").alias("k")), "toxic-labels")
     few = [held.where(F.col("toxic") == c).orderBy("k", "doc_id").limit(rows // 2) for c in (0, 1)]
     chosen = F.broadcast(few[0].unionByName(few[1]))  # at most `rows` rows
-    got = only(docs, doc_id="long", text="string").where(F.char_length(text_column()) <= chars).join(chosen, "doc_id").select("k", "doc_id", text_column().alias("text"), "toxic").collect()
-    got = sorted({(r["k"], r["doc_id"]): r for r in sorted(got, key=lambda r: r["text"])}.values(), key=lambda r: (r["k"], r["doc_id"]))
-    return [r["text"] for r in got], [r["toxic"] for r in got]
+    got = only(docs, doc_id="long", text="string").where(F.char_length(text_column()) <= chars).join(chosen, "doc_id")
+    return got.groupBy("k", "doc_id", "toxic").agg(F.max(text_column()).alias("text"))
+
+
+def _in_order(rows: list) -> tuple[list[str], list[int]]:
+    rows = sorted(rows, key=lambda r: (r["k"], r["doc_id"]))
+    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+
+
+def sample(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int = ROWS, chars: int = CHARS) -> tuple[list[str], list[int]]:
+    """Texts and labels of the bounded training sample. may_train: a condition on doc_id."""
+    return _in_order(_sample(docs, labels, may_train, rows, chars).collect())
+
+
+def fit(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int = ROWS, chars: int = CHARS) -> Toxicity:
+    """train() on sample() in one task: the driver gets the model alone, neither texts nor what training holds."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = train(*_in_order([r for batch in batches for r in batch.to_pylist()]))
+        columns = [pa.array([model.weight.astype(np.float32).tobytes()], pa.binary())]
+        columns += [pa.array([x], pa.float64()) for x in (model.level, model.scale, model.bias, model.constant)]
+        yield pa.RecordBatch.from_arrays(columns, ["weight", "level", "scale", "bias", "constant"])
+
+    one = _sample(docs, labels, may_train, rows, chars).repartition(1)
+    got = in_batches(one, work, "weight binary, level double, scale double, bias double, constant double").collect()
+    if not got:  # an empty sample may have no task
+        return train([], [])
+    return Toxicity(np.frombuffer(bytes(got[0]["weight"]), dtype=np.float32), *got[0][1:])
 
 
 def score(docs: DataFrame, model: Toxicity) -> DataFrame:
@@ -265,13 +294,13 @@ def score(docs: DataFrame, model: Toxicity) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame, may_train: Column, rows: int = ROWS, chars: int = CHARS, cut: float = CUT) -> DataFrame:
     """One row per row of docs: doc_id, score, predicted."""
-    model = train(*sample(docs, labels, may_train, rows, chars))
+    model = fit(docs, labels, may_train, rows, chars)
     return score(docs, model).withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows that aren't rejected, each by its own text, whatever its doc_id."""
-    model = train(*sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold() != 1))
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold() != 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
