@@ -100,6 +100,18 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,5 +123,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_kd_sharding": op10_kd_sharding,
+    "op12_resampling": op12_resampling,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL = {"op2_exact_dedup": OP2_SQL, "op8_exact_top_k": OP8_SQL}
