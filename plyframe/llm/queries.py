@@ -100,6 +100,12 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find
+
+    return find(_table(spark, sf_dir, "documents"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .resampling import resample
 
@@ -123,6 +129,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_kd_sharding": op10_kd_sharding,
+    "op11_pii": op11_pii,
     "op12_resampling": op12_resampling,
     "op13_whitening": op13_whitening,
 }
