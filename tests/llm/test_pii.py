@@ -49,7 +49,7 @@ def make(seed=11, n=300):
         ])
 
     rows = [(i, rng.choice([" ", "  ", "\n", ", ", '="'] if rng.random() < 0.3 else [" "]).join(rng.choice(words) if rng.random() < 0.7 else thing() for _ in range(rng.choice([0, 1, 5, 40])))) for i in range(n)]
-    rows += [(n, None), (n + 1, ""), (None, "u1.a@mail1.example.com"), (n + 2, "a" * 60_000), (n + 3, "1" * 60_000), (n + 4, "1 " * 20_000), (n + 5, "1." * 20_000), (n + 6, "+1" + " " * 20_000), (n + 7, "a.b@c.d " * 3000), (n + 8, "-@-.-")]
+    rows += [(n, None), (n + 1, ""), (None, "u1.a@mail1.example.com"), (n + 2, "a" * 4_000), (n + 3, "1" * 9_000), (n + 4, "1 " * 5_000), (n + 5, "1." * 5_000), (n + 6, "+1" + " " * 9_000), (n + 7, "a.b@c.d " * 3000), (n + 8, "-@-.-")]
     return rows + [rows[7], rows[7]]
 
 
