@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import board as B
-from ..functions import endgames as E
 from ..functions import kernel as K
 from ..functions.network import Network, evaluate_both
 from ..operators.rows import rows_of, spread
@@ -154,34 +153,8 @@ y AS (SELECT vec_id, out, CAST(out * 100 + sum({QUANT.format('v')} * ((out * 31
 SELECT vec_id, out, y, greatest(0, least(127, CAST(floor(y / 64.0::double) AS BIGINT))) AS clipped, least(127, CAST(floor(CAST(y AS DOUBLE) * y / 524288) AS BIGINT)) AS squared FROM y"""
 
 
-def endgame_table(spark: SparkSession, pieces: str = "QRBN") -> DataFrame:
-    """material, stm, wk, p, bk, wdl, dtm: every legal position of the three-man tables, a task a table."""
-
-    def work(r: dict) -> list:
-        wdl, dtm = E.solve(r["piece"])
-        return [(f"K{r['piece']}K", s, wk, p, bk, int(wdl[s, wk, p, bk]), int(dtm[s, wk, p, bk])) for s, wk, p, bk in zip(*(wdl != E.ILLEGAL).nonzero())]
-
-    return rows_of(spread(spark.createDataFrame([(c,) for c in pieces], "piece string")), "material string, stm int, wk int, p int, bk int, wdl int, dtm int", work)
-
-
-def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes and longest mates of each table."""
-    rows = endgame_table(spark).withColumn("stm", F.col("stm").cast("int"))
-    return rows.groupBy("material", "stm", "wdl").agg(F.count(F.lit(1)).alias("positions"), F.max("dtm").alias("longest"))
-
-
-def table_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions of three men meet the table by material and squares; order keys make up positions."""
-    table = endgame_table(spark)
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "CAST(o_orderkey % 2 AS int) AS stm", "CAST(o_orderkey * 7 % 64 AS int) AS wk", "CAST(o_orderkey * 13 % 61 AS int) AS p", "CAST(o_orderkey * 29 % 63 AS int) AS bk", "concat('K', substr('QRBN', CAST(o_orderkey div 3 % 4 AS int) + 1, 1), 'K') AS material")
-    met = rows.join(table, ["material", "stm", "wk", "p", "bk"])
-    top = 1 << 18
-    return met.selectExpr("o_orderkey", "wdl", "dtm", f"CASE WHEN dtm > 0 AND wdl > 0 THEN {top} WHEN wdl < 0 THEN -{top} ELSE 0 END AS rank")
-
-
 QUERIES = {
     "s3_replay": replays, "f13_exchange": exchanges, "h1_search": searches, "h7_forced_mates": forced_mates, "k11_piece_worth": piece_worth, "g16_features": features, "e3_network": network_values, "e4_bucket_trace": bucket_trace, "e8_dense_layers": dense_layers,
-    "j5_endgame_tables": table_counts, "j3_table_probe": table_probe,
 }
 ORACLE_SQL = {
     "h7_forced_mates": "SELECT id, mate FROM " + C.values(MATES, "id, fen, moves, among, mate"),
