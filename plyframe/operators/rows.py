@@ -30,6 +30,12 @@ def spread(df: DataFrame, waves: int = 1) -> DataFrame:
     return df.repartition(waves * df.sparkSession.sparkContext.defaultParallelism)
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """Rows with much work each: dealt to all cores if the input has fewer partitions than that; larger inputs are left as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def folded(rows: DataFrame, kinds: str, start: tuple, step: Callable[[tuple, tuple], tuple]) -> DataFrame:
     """One row a key: the state after step(state, row) over the key's rows in order. rows: key, two columns that give the order, more.
 

@@ -93,12 +93,17 @@ AFTER = """
               PLACING CASE WHEN promo IS NULL THEN substr(board, frm + 1, 1) WHEN stm = 0 THEN upper(promo) ELSE promo END FROM dest + 1 FOR 1) END"""
 
 
+def once(rows: DataFrame, **made: str) -> DataFrame:
+    """rows with more columns, by a generator of one row: the planner doesn't repeat their expressions in filters and lambdas above."""
+    return rows.selectExpr("*", f"inline(array(struct({', '.join(f'{text} AS {c}' for c, text in made.items())})))")
+
+
 def legal(positions: DataFrame, *keep: str) -> DataFrame:
     """The pseudo-legal moves after which the mover's king isn't attacked, with the board after them.
 
     A castling king neither leaves nor crosses an attacked square.
     """
-    m = pseudo(positions, *keep).withColumn("after", F.expr(AFTER)).withColumn("ksq", F.expr("instr(after, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1"))
+    m = once(once(pseudo(positions, *keep), after=AFTER), ksq="instr(after, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1")
     crossed = f"exists(sequence(least(frm, ksq), greatest(frm, ksq)), o -> {attacked('board', 'o', '(1 - stm)')})"
     return m.where(f"NOT {attacked('after', 'ksq', '(1 - stm)')}").where(f"kind <> {Kn.CASTLING} OR NOT {crossed}").drop("ksq")
 
@@ -168,13 +173,13 @@ def pins(positions: DataFrame, *keep: str) -> DataFrame:
 # --- queries -----------------------------------------------------------------------------------------------------------
 
 
-def _corpus(spark: SparkSession) -> DataFrame:
-    return B.parse(C.corpus(spark))
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.parse(C.asked(spark, sf_dir))
 
 
 def legal_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All legal moves of the corpus with text, code, capture flags and the board after them."""
-    return legal(_corpus(spark), "pos_id", "chess960").selectExpr(
+    return legal(_asked(spark, sf_dir), "pos_id", "chess960").selectExpr(
         "pos_id", f"{move_text()} AS uci", f"{raw_move()} AS raw", "kind", "substr(board, dest + 1, 1) <> '.' AND kind <> 3 OR kind = 2 AS is_capture",
         "(substr(board, dest + 1, 1) <> '.' AND kind <> 3) OR kind = 2 OR coalesce(promo, '') = 'q' AS capture_stage", "after",
     )
@@ -182,24 +187,24 @@ def legal_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pseudo_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-legal moves of each position by kind and promotion."""
-    m = pseudo(_corpus(spark), "pos_id").selectExpr("pos_id", "kind", "coalesce(promo, '-') AS promo", "substr(board, dest + 1, 1) <> '.' AND kind <> 3 OR kind = 2 AS is_capture")
+    m = pseudo(_asked(spark, sf_dir), "pos_id").selectExpr("pos_id", "kind", "coalesce(promo, '-') AS promo", "substr(board, dest + 1, 1) <> '.' AND kind <> 3 OR kind = 2 AS is_capture")
     return m.groupBy("pos_id", "kind", "promo", "is_capture").agg(F.count(F.lit(1)).alias("moves"))
 
 
 def attacked_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """how many pieces of each colour attack each square of each position."""
-    rows = attack_rows(_corpus(spark), "pos_id").groupBy("pos_id", F.col("dest").alias("sq"))
+    rows = attack_rows(_asked(spark, sf_dir), "pos_id").groupBy("pos_id", F.col("dest").alias("sq"))
     return rows.agg(F.count(F.when(F.col("color") == 0, 1)).alias("by_white"), F.count(F.when(F.col("color") == 1, 1)).alias("by_black"))
 
 
 def pin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """blockers and pinners of both kings."""
-    return pins(_corpus(spark), "pos_id")
+    return pins(_asked(spark, sf_dir), "pos_id")
 
 
 def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Legal moves, those that give check, whether the side to move is in check, and mate or stalemate."""
-    base = _corpus(spark)
+    base = _asked(spark, sf_dir)
     m = legal(base, "pos_id").withColumn("foe", F.expr("instr(after, CASE WHEN stm = 0 THEN 'k' ELSE 'K' END) - 1"))
     m = m.withColumn("gives", F.expr(attacked("after", "foe", "stm"))).groupBy("pos_id").agg(F.count(F.lit(1)).alias("moves"), F.count(F.when(F.col("gives"), 1)).alias("checks"))
     king = "(instr(board, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1)"
@@ -210,7 +215,7 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def made_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States after each legal move of the corpus, summed up by position, and after passing."""
-    s = successors(legal(_corpus(spark), "pos_id"), "pos_id")
+    s = successors(legal(_asked(spark, sf_dir), "pos_id"), "pos_id")
     return s.groupBy("pos_id", "stm").agg(F.count(F.lit(1)).alias("states"), F.countDistinct("board").alias("boards"), F.count("ep").alias("with_ep"), F.count("wk").alias("wk"), F.count("wq").alias("wq"), F.count("bk").alias("bk"), F.count("bq").alias("bq"))
 
 
@@ -365,3 +370,5 @@ def _oracles() -> dict[str, str]:
 
 
 ORACLE_SQL = _oracles()
+for _name in ("g5_legal_moves", "f7_pseudo_moves", "f1_attacked_squares", "f4_pins", "f8_checks", "g10_made_moves"):
+    ORACLE_SQL[_name] = C.by_order(ORACLE_SQL[_name])

@@ -53,8 +53,8 @@ FROM w GROUP BY o_orderpriority"""
 
 
 def fen_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields of each position of the corpus."""
-    rows = B.parse(C.corpus(spark))
+    """Fields of the position that each order asks for."""
+    rows = B.parse(C.asked(spark, sf_dir))
     return rows.select("pos_id", "board", "stm", "castling", "wk", "wq", "bk", "bq", F.col("ep").cast("int").alias("ep"), "rule50", "game_ply")
 
 
@@ -83,7 +83,7 @@ POS_SQL = f"{CORPUS_CTE} {B.duck_board('corpus')}, {RIGHTS_CTE}"
 
 def fen_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: positions written back."""
-    rows = B.parse(C.corpus(spark)).withColumn("placement", B.placement_of("board"))
+    rows = B.parse(C.asked(spark, sf_dir)).withColumn("placement", B.placement_of("board"))
     return rows.select("pos_id", B.write().alias("fen"))
 
 
@@ -99,7 +99,7 @@ def flip_fen(fen: str) -> str:
 
 def flip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each position with colours exchanged."""
-    return C.corpus(spark).selectExpr("pos_id", f"{flip_fen('fen')} AS flipped")
+    return C.asked(spark, sf_dir).selectExpr("pos_id", f"{flip_fen('fen')} AS flipped")
 
 
 FLIP_SQL = f"""{CORPUS_CTE} p AS (SELECT pos_id, regexp_split_to_array(trim(fen), '\\s+') AS f FROM corpus),
@@ -128,7 +128,7 @@ SELECT pos_id, balance, npm_white, npm_black, pawns, men, count(*) AS times FROM
 
 def position_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full, pawn, minor, non-pawn and material keys, and the key that the fifty-move count adjusts."""
-    return Z.keys(B.parse(C.corpus(spark)), spark, "pos_id")
+    return Z.keys(B.parse(C.asked(spark, sf_dir)), spark, "pos_id")
 
 
 KEYS_SQL = f"""{POS_SQL}, zob AS {Z.piece_sql()}, ext AS {Z.extra_sql()},
@@ -219,3 +219,5 @@ ORACLE_SQL = {
     "flagship_material_wdl": FLAGSHIP_SQL, "s5_fen_parse": f"{POS_SQL} SELECT pos_id, board, stm, castling, wk, wq, bk, bq, ep, rule50, game_ply FROM pos", "k1_fen_write": POS_SQL + _PLACED + _FEN_OUT,
     "p26_flip": FLIP_SQL, "a1_material_balance": MATERIAL_SQL, "p14_position_keys": KEYS_SQL, "k7_score_text": SCORE_SQL, "p16_wdl_model": WDL_SQL, "p21_table_values": TT_SQL, "e1_final_eval": EVAL_SQL,
 }
+for _name in ("s5_fen_parse", "k1_fen_write", "p26_flip", "p14_position_keys"):
+    ORACLE_SQL[_name] = C.by_order(ORACLE_SQL[_name])

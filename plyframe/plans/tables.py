@@ -40,9 +40,9 @@ def root_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a sound position has, by position of the corpus."""
+    """What a sound position has, of the position that each order asks for."""
     outer = "concat(substr(board, 1, 8), substr(board, 57, 8))"
-    return B.parse(C.corpus(spark)).selectExpr(
+    return B.parse(C.asked(spark, sf_dir)).selectExpr(
         "pos_id", f"{B.count_of('K')} = 1 AND {B.count_of('k')} = 1 AS one_king", f"length(regexp_replace({outer}, '[Pp]', '')) = 16 AS no_outer_pawns", f"{B.count_of('P')} <= 8 AND {B.count_of('p')} <= 8 AS pawns",
         "length(regexp_replace(board, '[a-z.]', '')) <= 16 AND length(regexp_replace(board, '[A-Z.]', '')) <= 16 AS men", "castling > 0 AS can_castle", "length(board) = 64 AS full",
     )
@@ -55,7 +55,7 @@ CONSISTENCY_SQL = f"""{POS_SQL} SELECT p.pos_id, (SELECT count(*) FROM pieces x
 
 def passed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each position after passing: the other side to move, no en passant square, one more ply on the fifty-move count."""
-    return B.parse(C.corpus(spark)).selectExpr("pos_id", "board", "1 - stm AS stm", "castling", "rule50 + 1 AS rule50", "game_ply + 1 AS game_ply")
+    return B.parse(C.asked(spark, sf_dir)).selectExpr("pos_id", "board", "1 - stm AS stm", "castling", "rule50 + 1 AS rule50", "game_ply + 1 AS game_ply")
 
 
 def reversible(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,7 @@ def square_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     squares = lambda cond: f"array_join(transform(filter(sequence(0, 63), s -> {cond}), s -> concat(char(97 + s % 8), char(49 + s div 8))), ' ')"
     cell = "substr(board, s + 1, 1)"
     drawn = ", ".join(f"translate(substr(board, {8 * r + 1}, 8), 'PNBRQKpnbrqk.', 'XXXXXXXXXXXX.')" for r in range(7, -1, -1))
-    return B.parse(C.corpus(spark)).selectExpr("pos_id", f"{squares(f'{cell} <> upper({cell})')} AS black", f"{squares(f'{cell} <> lower({cell})')} AS white", f"concat_ws('/', {drawn}) AS drawn")
+    return B.parse(C.asked(spark, sf_dir)).selectExpr("pos_id", f"{squares(f'{cell} <> upper({cell})')} AS black", f"{squares(f'{cell} <> lower({cell})')} AS white", f"concat_ws('/', {drawn}) AS drawn")
 
 
 SETS_SQL = f"""{CORPUS_CTE} {B.duck_board("corpus")}, c AS (SELECT pos_id, s // 8 AS r, string_agg(CASE WHEN substr(board, CAST(s + 1 AS INTEGER), 1) = '.' THEN '.' ELSE 'X' END, '' ORDER BY s) AS t FROM brd, (SELECT unnest(range(64)) AS s) GROUP BY ALL),
@@ -103,13 +103,17 @@ d AS (SELECT pos_id, string_agg(t, '/' ORDER BY r DESC) AS drawn FROM c GROUP BY
 SELECT pos_id, string_agg(CASE WHEN color = 1 THEN chr(97 + sq % 8) || chr(49 + sq // 8) END, ' ' ORDER BY sq) AS black, string_agg(CASE WHEN color = 0 THEN chr(97 + sq % 8) || chr(49 + sq // 8) END, ' ' ORDER BY sq) AS white, drawn FROM pieces JOIN d USING (pos_id) GROUP BY pos_id, drawn"""
 
 
+#: The generator's constants and the number of its states.
+STEP, ADDED, STATES = 6364136223846793005, 1442695040888963407, 1 << 64
+
+
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Congruential hashes of the first numbers, from the constants that keys use."""
-    rows = ", ".join(f"({i}, {signed(lcg(i))}L)" for i in range(16))
-    return spark.sql(f"SELECT i, k FROM VALUES {rows} AS t(i, k)")
+    """Congruential hashes of order keys, from the constants that keys use, as signed numbers."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey AS i", f"(CAST(o_orderkey AS decimal(18, 0)) * {STEP} + {ADDED}) % {STATES} AS h")
+    return rows.selectExpr("i", f"CAST(CASE WHEN h >= {STATES // 2} THEN h - {STATES} ELSE h END AS bigint) AS k")
 
 
-HASH_SQL = "SELECT CAST(i AS INTEGER) AS i, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS k FROM (SELECT i, (CAST(i AS HUGEINT) * 6364136223846793005 + 1442695040888963407) % 18446744073709551616 AS h FROM range(16) t(i))"
+HASH_SQL = f"SELECT i, CAST(CASE WHEN h >= {STATES // 2} THEN h - {STATES} ELSE h END AS BIGINT) AS k FROM (SELECT o_orderkey AS i, (CAST(o_orderkey AS HUGEINT) * {STEP} + {ADDED}) % {STATES} AS h FROM orders)"
 
 
 def info_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,3 +250,5 @@ ORACLE_SQL = {
     "p12_high_products": HIGH_SQL, "o7_root_ranks": RANK_ORACLE, "f14_consistency": CONSISTENCY_SQL, "g13_null_move": f"{POS_SQL} SELECT pos_id, board, 1 - stm AS stm, castling, rule50 + 1 AS rule50, game_ply + 1 AS game_ply FROM pos",
     "f12_reversible_moves": REVERSIBLE_SQL, "j1_table_lookup": LOOKUP_SQL, "k3_square_sets": SETS_SQL, "p10_hashes": HASH_SQL,
 }
+for _name in ("f14_consistency", "g13_null_move", "k3_square_sets"):
+    ORACLE_SQL[_name] = C.by_order(ORACLE_SQL[_name])

@@ -28,9 +28,20 @@ COMMANDS = (
 START = C.POSITIONS[0][0]
 
 
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, text: a command for each event, by its key. That binding is synthetic; the commands are fixed and few."""
+    held = F.broadcast(spark.createDataFrame(COMMANDS, "n int, text string"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id")).join(held, F.expr(f"id % {len(COMMANDS)} = n")).select("id", "text")
+
+
+def _by_key(sql: str, table: str, key: str, n: int) -> str:
+    """A DuckDB query by id, its rows for each row of a table whose key is the id modulo n."""
+    return f"SELECT _t.{key} AS id, _x.* EXCLUDE (id) FROM ({sql}) AS _x JOIN {table} AS _t ON _t.{key} % {n} = _x.id"
+
+
 def positions_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The position and the moves that a request names."""
-    rows = spark.createDataFrame(COMMANDS, "id int, text string").withColumn("t", F.trim(F.regexp_replace("text", r"\s+", " "))).where("t LIKE 'position %'")
+    rows = _requests(spark, sf_dir).withColumn("t", F.trim(F.regexp_replace("text", r"\s+", " "))).where("t LIKE 'position %'")
     body = F.regexp_replace(F.regexp_extract("t", r"^position (?:fen )?(.*?)(?: moves .*)?$", 1), "^startpos$", START)
     return rows.select("id", body.alias("fen"), F.regexp_extract("t", r" moves (.*)$", 1).alias("moves"), F.expr("CASE WHEN t LIKE '% moves %' THEN size(split(regexp_extract(t, ' moves (.*)$', 1), ' ')) ELSE 0 END").alias("n_moves"))
 
@@ -43,7 +54,7 @@ LIMITS = ("wtime", "btime", "winc", "binc", "movestogo", "depth", "nodes", "move
 
 def limits_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limits of a request; what follows searchmoves are moves, in lower case."""
-    rows = spark.createDataFrame(COMMANDS, "id int, text string").where("text = 'go' OR text LIKE 'go %'").withColumn("head", F.regexp_replace("text", r" searchmoves .*$", ""))
+    rows = _requests(spark, sf_dir).where("text = 'go' OR text LIKE 'go %'").withColumn("head", F.regexp_replace("text", r" searchmoves .*$", ""))
     numbers = [F.coalesce(F.regexp_extract("head", rf" {k} (-?\d+)", 1).try_cast("long"), F.lit(0).cast("long")).alias(k) for k in LIMITS]
     flags = [F.col("head").rlike(rf" {k}( |$)").alias(k) for k in ("infinite", "ponder")]
     return rows.select("id", *numbers, *flags, F.lower(F.regexp_extract("text", r" searchmoves (.*)$", 1)).alias("searchmoves"))
@@ -57,7 +68,8 @@ CODES = ((0, "KQK", 0), (1, "KBPKN", 0), (2, "KBPKN", 1), (3, "KRPPPKBN", 0), (4
 
 def endgame_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The position that an endgame code names; `color` has the stronger side's letters in lower case if 1."""
-    rows = spark.createDataFrame(CODES, "id int, code string, color int").withColumn("code", F.replace("code", F.lit("v"), F.lit("")))
+    held = F.broadcast(spark.createDataFrame(CODES, "n int, code string, color int"))
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id")).join(held, F.expr(f"id % {len(CODES)} = n")).drop("n").withColumn("code", F.replace("code", F.lit("v"), F.lit("")))
     rows = rows.withColumn("cut", F.expr("locate('K', code, 2)")).withColumn("weak", F.expr("substr(code, cut)")).withColumn("strong", F.expr("substr(code, 1, cut - 1)"))
     rows = rows.withColumn("weak", F.expr("CASE WHEN color = 0 THEN lower(weak) ELSE weak END")).withColumn("strong", F.expr("CASE WHEN color = 1 THEN lower(strong) ELSE strong END"))
     return rows.selectExpr("id", "concat('8/', weak, 8 - length(weak), '/8/8/8/8/', strong, 8 - length(strong), '/8 w - - 0 10') AS fen")
@@ -69,7 +81,7 @@ SELECT id, '8/' || CASE WHEN color = 0 THEN lower(wk) ELSE wk END || (8 - length
 
 def position_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a text of positions without the empty ones, with their words."""
-    text = C.corpus(spark).select("pos_id", F.concat(F.lit("\n"), "fen", F.lit("\n  \n"), "moves").alias("text"))
+    text = C.asked(spark, sf_dir).select("pos_id", F.concat(F.lit("\n"), "fen", F.lit("\n  \n"), "moves").alias("text"))
     lines = text.select("pos_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).where("trim(line) <> ''")
     return lines.select("pos_id", "line", F.size(F.split(F.trim("line"), r"\s+")).alias("words"))
 
@@ -81,7 +93,7 @@ def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the board drawn with ranks and files."""
     rule = "' +---+---+---+---+---+---+---+---+'"
     ranks = ", ".join(f"concat(' | ', array_join(split(replace(substr(board, {8 * r + 1}, 8), '.', ' '), ''), ' | '), ' | {r + 1}'), {rule}" for r in range(7, -1, -1))
-    return B.parse(C.corpus(spark)).selectExpr("pos_id", f"concat_ws('\\n', {rule}, {ranks}, '   a   b   c   d   e   f   g   h') AS picture")
+    return B.parse(C.asked(spark, sf_dir)).selectExpr("pos_id", f"concat_ws('\\n', {rule}, {ranks}, '   a   b   c   d   e   f   g   h') AS picture")
 
 
 PICTURE_SQL = f"""{CORPUS_CTE} {B.duck_board("corpus")}, c AS (SELECT pos_id, s // 8 AS r, string_agg(' | ' || coalesce(nullif(substr(board, CAST(s + 1 AS INTEGER), 1), '.'), ' '), '' ORDER BY s) || ' | ' || (s // 8 + 1) AS t FROM brd, (SELECT unnest(range(64)) AS s) GROUP BY pos_id, s // 8)
@@ -90,9 +102,9 @@ SELECT pos_id, ' +---+---+---+---+---+---+---+---+' || chr(10) || string_agg(t |
 
 def named_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested move texts that are legal; a position none of whose requested moves is legal gets all its moves."""
-    legal = M.legal(B.parse(C.corpus(spark)), "pos_id", "chess960").selectExpr("pos_id", f"{M.move_text()} AS uci")
-    asked = spark.createDataFrame(ASKED, "pos_id int, text string").selectExpr("pos_id", "lower(text) AS uci")
-    hits = legal.join(F.broadcast(asked), ["pos_id", "uci"], "left_semi")  # a fixed list
+    legal = M.legal(B.parse(C.asked(spark, sf_dir)), "pos_id", "chess960").selectExpr("pos_id", f"{M.move_text()} AS uci")
+    asked = spark.createDataFrame(ASKED, "at int, text string").selectExpr("at", "lower(text) AS _uci")
+    hits = legal.join(F.broadcast(asked), F.expr(f"pos_id % {C.SIZE} = at AND uci = _uci"), "left_semi")  # a fixed list
     rest = legal.join(hits.select("pos_id").distinct(), "pos_id", "left_anti")
     return hits.unionByName(rest).groupBy("pos_id").agg(F.count(F.lit(1)).alias("moves"), F.min("uci").alias("first"))
 
@@ -132,14 +144,17 @@ def bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_bits(False).replace("ORDERS", "{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
 
 
+OTHER_SQUARE = "(o_orderkey * 37 + o_orderkey * o_orderkey) % 64"
+
+
 def geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distances, lines, squares between and attacks on the empty board for each pair of squares."""
-    a = spark.range(64).selectExpr("CAST(id AS int) AS a")
-    rows = a.select("a", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("b")).where("a <> b").selectExpr("a", "b", "abs(a % 8 - b % 8) AS dx", "abs(a div 8 - b div 8) AS dy")
+    """Distances, lines, squares between and attacks on the empty board for the pair of squares that each order names."""
+    pair = f"CAST(o_orderkey % 64 AS int) AS a, CAST({OTHER_SQUARE} AS int) AS b"
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", *pair.split(", ")).where("a <> b").selectExpr("o_orderkey", "a", "b", "abs(a % 8 - b % 8) AS dx", "abs(a div 8 - b div 8) AS dy")
     far = "CASE WHEN dx = 0 OR dy = 0 OR dx = dy THEN greatest(dx, dy) - 1 ELSE 0 END"
     step = "signum(b % 8 - a % 8) + 8 * signum(b div 8 - a div 8)"
     mid = f"transform(filter(sequence(1, 7), n -> n <= {far}), n -> CAST(a + n * ({step}) AS int))"
-    return rows.selectExpr("a", "b", "CAST(greatest(dx, dy) AS int) AS distance", f"CAST({far} AS int) AS between", f"CAST(coalesce(aggregate({mid}, 0, (s, x) -> s + x), 0) AS int) AS between_sum", "dx * dy = 2 AS knight", "greatest(dx, dy) = 1 AS king", "dx = dy AS bishop", "dx = 0 OR dy = 0 AS rook")
+    return rows.selectExpr("o_orderkey", "a", "b", "CAST(greatest(dx, dy) AS int) AS distance", f"CAST({far} AS int) AS between", f"CAST(coalesce(aggregate({mid}, 0, (s, x) -> s + x), 0) AS int) AS between_sum", "dx * dy = 2 AS knight", "greatest(dx, dy) = 1 AS king", "dx = dy AS bishop", "dx = 0 OR dy = 0 AS rook")
 
 
 GEOMETRY_SQL = """WITH s AS (SELECT CAST(unnest(range(64)) AS INTEGER) AS q), p AS (SELECT x.q AS a, y.q AS b, abs(x.q % 8 - y.q % 8) AS dx, abs(x.q // 8 - y.q // 8) AS dy FROM s x, s y WHERE x.q <> y.q),
@@ -171,6 +186,10 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "s2_position_request": POSITION_SQL, "s4_limits_request": LIMITS_SQL, "s6_endgame_codes": CODE_SQL, "s7_position_lines": LINES_SQL, "k2_pictures": PICTURE_SQL, "k6_named_moves": POS_SQL + M.DUCK_MOVES + ASKED_OUT,
-    "p1_bits": _bits(True).replace("ORDERS", "orders"), "p4_geometry": GEOMETRY_SQL,
+    "p1_bits": _bits(True).replace("ORDERS", "orders"), "p4_geometry": f"SELECT o_orderkey, _g.* FROM ({GEOMETRY_SQL}) AS _g JOIN orders ON _g.a = o_orderkey % 64 AND _g.b = {OTHER_SQUARE}",
     "x2_options": OPTION_TEXT.replace("OPTS AS o", C.values(OPTIONS, "idx, name, type, dflt, lo, hi") + " AS o").replace("OPTS AS p", C.values(OPTIONS, "idx, name, type, dflt, lo, hi") + " AS p").replace("SETS AS s", C.values(SETTINGS, "n, name, value") + " AS s"),
 }
+for _name in ("s7_position_lines", "k2_pictures", "k6_named_moves"):
+    ORACLE_SQL[_name] = C.by_order(ORACLE_SQL[_name])
+for _name, _table, _key, _n in (("s2_position_request", "events", "event_id", len(COMMANDS)), ("s4_limits_request", "events", "event_id", len(COMMANDS)), ("s6_endgame_codes", "orders", "o_orderkey", len(CODES))):
+    ORACLE_SQL[_name] = _by_key(ORACLE_SQL[_name], _table, _key, _n)

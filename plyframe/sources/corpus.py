@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rows import widened
+
 # The benchmark positions, as (fen, moves that follow, Chess960).
 POSITIONS = (
     ("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", "", False),
@@ -119,6 +121,18 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(held, F.pmod("o_orderkey", F.lit(SIZE)) == F.col("pos_id"))
 
 
+def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position that each order asks for: pos_id (the order's key), fen, moves, chess960."""
+    orders = widened(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
+    met = orders.join(F.broadcast(corpus(spark)), F.pmod("o_orderkey", F.lit(SIZE)) == F.col("pos_id"))
+    return met.select(F.col("o_orderkey").alias("pos_id"), "fen", "moves", "chess960")
+
+
+def by_order(sql: str) -> str:
+    """A DuckDB query over the corpus, its rows for each order that asks for their position."""
+    return f"SELECT _o.o_orderkey AS pos_id, _x.* EXCLUDE (pos_id) FROM ({sql}) AS _x JOIN orders AS _o ON _o.o_orderkey % {SIZE} = _x.pos_id"
+
+
 STREAM_SQL = f"(SELECT o_orderkey, o_orderpriority, pos_id, fen FROM orders JOIN corpus ON o_orderkey % {SIZE} = pos_id)"
 
 
