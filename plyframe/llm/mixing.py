@@ -10,7 +10,7 @@ No step gathers a source in one task: running sums and ranks go by buckets (docu
 of 65,536) and only bucket totals are accumulated in one window.
 
 Defined cases: null text has size 0; a null source is a source, the last; empty sources have target 0; documents without
-words are never taken; repeated rows are documents of their own; an empty table gives an empty result; columns other
+words are never taken; repeated rows are documents of their own, told apart by a number; an empty table gives an empty result; columns other
 than doc_id, text and source are ignored.
 """
 
@@ -31,13 +31,20 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def measured(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, source, size, sk (shuffle key), h; texts are read once."""
+    """doc_id, source, size, sk (shuffle key), h, tie (a number among identical rows); texts are read once.
+
+    The shuffle key hashes doc_id, text and tie, so rows without doc_id, or the same row many times, are spread like any others.
+    """
     rows = only(docs, doc_id="long", text="string", source="string")
     text = F.coalesce("text", F.lit(""))
-    return materialize(
-        rows.select("doc_id", "source", F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("sk"), F.xxhash64(text).alias("h")),
-        "mix-sizes",
-    )
+    rows = rows.select("doc_id", "source", F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"), F.xxhash64(text).alias("h"))
+    lots = materialize(rows.groupBy("doc_id", "source", "size", "h").agg(F.count(F.lit(1)).alias("n")), "mix-lots")
+    ties = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("tie")
+    few = lots.where(F.col("n") <= RUN).select("doc_id", "source", "size", "h", ties)
+    # a lot of many identical rows is written out by as many tasks as it has runs
+    many = lots.where(F.col("n") > RUN).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {RUN}")))).repartition("h", "doc_id", "source", "run")
+    many = many.select("doc_id", "source", "size", "h", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1)).alias("tie"))
+    return materialize(few.unionByName(many).withColumn("sk", F.xxhash64(F.lit(seed), "doc_id", "h", "tie")), "mix-sizes")
 
 
 def source_targets(meas: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0) -> DataFrame:
@@ -94,7 +101,7 @@ def streams(meas: DataFrame, sources: DataFrame, per_task: int = 20_000) -> Data
     rows = rows.withColumn("b", F.shiftrightunsigned("sk", 64 - bits))
     sums = rows.groupBy("src", "b").agg(F.sum("size").alias("s"))
     starts = sums.select("src", "b", (F.sum("s").over(Window.partitionBy("src").orderBy("b")) - F.col("s")).alias("start"))
-    own = Window.partitionBy("src", "b").orderBy("sk", "doc_id", "h", "size")
+    own = Window.partitionBy("src", "b").orderBy("sk", "doc_id", "h", "size", "tie")
     rows = rows.withColumn("r", F.row_number().over(own)).withColumn("upto", F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.join(starts, ["src", "b"]).withColumn("at", F.col("start") + F.col("upto") - F.col("size"))
 
