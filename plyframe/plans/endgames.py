@@ -16,6 +16,7 @@ from ..functions import board as B
 from ..functions.placement import BITS, ORDER
 from ..functions.score import engine
 from ..operators import retrograde as R
+from ..sources.packed import probe_packed, write_packed
 from .tables import ROOT_RANK, TOP
 
 SQUARES = "CAST(o_orderkey * 7 % 64 AS int) AS wk, CAST(o_orderkey * 29 % 63 AS int) AS bk, CAST(CASE WHEN o_orderkey % 5 = 4 THEN 8 + o_orderkey * 13 % 48 ELSE o_orderkey * 13 % 61 END AS int) AS m0"
@@ -39,6 +40,20 @@ def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(R.tables(spark).drop("plies"), "key", "left").select("o_orderkey", "k", "legal", "wdl", "dtz")
 
 
+_PACKED: dict[str, str] = {}
+
+
+def packed_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as probes, from packed blocks: those that an order asks for are read and decoded."""
+    app = spark.sparkContext.applicationId
+    if app not in _PACKED:
+        path = R.shared_path(spark, "endgames-packed")
+        write_packed(R.tables(spark), path)
+        _PACKED[app] = path
+    rows = asked(spark, sf_dir).selectExpr("o_orderkey", "k", "legal", "CASE WHEN legal THEN key END AS key")
+    return rows.join(probe_packed(rows, _PACKED[app]), "key", "left").select("o_orderkey", "k", "legal", "wdl", "dtz")
+
+
 def root_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each legal move of each order's position with outcome and distance for the mover, its rank, the band of equal
     ranks and its place. Values come from the position after the move; the mating move has distance 1."""
@@ -125,7 +140,7 @@ solved AS MATERIALIZED (SELECT id, k, stm, n, CAST(CASE WHEN n IS NULL THEN 0 WH
   FROM legal LEFT JOIN zero ON zero.src = id),
 asked AS (SELECT *, {_id("k", "stm", "wk", "bk", "m0")} AS id FROM ({ASKED}))"""
 
-QUERIES = {"j3_table_probe": probes, "o5_table_bands": root_moves, "j5_endgame_tables": holdings}
+QUERIES = {"j3_table_probe": probes, "j6_packed_probe": packed_probes, "o5_table_bands": root_moves, "j5_endgame_tables": holdings}
 ORACLE_SQL = {
     "j3_table_probe": f"WITH RECURSIVE {SOLVED} SELECT o_orderkey, a.k, s.id IS NOT NULL AS legal, wdl, dtz FROM asked a LEFT JOIN solved s USING (id)",
     "j5_endgame_tables": f"""WITH RECURSIVE {SOLVED}, h AS (SELECT k, stm, wdl, CAST(count(*) AS BIGINT) AS boards, max(abs(dtz)) AS longest FROM solved GROUP BY ALL), m AS (SELECT s.k, s.stm, s.wdl, count(*) AS asked FROM asked a JOIN solved s USING (id) GROUP BY ALL)
@@ -136,3 +151,4 @@ SELECT k, h.stm, h.wdl, boards, longest, coalesce(asked, 0) AS asked FROM h LEFT
 q AS (SELECT o_orderkey, uci, wdl, CAST(dtz AS BIGINT) AS dtz, CAST(sign(dtz) * CASE WHEN dtz = 0 THEN 0 WHEN dtz > 0 AND dtz + clock > 99 OR dtz < 0 AND clock - 2 * dtz >= 100 THEN {TOP // 2} - abs(dtz) - clock ELSE {TOP} - CASE WHEN by_dtz THEN abs(dtz) ELSE 0 END END AS BIGINT) AS "rank" FROM r)
 SELECT o_orderkey, uci, wdl, dtz, "rank", CAST(dense_rank() OVER (PARTITION BY o_orderkey ORDER BY "rank" DESC) AS INTEGER) AS band, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY "rank" DESC, uci) AS INTEGER) AS place FROM q""",
 }
+ORACLE_SQL["j6_packed_probe"] = ORACLE_SQL["j3_table_probe"]
