@@ -326,3 +326,20 @@ ORACLE_SQL = {
     "a11_thread_vote": VOTE_SQL, "a12_gravity_fold": GRAVITY_SQL, "a17_decay": DECAY_SQL, "o8_replacement_victim": VICTIM_SQL, "o9_table_updates": UPDATES_SQL, "f11_repetition": REPEAT_SQL,
     "p22_time_allocation": engine(TIME_TEXT, True).replace("ORDERS", "orders"), "p24_formulas": engine(FORMULA_TEXT, True).replace("ORDERS", "orders"), "p25_time_budget": BUDGET_SQL, "o10_weakened_pick": PICK_SQL,
 }
+
+
+def history_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H8, O2: what a user's history entry held at each event that reads it, and the ordering score of such a move; purchases update it."""
+    from ..operators.asof import as_of
+
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    updates = e.where("event_type = 'purchase'").selectExpr("user_id", "ts", "event_id", "CAST(value * 100 AS bigint) % 7183 AS entry")
+    found = as_of(e.where("event_type <> 'purchase'").select("event_id", "ts", "user_id"), updates, "user_id", ["ts", "event_id"], "entry")
+    return found.selectExpr("event_id", "user_id", "entry", "CAST(2 * coalesce(entry, 0) - 32 * (event_id % 5) AS bigint) AS score")
+
+
+#: By the engine's own as-of join over the order of all events.
+READINGS_SQL = """WITH e AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS n FROM events), u AS (SELECT user_id, n, CAST(trunc(value * 100) AS BIGINT) % 7183 AS entry FROM e WHERE event_type = 'purchase')
+SELECT r.event_id, r.user_id, u.entry, CAST(2 * coalesce(u.entry, 0) - 32 * (r.event_id % 5) AS BIGINT) AS score FROM (SELECT * FROM e WHERE event_type <> 'purchase') r ASOF LEFT JOIN u ON r.user_id = u.user_id AND r.n > u.n"""
+QUERIES["h8_history_readings"] = history_readings
+ORACLE_SQL["h8_history_readings"] = READINGS_SQL
