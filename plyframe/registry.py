@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 FLAGSHIP = "flagship_material_wdl"
-MODULES: tuple[str, ...] = ("plyframe.plans.positions", "plyframe.plans.moves", "plyframe.plans.aggregates", "plyframe.plans.text", "plyframe.plans.sequential", "plyframe.plans.tables", "plyframe.plans.endgames", "plyframe.plans.backed", "plyframe.plans.threats", "plyframe.streaming.requests")
+MODULES: tuple[str, ...] = ("plyframe.plans.positions", "plyframe.plans.moves", "plyframe.plans.aggregates", "plyframe.plans.text", "plyframe.plans.sequential", "plyframe.plans.tables", "plyframe.plans.endgames", "plyframe.plans.backed", "plyframe.plans.threats", "plyframe.streaming.requests", "plyframe.streaming.expiring")
 
 
 def _modules():
