@@ -41,7 +41,12 @@ def _by_key(sql: str, table: str, key: str, n: int) -> str:
 
 def positions_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The position and the moves that a request names."""
-    rows = _requests(spark, sf_dir).withColumn("t", F.trim(F.regexp_replace("text", r"\s+", " "))).where("t LIKE 'position %'")
+    return parse_positions(_requests(spark, sf_dir))
+
+
+def parse_positions(requests: DataFrame) -> DataFrame:
+    """id, fen, moves, n_moves of the requests (id, text) that name a position."""
+    rows = requests.withColumn("t", F.trim(F.regexp_replace("text", r"\s+", " "))).where("t LIKE 'position %'")
     body = F.regexp_replace(F.regexp_extract("t", r"^position (?:fen )?(.*?)(?: moves .*)?$", 1), "^startpos$", START)
     return rows.select("id", body.alias("fen"), F.regexp_extract("t", r" moves (.*)$", 1).alias("moves"), F.expr("CASE WHEN t LIKE '% moves %' THEN size(split(regexp_extract(t, ' moves (.*)$', 1), ' ')) ELSE 0 END").alias("n_moves"))
 
@@ -54,7 +59,12 @@ LIMITS = ("wtime", "btime", "winc", "binc", "movestogo", "depth", "nodes", "move
 
 def limits_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limits of a request; what follows searchmoves are moves, in lower case."""
-    rows = _requests(spark, sf_dir).where("text = 'go' OR text LIKE 'go %'").withColumn("head", F.regexp_replace("text", r" searchmoves .*$", ""))
+    return parse_limits(_requests(spark, sf_dir))
+
+
+def parse_limits(requests: DataFrame) -> DataFrame:
+    """id, limits, flags and searchmoves of the requests (id, text) that start a search."""
+    rows = requests.where("text = 'go' OR text LIKE 'go %'").withColumn("head", F.regexp_replace("text", r" searchmoves .*$", ""))
     numbers = [F.coalesce(F.regexp_extract("head", rf" {k} (-?\d+)", 1).try_cast("long"), F.lit(0).cast("long")).alias(k) for k in LIMITS]
     flags = [F.col("head").rlike(rf" {k}( |$)").alias(k) for k in ("infinite", "ponder")]
     return rows.select("id", *numbers, *flags, F.lower(F.regexp_extract("text", r" searchmoves (.*)$", 1)).alias("searchmoves"))

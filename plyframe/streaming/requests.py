@@ -98,8 +98,33 @@ def windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("hour", "event_type").agg(F.max_by("events", "batch").alias("events"))
 
 
-QUERIES = {"t1_session_state": run_available, "t6_event_windows": windowed}
+def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of commands, one for each event, written as text and followed as a stream; its requests are parsed as they come: how many
+    name which position or limit, by their word, their moves and their depth."""
+    from ..plans.text import _requests, parse_limits, parse_positions
+    from ..sources.commands import register
+
+    register(spark)
+    path = _place(spark)
+    _requests(spark, sf_dir).select("text").write.text(f"{path}/log")
+    lines = spark.readStream.format("command_log").option("path", f"{path}/log").load().select(F.concat_ws(":", "file", F.col("at").cast("string")).alias("id"), "text")
+    asked = parse_positions(lines).select("id", F.lit("position").alias("word"), F.col("n_moves").cast("long").alias("n"), F.col("fen").alias("body"))
+    limits = parse_limits(lines).select("id", F.lit("go").alias("word"), F.col("depth").alias("n"), F.col("searchmoves").alias("body"))
+    rows = _run(asked.unionByName(limits), "append")
+    return rows.groupBy("word", "n", "body").agg(F.count(F.lit(1)).alias("requests"), F.countDistinct("id").alias("places"))
+
+
+QUERIES = {"s1_command_log": command_log, "t1_session_state": run_available, "t6_event_windows": windowed}
+
+def _log_oracle() -> str:
+    from ..plans.text import ORACLE_SQL as TEXT
+
+    return f"""WITH r AS (SELECT 'position' AS word, CAST(n_moves AS BIGINT) AS n, fen AS body FROM ({TEXT["s2_position_request"]}) UNION ALL SELECT 'go', CAST(depth AS BIGINT), searchmoves FROM ({TEXT["s4_limits_request"]}))
+SELECT word, n, body, count(*) AS requests, count(*) AS places FROM r GROUP BY ALL"""
+
+
 ORACLE_SQL = {
+    "s1_command_log": _log_oracle(),
     "t1_session_state": f"""WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 r AS (SELECT user_id, max(n) FILTER (event_type NOT IN ('view', 'click', 'purchase')) AS reset FROM e GROUP BY user_id)
 SELECT user_id, arg_max(value, n) FILTER (event_type = 'view') AS "option", arg_max(value, n) FILTER (event_type = 'click') AS "position",
