@@ -101,11 +101,17 @@ def once(rows: DataFrame, **made: str) -> DataFrame:
 def legal(positions: DataFrame, *keep: str) -> DataFrame:
     """The pseudo-legal moves after which the mover's king isn't attacked, with the board after them.
 
-    A castling king neither leaves nor crosses an attacked square.
+    A castling king neither leaves nor crosses an attacked square. Where the king isn't in check, a man that stands on no line with it can't
+    uncover it, so only other moves, and en passant, are looked at on the board after them.
     """
-    m = once(once(pseudo(positions, *keep), after=AFTER), ksq="instr(after, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1")
+    king = "instr(board, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1"
+    p = once(positions, _own=king)
+    p = once(p, _checked=attacked("board", "_own", "(1 - stm)"))
+    m = once(once(pseudo(p, *keep, "_own", "_checked"), after=AFTER), ksq="instr(after, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1")
+    across, up = "abs(frm % 8 - _own % 8)", "abs(frm div 8 - _own div 8)"
+    apart = f"NOT _checked AND kind NOT IN ({Kn.EN_PASSANT}, {Kn.CASTLING}) AND {across} <> 0 AND {up} <> 0 AND {across} <> {up}"
     crossed = f"exists(sequence(least(frm, ksq), greatest(frm, ksq)), o -> {attacked('board', 'o', '(1 - stm)')})"
-    return m.where(f"NOT {attacked('after', 'ksq', '(1 - stm)')}").where(f"kind <> {Kn.CASTLING} OR NOT {crossed}").drop("ksq")
+    return m.where(f"({apart}) OR NOT {attacked('after', 'ksq', '(1 - stm)')}").where(f"kind <> {Kn.CASTLING} OR NOT {crossed}").drop("ksq", "_own", "_checked")
 
 
 def successors(moves: DataFrame, *keep: str) -> DataFrame:
