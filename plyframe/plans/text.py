@@ -125,7 +125,7 @@ ask AS (SELECT pos_id, lower(text) AS uci FROM {C.values(ASKED, "pos_id, text")}
 SELECT pos_id, count(*) AS moves, min(uci) AS first FROM n WHERE named = 0 OR EXISTS (SELECT 1 FROM ask WHERE ask.pos_id = n.pos_id AND ask.uci = n.uci) GROUP BY pos_id"""
 
 #: Bits as squares; words that differ between the engines are filled in.
-BITS_TEXT = """SELECT k, CAST(bit_count(b) AS int) AS ones, CAST(b & 72340172838076673 AS bigint) AS file_a, CAST(b & 255 AS bigint) AS rank_1, CAST(SHL(b & 35747322042253311, 9) AS bigint) AS north_east, CAST(SHR(b & 71775015237779198, 9) AS bigint) AS south_west,
+BITS_TEXT = """SELECT k, CAST(bit_count(b) AS int) AS ones, CAST(b & 72340172838076673 AS bigint) AS file_a, CAST(b & 255 AS bigint) AS rank_1, CAST(SHL(b & 35887507618889599, 9) AS bigint) AS north_east, CAST(SHR(b & 71775015237779198, 9) AS bigint) AS south_west,
   CAST(m % 64 AS int) AS dest, CAST(SHR(m, 6) & 63 AS int) AS frm, CAST(SHR(m, 12) & 3 AS int) AS promo, CAST(SHR(m, 14) & 3 AS int) AS kind, CAST(XOR(s, 56) AS int) AS flipped, CAST(XOR(s, 7) AS int) AS mirrored
 FROM (SELECT o_orderkey AS k, CAST(o_orderkey * 104729 % 1000003 * 61680013 % 36028797018963967 AS bigint) AS b, CAST(o_orderkey * 7919 % 65536 AS bigint) AS m, CAST(o_orderkey % 64 AS bigint) AS s FROM ORDERS) AS x"""
 
@@ -143,15 +143,24 @@ def _call(text: str, name: str, to) -> str:
     return out
 
 
-def _bits(duck: bool) -> str:
-    t = _call(BITS_TEXT, "SHL", (lambda a, b: f"(({a}) <<{b})") if duck else lambda a, b: f"shiftleft({a},{b})")
-    t = _call(t, "SHR", (lambda a, b: f"(({a}) >>{b})") if duck else lambda a, b: f"shiftrightunsigned({a},{b})")
-    return _call(t, "XOR", (lambda a, b: f"xor_({a},{b})") if duck else lambda a, b: f"(({a}) ^{b})").replace("xor_(", "xor(")
+def _bits() -> str:
+    t = _call(BITS_TEXT, "SHL", lambda a, b: f"shiftleft({a},{b})")
+    t = _call(t, "SHR", lambda a, b: f"shiftrightunsigned({a},{b})")
+    return _call(t, "XOR", lambda a, b: f"(({a}) ^{b})")
+
+
+#: The same square by square, with division in place of bits.
+BITS_SQL = """WITH x AS (SELECT o_orderkey AS k, CAST(o_orderkey * 104729 % 1000003 * 61680013 % 36028797018963967 AS HUGEINT) AS b, o_orderkey * 7919 % 65536 AS m, o_orderkey % 64 AS s FROM orders),
+p AS (SELECT CAST(unnest(range(63)) AS INTEGER) AS q), w AS (SELECT q, CAST(pow(2::DOUBLE, q) AS HUGEINT) AS w FROM p),
+z AS (SELECT k, count(*) AS ones, sum(CASE WHEN q % 8 = 0 THEN w ELSE 0 END) AS fa, sum(CASE WHEN q < 8 THEN w ELSE 0 END) AS r1, sum(CASE WHEN q % 8 < 7 AND q < 56 THEN w * 512 ELSE 0 END) AS ne, sum(CASE WHEN q % 8 > 0 AND q > 8 THEN w // 512 ELSE 0 END) AS sw
+  FROM x, w WHERE b // w % 2 = 1 GROUP BY k)
+SELECT x.k, CAST(coalesce(ones, 0) AS INTEGER) AS ones, CAST(coalesce(fa, 0) AS BIGINT) AS file_a, CAST(coalesce(r1, 0) AS BIGINT) AS rank_1, CAST(coalesce(ne, 0) AS BIGINT) AS north_east, CAST(coalesce(sw, 0) AS BIGINT) AS south_west, CAST(m % 64 AS INTEGER) AS dest, CAST(m // 64 % 64 AS INTEGER) AS frm,
+  CAST(m // 4096 % 4 AS INTEGER) AS promo, CAST(m // 16384 AS INTEGER) AS kind, CAST((7 - s // 8) * 8 + s % 8 AS INTEGER) AS flipped, CAST(s // 8 * 8 + 7 - s % 8 AS INTEGER) AS mirrored FROM x LEFT JOIN z USING (k)"""
 
 
 def bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bit counts, masks, shifts and move codes of numbers from each order."""
-    return spark.sql(_bits(False).replace("ORDERS", "{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
+    return spark.sql(_bits().replace("ORDERS", "{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
 
 
 OTHER_SQUARE = "(o_orderkey * 37 + o_orderkey * o_orderkey) % 64"
@@ -196,7 +205,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "s2_position_request": POSITION_SQL, "s4_limits_request": LIMITS_SQL, "s6_endgame_codes": CODE_SQL, "s7_position_lines": LINES_SQL, "k2_pictures": PICTURE_SQL, "k6_named_moves": POS_SQL + M.DUCK_MOVES + ASKED_OUT,
-    "p1_bits": _bits(True).replace("ORDERS", "orders"), "p4_geometry": f"SELECT o_orderkey, _g.* FROM ({GEOMETRY_SQL}) AS _g JOIN orders ON _g.a = o_orderkey % 64 AND _g.b = {OTHER_SQUARE}",
+    "p1_bits": BITS_SQL, "p4_geometry": f"SELECT o_orderkey, _g.* FROM ({GEOMETRY_SQL}) AS _g JOIN orders ON _g.a = o_orderkey % 64 AND _g.b = {OTHER_SQUARE}",
     "x2_options": OPTION_TEXT.replace("OPTS AS o", C.values(OPTIONS, "idx, name, type, dflt, lo, hi") + " AS o").replace("OPTS AS p", C.values(OPTIONS, "idx, name, type, dflt, lo, hi") + " AS p").replace("SETS AS s", C.values(SETTINGS, "n, name, value") + " AS s"),
 }
 for _name in ("s7_position_lines", "k2_pictures", "k6_named_moves"):
