@@ -51,3 +51,19 @@ def test_expiry_does_not_depend_on_batches(spark, tmp_path, files):
         spark.conf.set(E.STORE, before) if before else spark.conf.unset(E.STORE)
     assert sorted(((r["user_id"], r["slot"], r["entry"], r["generation"], r["written"], r["due"]) for r in got), key=str) == expected(rows)
     assert any(r["entry"] == 8000 for r in got) and not any(r["entry"] == 8001 for r in got)
+
+
+def test_late_rows_of_hourly_windows(spark, tmp_path):
+    """Rows within 30 days of the newest one of the batches before the last count, older ones are dropped."""
+    import time
+
+    from plyframe.streaming.requests import _run, hourly
+
+    day = lambda d, m=0: START + dt.timedelta(days=d, minutes=m)
+    batches = [[(day(0), "view"), (day(60), "view")], [(day(50), "view")], [(day(31), "view"), (day(29), "view"), (day(0, 5), "view"), (day(60, 10), "view")]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "ts timestamp, event_type string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)  # files are read in the order of their times
+    stream = spark.readStream.schema("ts timestamp, event_type string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = _run(hourly(stream), "update").groupBy("hour").agg(F.max_by("events", "batch").alias("n")).collect()
+    assert {r["hour"]: r["n"] for r in got} == {day(0): 1, day(31): 1, day(50): 1, day(60): 2}
