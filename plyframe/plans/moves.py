@@ -211,8 +211,12 @@ def pin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Legal moves, those that give check, whether the side to move is in check, and mate or stalemate."""
     base = _asked(spark, sf_dir)
-    m = legal(base, "pos_id").withColumn("foe", F.expr("instr(after, CASE WHEN stm = 0 THEN 'k' ELSE 'K' END) - 1"))
-    m = m.withColumn("gives", F.expr(attacked("after", "foe", "stm"))).groupBy("pos_id").agg(F.count(F.lit(1)).alias("moves"), F.count(F.when(F.col("gives"), 1)).alias("checks"))
+    m = once(legal(base, "pos_id"), foe="instr(after, CASE WHEN stm = 0 THEN 'k' ELSE 'K' END) - 1")
+    line = lambda s: f"(({s} - foe) % 8 = 0 OR {s} div 8 = foe div 8 OR abs({s} % 8 - foe % 8) = abs({s} div 8 - foe div 8))"
+    leap = "abs((dest % 8 - foe % 8) * (dest div 8 - foe div 8)) = 2"
+    # a man that neither left nor reached a line of the king, nor is a leap away, gives no check
+    may = f"({line('frm')} OR {line('dest')} OR {leap} OR kind IN ({Kn.EN_PASSANT}, {Kn.CASTLING}))"
+    m = m.withColumn("gives", F.expr(f"{may} AND {attacked('after', 'foe', 'stm')}")).groupBy("pos_id").agg(F.count(F.lit(1)).alias("moves"), F.count(F.when(F.col("gives"), 1)).alias("checks"))
     king = "(instr(board, CASE WHEN stm = 0 THEN 'K' ELSE 'k' END) - 1)"
     now = base.select("pos_id", F.expr(attacked("board", king, "(1 - stm)")).alias("in_check"))
     out = now.join(m, "pos_id", "left").selectExpr("pos_id", "in_check", "coalesce(moves, 0L) AS moves", "coalesce(checks, 0L) AS checks")
