@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,6 +180,11 @@ def pins(positions: DataFrame, *keep: str) -> DataFrame:
 # --- queries -----------------------------------------------------------------------------------------------------------
 
 
+def answered(spark: SparkSession, sf_dir: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work(parsed positions) for each order, each distinct position once."""
+    return C.answered(spark, sf_dir, lambda positions: work(B.parse(positions)))
+
+
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.parse(C.asked(spark, sf_dir))
 
