@@ -231,7 +231,12 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def made_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States after each legal move of the corpus, summed up by position, and after passing."""
-    s = successors(legal(_asked(spark, sf_dir), "pos_id"), "pos_id")
+    return answered(spark, sf_dir, made)
+
+
+def made(positions: DataFrame) -> DataFrame:
+    """The same of parsed positions with pos_id."""
+    s = successors(legal(positions, "pos_id"), "pos_id")
     return s.groupBy("pos_id", "stm").agg(F.count(F.lit(1)).alias("states"), F.countDistinct("board").alias("boards"), F.count("ep").alias("with_ep"), F.count("wk").alias("wk"), F.count("wq").alias("wq"), F.count("bk").alias("bk"), F.count("bq").alias("bq"))
 
 

@@ -14,6 +14,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 #: Queries whose work a position is heavy.
 ONCE = [
     "k6_named_moves",
+    "g10_made_moves",
 ]
 
 
