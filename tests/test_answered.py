@@ -15,6 +15,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ONCE = [
     "k6_named_moves",
     "g10_made_moves",
+    "f8_checks",
 ]
 
 
