@@ -16,6 +16,7 @@ ONCE = [
     "k6_named_moves",
     "g10_made_moves",
     "f8_checks",
+    "g5_legal_moves",
 ]
 
 
