@@ -75,9 +75,13 @@ def sparse_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of weights over the pair features of each position and side. Weights are quantised embeddings, by feature % 500."""
     held = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(f"vec_id < {WEIGHTS}")
     held = held.selectExpr("vec_id", *[f"CAST(floor(1024 * CAST(embedding[{j}] AS double)) AS bigint) AS w{j}" for j in range(SUMS)])
-    rows = threats(M._asked(spark, sf_dir)).groupBy("pos_id", "side", F.expr(f"feature % {WEIGHTS}").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"))
-    met = rows.join(F.broadcast(held), "vec_id")  # 500 rows
-    return met.groupBy("pos_id", "side").agg(F.sum("n").alias("features"), *[F.sum(F.col("n") * F.col(f"w{j}")).alias(f"s{j}") for j in range(SUMS)])
+
+    def work(p: DataFrame) -> DataFrame:
+        rows = threats(p).groupBy("pos_id", "side", F.expr(f"feature % {WEIGHTS}").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"))
+        met = rows.join(F.broadcast(held), "vec_id")  # 500 rows
+        return met.groupBy("pos_id", "side").agg(F.sum("n").alias("features"), *[F.sum(F.col("n") * F.col(f"w{j}")).alias(f"s{j}") for j in range(SUMS)])
+
+    return M.answered(spark, sf_dir, work)
 
 
 _PLACE = "(VALUES " + ", ".join(f"('{k}', '{o}', {PLACES[k]}, {p})" for k, row in PLACE.items() for o, p in zip("PNBRQK", row) if p >= 0) + ") t(kind, okind, places, place)"

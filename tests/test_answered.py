@@ -17,6 +17,7 @@ ONCE = [
     "g10_made_moves",
     "f8_checks",
     "g5_legal_moves",
+    "a14_sparse_sums",
 ]
 
 
