@@ -79,7 +79,12 @@ def forced_mates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_worth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each piece adds to a position's evaluation, by leaving it out; both networks' parts by bucket need weights."""
-    rows = B.parse(C.asked(spark, sf_dir)).selectExpr("pos_id", "board", "stm", f"{B.balance()} AS whole", "explode(sequence(0, 63)) AS sq").where("substr(board, sq + 1, 1) NOT IN ('.', 'K', 'k')")
+    return C.answered(spark, sf_dir, lambda p: worth(B.parse(p)))
+
+
+def worth(positions: DataFrame) -> DataFrame:
+    """The same of parsed positions with pos_id."""
+    rows = positions.selectExpr("pos_id", "board", "stm", f"{B.balance()} AS whole", "explode(sequence(0, 63)) AS sq").where("substr(board, sq + 1, 1) NOT IN ('.', 'K', 'k')")
     rows = rows.selectExpr("pos_id", "stm", "sq", "whole", "overlay(board PLACING '.' FROM sq + 1 FOR 1) AS board")
     return rows.selectExpr("pos_id", "sq", f"CAST(whole - ({B.balance()}) AS int) AS worth")
 
@@ -91,9 +96,12 @@ FEATURE = "((sq ^ CASE WHEN ksq % 8 < 4 THEN 7 ELSE 0 END) ^ (56 * side)) + 64 *
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active piece-square features of each position from both sides."""
-    rows = B.parse(C.asked(spark, sf_dir))
-    men = B.pieces(rows, "pos_id", "wking", "bking").withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("ksq", F.expr("CASE WHEN side = 0 THEN wking ELSE bking END"))
-    return men.selectExpr("pos_id", "side", "sq", f"CAST({FEATURE} AS int) AS feature")
+
+    def work(p: DataFrame) -> DataFrame:
+        men = B.pieces(B.parse(p), "pos_id", "wking", "bking").withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("ksq", F.expr("CASE WHEN side = 0 THEN wking ELSE bking END"))
+        return men.selectExpr("pos_id", "side", "sq", f"CAST({FEATURE} AS int) AS feature")
+
+    return C.answered(spark, sf_dir, work)
 
 
 FEATURE_SQL = f"""{CORPUS_CTE} {B.duck_board("corpus")}, k AS (SELECT pos_id, color AS side, sq AS ksq, CASE WHEN color = 0 THEN sq // 8 ELSE 7 - sq // 8 END AS kr FROM pieces WHERE ptype = 6)

@@ -18,6 +18,7 @@ ONCE = [
     "f8_checks",
     "g5_legal_moves",
     "a14_sparse_sums",
+    "k11_piece_worth",
 ]
 
 
