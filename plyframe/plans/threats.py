@@ -67,8 +67,11 @@ def threats(positions: DataFrame) -> DataFrame:
 
 def threat_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pair features of each order's position from both sides: how many, the least, the largest, their sum."""
-    rows = threats(M._asked(spark, sf_dir))
-    return rows.groupBy("pos_id", "side").agg(F.count(F.lit(1)).alias("features"), F.min("feature").alias("least"), F.max("feature").alias("largest"), F.sum("feature").alias("total"))
+
+    def work(p: DataFrame) -> DataFrame:
+        return threats(p).groupBy("pos_id", "side").agg(F.count(F.lit(1)).alias("features"), F.min("feature").alias("least"), F.max("feature").alias("largest"), F.sum("feature").alias("total"))
+
+    return M.answered(spark, sf_dir, work)
 
 
 def sparse_sums(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ ONCE = [
     "g5_legal_moves",
     "a14_sparse_sums",
     "k11_piece_worth",
+    "f1_attacked_squares",
 ]
 
 
