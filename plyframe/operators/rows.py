@@ -36,6 +36,12 @@ def widened(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame, rows: int, most: int, *by: str) -> DataFrame:
+    """df by its columns `by` in so many partitions that one stands for about `most` of the counted rows, at least as many as the session
+    shuffles into. Sorts of a task stay as large, whatever the input."""
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // most)), *by)
+
+
 def folded(rows: DataFrame, kinds: str, start: tuple, step: Callable[[tuple, tuple], tuple]) -> DataFrame:
     """One row a key: the state after step(state, row) over the key's rows in order. rows: key, two columns that give the order, more.
 
