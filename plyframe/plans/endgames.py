@@ -16,6 +16,7 @@ from ..functions import board as B
 from ..functions.placement import BITS, ORDER
 from ..functions.score import engine
 from ..operators import retrograde as R
+from ..operators.rows import dealt
 from ..sources.packed import probe_packed, write_packed
 from .tables import ROOT_RANK, TOP
 
@@ -66,8 +67,18 @@ def root_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(CASE WHEN zeroing THEN -sign(coalesce(w, 0)) WHEN plies = 0 THEN 1 ELSE -coalesce(d, 0) - sign(coalesce(d, 0)) END AS bigint) AS dtz",
     )
     met = met.selectExpr("*", "clock AS c", "false AS rep", "o_orderkey % 2 = 0 AS by_dtz").selectExpr("o_orderkey", "uci", "wdl", "dtz", f"CAST({engine(ROOT_RANK, False)} AS bigint) AS rank")
+    return banded(met, rows.count())
+
+
+#: Positions whose moves one task sorts.
+SORTED = 100_000
+
+
+def banded(moves: DataFrame, positions: int) -> DataFrame:
+    """moves with band and place among those of their order; one sort serves both, in partitions of SORTED positions."""
     order = Window.partitionBy("o_orderkey")  # a position's moves
-    return met.withColumns({"band": F.dense_rank().over(order.orderBy(F.desc("rank"))), "place": F.row_number().over(order.orderBy(F.desc("rank"), "uci"))})
+    placed = dealt(moves, positions, SORTED, "o_orderkey").withColumn("place", F.row_number().over(order.orderBy(F.desc("rank"), "uci")))
+    return placed.select(*moves.columns, F.dense_rank().over(order.orderBy(F.desc("rank"))).alias("band"), "place")
 
 
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:

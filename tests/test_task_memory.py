@@ -4,13 +4,25 @@ import random
 
 from pyspark.sql import functions as F
 
-from plyframe.plans import aggregates
+from plyframe.plans import aggregates, endgames
 
 
 def _sorts(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Sort [")
 
 
+def test_bands_are_sorted_once_in_partitions_that_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(endgames, "SORTED", 10)
+    moves = spark.range(1000).selectExpr("id div 5 AS o_orderkey", "char(97 + id * 7 % 5) AS uci", "id * 11 % 3 AS rank")
+    got = endgames.banded(moves, 200)
+    assert got.rdd.getNumPartitions() == 20 and _sorts(got) == 1
+    want = {}
+    for r in moves.collect():
+        want.setdefault(r["o_orderkey"], []).append((-r["rank"], r["uci"]))
+    want = sorted((k, u, -s, len({t for t, _ in m if t < s}) + 1, i + 1) for k, m in want.items() for i, (s, u) in enumerate(sorted(m)))
+    assert got.columns == ["o_orderkey", "uci", "rank", "band", "place"] and sorted(map(tuple, got.collect())) == want
+
+
 def scan(threads, win=31507, none=-32001):
     """thread, move, score, depth, line of one request, in the words of the rule."""
     least = min(t[2] for t in threads)
