@@ -1,9 +1,9 @@
-"""Table slots with a time to live: keyed map state, event-time timers, generations.
+"""Table slots with a time to live: keyed state, event-time timers, generations.
 
 A session is a user, a slot of its table event_id % SLOTS. An event writes its slot; a purchase is a search, which ages the table by a
 generation. A slot that isn't written for LIFE expires: it leaves the state and is reported with the time at which it was due. Expiry
 doesn't depend on how events are cut into batches: a slot that is overdue when it is written again expires first, others by a timer once
-the watermark, DELAY behind the newest event, reaches it. What is still alive at the end isn't reported. State is a map of SLOTS entries a
+the watermark, DELAY behind the newest event, reaches it. What is still alive at the end isn't reported. State is a table of SLOTS entries a
 session, so it is bounded by sessions that have written lately; the rows of a session in one batch are sorted in memory, which
 maxFilesPerTrigger bounds.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,47 +31,70 @@ LIFE_MS = LIFE_HOURS * 3_600_000
 
 
 class Slots(StatefulProcessor):
-    """Map state by slot: (entry, generation, written in microseconds)."""
+    """A session's table as one value: its generation, the time of its pending timer in milliseconds, and by slot the entry, its generation and
+    when it was written, in microseconds. One value is read and written for a session's rows of a batch, and one timer is pending, for the
+    slot that is due first: calls to the store, not rows, are what a session costs."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", "slot int", "entry long, generation int, written long")
-        self.age = handle.getValueState("age", "generation int")
+        self.table = handle.getValueState("table", "generation int, timer long, " + ", ".join(f"entry{i} long, generation{i} int, written{i} long" for i in range(SLOTS)))
+
+    def _read(self) -> tuple[int, int | None, dict[int, tuple]]:
+        held = self.table.get()
+        if held is None:
+            return 0, None, {}
+        return held[0], held[1], {i: tuple(held[2 + 3 * i : 5 + 3 * i]) for i in range(SLOTS) if held[2 + 3 * i] is not None}
+
+    def _write(self, generation: int, timer: int | None, slots: dict[int, tuple]) -> None:
+        """The state, with a timer for the first slot that is due unless one as early is pending."""
+        first = min((self._due(held) for held in slots.values()), default=None)
+        if first is not None and (timer is None or first < timer):
+            self.handle.registerTimer(first)
+            timer = first
+        self.table.update((generation, timer, *(x for i in range(SLOTS) for x in slots.get(i, (None, None, None)))))
 
-    def _gone(self, key: tuple, slot: int, held: tuple) -> tuple:
-        entry, generation, written = held
-        self.slots.removeKey((slot,))
-        return (key[0], slot, entry, generation, written, written + 1000 * LIFE_MS)
+    @staticmethod
+    def _due(held: tuple) -> int:
+        """The first millisecond by which a slot has expired."""
+        return -(-held[2] // 1000) + LIFE_MS
+
+    @staticmethod
+    def _gone(key: tuple, slot: int, held: tuple) -> tuple:
+        return (key[0], slot, *held, held[2] + 1000 * LIFE_MS)
 
     @staticmethod
     def _table(key: tuple, gone: list[tuple]) -> Iterator[pd.DataFrame]:
         if gone:
-            out = pd.DataFrame(gone, columns=["user_id", "slot", "entry", "generation", "written", "due"]).astype({"slot": "int32", "generation": "int32"})
-            for c in ("written", "due"):
-                out[c] = pd.to_datetime(out[c], unit="us")
-            yield out
+            user, slot, entry, generation, written, due = zip(*gone)
+            at = lambda us: np.array(us, "int64").view("datetime64[us]")
+            yield pd.DataFrame({"user_id": user, "slot": np.array(slot, "int32"), "entry": entry, "generation": np.array(generation, "int32"), "written": at(written), "due": at(due)})
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["at", "event_id"])
-        generation = self.age.get()[0] if self.age.exists() else 0
-        gone, last = [], {}
-        for at, event, kind in zip(batch["at"].tolist(), batch["event_id"].tolist(), batch["event_type"].tolist()):
+        parts = [[part[c].to_numpy() for c in ("at", "event_id", "event_type")] for part in rows]
+        ats, events, kinds = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((events, ats))
+        generation, timer, slots = self._read()
+        gone = []
+        for at, event, kind in zip(ats[order].tolist(), events[order].tolist(), kinds[order].tolist()):
             if kind == "purchase":
                 generation = (generation + 1) % GENERATIONS
             slot = event % SLOTS
-            held = last.get(slot) or (tuple(self.slots.getValue((slot,))) if self.slots.containsKey((slot,)) else None)
+            held = slots.get(slot)
             if held and held[2] + 1000 * LIFE_MS <= at:
                 gone.append(self._gone(key, slot, held))
-            last[slot] = (event, generation, at)
-        for slot, held in last.items():
-            self.slots.updateValue((slot,), held)
-            self.handle.registerTimer(-(-held[2] // 1000) + LIFE_MS)
-        self.age.update((generation,))
+            slots[slot] = (event, generation, at)
+        self._write(generation, timer, slots)
         yield from self._table(key, gone)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = 1000 * expiredTimerInfo.getExpiryTimeInMs()
-        due = [(slot[0], tuple(held)) for slot, held in self.slots.iterator() if held[2] + 1000 * LIFE_MS <= now]
+        """All slots whose timers the watermark has passed leave at once; the next one that is due gets the timer. A timer that an earlier one
+        has replaced finds nothing."""
+        now, mark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        generation, timer, slots = self._read()
+        due = [(slot, held) for slot, held in slots.items() if self._due(held) <= mark]
+        for slot, _ in due:
+            del slots[slot]
+        self._write(generation, None if timer == now else timer, slots)
         yield from self._table(key, [self._gone(key, slot, held) for slot, held in due])
 
     def close(self) -> None:
@@ -87,7 +111,7 @@ def expiring(events: DataFrame) -> DataFrame:
 def expired_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots that expire, through the streaming engine, over all events that are there."""
     before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKS)  # timers and maps need this store
+    spark.conf.set(STORE, ROCKS)  # timers need this store
     try:
         rows = _run(expiring(_events(spark, sf_dir)), "append")
     finally:
